@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyferry.llm.bpe import bpe_round_trip
 from tallyferry.llm.chat import chat_digests
 from tallyferry.llm.licenses import scan
 from tallyferry.llm.quality_rules import document_rules
-from tallyferry.llm.shared import read
+from tallyferry.llm.shared import read, shared_dir
 from tallyferry.llm.sharding import assign_shards
+from tallyferry.llm.token_counts import count_tokens
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +22,22 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(turns.unionByName(extra))
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each corpus folder has a cache of its own, which later runs over it reuse."""
+    cache = f"{shared_dir(spark)}/token_counts/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    return count_tokens(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), cache)
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents")).drop("matches")
 
@@ -76,5 +96,5 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from f left join b on f.host = b.host
 """
 
-QUERIES = {f.__name__: f for f in (op3_chat_format, op6_license_scan, op8_size_shards, op10_host_rules)}
+QUERIES = {f.__name__: f for f in (op3_chat_format, op4_bpe_round_trip, op5_token_counts, op6_license_scan, op8_size_shards, op10_host_rules)}
 ORACLES = {"op3_chat_format": CHAT_SQL, "op10_host_rules": RULES_SQL}

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.llm.shared import BLANK, bind, durable, split_words, text_or_empty
+from tallyferry.llm.shared import BLANK, bind, broadcast_if_small, durable, split_words, text_or_empty
 
 RULES = ("short", "repeats", "symbols", "dup_lines")
 
@@ -88,7 +88,7 @@ def bad_hosts(rated: DataFrame, host: str, flags: dict[str, Column], host_limit:
         k = F.when(v > 0, F.least(F.greatest(m * (1 - m) / v - 1, F.lit(1.0)), F.lit(1e6))).otherwise(F.lit(1e6))
         over = over | ((f + m * k) / (n + k) > host_limit)
     # the prior is one row
-    return per_host.join(F.broadcast(prior), F.lit(True)).where(over).select(host)
+    return broadcast_if_small(per_host.join(F.broadcast(prior), F.lit(True)).where(over).select(host))
 
 
 def document_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", host_limit: float = 0.5) -> DataFrame:
@@ -96,9 +96,9 @@ def document_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__qr_text"), host_of(F.col(host)).alias("__qr_host"))
     rated = durable(measures(slim, "__qr_text").drop("__qr_text"))
     flags = rule_flags()
-    bad = bad_hosts(rated, "__qr_host", flags, host_limit).withColumn("__qr_bad", F.lit(True))
+    bad = bad_hosts(rated, "__qr_host", flags, host_limit)
     base = flags["short"] | flags["repeats"]
-    out = rated.join(bad, "__qr_host", "left")
+    out = rated.join(bad.withColumnRenamed("__qr_host", "__qr_bad"), F.col("__qr_host") == F.col("__qr_bad"), "left")
     rejected = F.col("__qr_bad").isNotNull()
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), rejected.alias("host_rejected"), (~base & ~rejected).alias("kept"))
 

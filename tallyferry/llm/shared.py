@@ -56,3 +56,9 @@ def split_words(text: Column) -> Column:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """``df``, kept in the shared folder; marked for broadcast if it has few rows, else joined by shuffle."""
+    df = durable(df)
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
