@@ -25,6 +25,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -148,7 +149,7 @@ class PairIndexCodec:
 def blocks_of(texts: pa.Array, max_bytes: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``max_bytes`` of text."""
     start = held = 0
-    for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
         held += n or 0
         if held >= max_bytes:
             yield start, i + 1
