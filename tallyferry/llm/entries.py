@@ -10,6 +10,7 @@ from tallyferry.llm.bpe import bpe_round_trip
 from tallyferry.llm.chat import chat_digests
 from tallyferry.llm.decontam import find_leaks
 from tallyferry.llm.licenses import scan
+from tallyferry.llm.quality_model import score_documents
 from tallyferry.llm.quality_rules import document_rules
 from tallyferry.llm.shared import read, shared_dir
 from tallyferry.llm.sharding import assign_shards
@@ -21,6 +22,10 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -106,5 +111,5 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from f left join b on f.host = b.host
 """
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_chat_format, op4_bpe_round_trip, op5_token_counts, op6_license_scan, op8_size_shards, op9_decontaminate, op10_host_rules)}
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op2_quality_classifier, op3_chat_format, op4_bpe_round_trip, op5_token_counts, op6_license_scan, op8_size_shards, op9_decontaminate, op10_host_rules)}
 ORACLES = {"op3_chat_format": CHAT_SQL, "op10_host_rules": RULES_SQL}
