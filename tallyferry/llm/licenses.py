@@ -60,14 +60,14 @@ LICENSES = {
     "openssl": ("openssl", "openssl", "openssl license", "openssl licensed"),
     "postgresql": ("postgresql", "postgresql", "postgresql licen[cs]e", "postgresql licensed"),
     "ofl": ("ofl|font", "ofl 1 1", "sil open font license(?: version 1 1)?", "ofl 1 1"),
-    "ms-pl": ("microsoft|pl", "ms pl", "microsoft public license", "ms pl"),
+    "ms-pl": ("microsoft|ms", "ms pl", "microsoft public license", "ms pl"),
     "cc0": ("cc0|universal", "cc0 1 0", "creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?", "cc0"),
-    "cc-by": ("by|attribution", "cc by(?: [1-4] [0-9])?", "creative commons attribution(?: [1-4] [0-9])?", "cc by(?: [1-4] [0-9])?"),
-    "cc-by-sa": ("sa|sharealike|alike", "cc by sa(?: [1-4] [0-9])?", "creative commons attribution share ?alike(?: [1-4] [0-9])?", "cc by sa(?: [1-4] [0-9])?"),
-    "cc-by-nd": ("nd|noderivatives|noderivs", "cc by nd(?: [1-4] [0-9])?", "creative commons attribution no ?deriv(?:ative)?s(?: [1-4] [0-9])?", "cc by nd(?: [1-4] [0-9])?"),
-    "cc-by-nc": ("nc|noncommercial", "cc by nc(?: [1-4] [0-9])?", "creative commons attribution non ?commercial(?: [1-4] [0-9])?", "cc by nc(?: [1-4] [0-9])?"),
-    "cc-by-nc-sa": ("nc|noncommercial", "cc by nc sa(?: [1-4] [0-9])?", "creative commons attribution non ?commercial share ?alike(?: [1-4] [0-9])?", "cc by nc sa(?: [1-4] [0-9])?"),
-    "cc-by-nc-nd": ("nc|noncommercial", "cc by nc nd(?: [1-4] [0-9])?", "creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1-4] [0-9])?", "cc by nc nd(?: [1-4] [0-9])?"),
+    "cc-by": ("cc|creative", "cc by(?: [1-4] [0-9])?", "creative commons attribution(?: [1-4] [0-9])?", "cc by(?: [1-4] [0-9])?"),
+    "cc-by-sa": ("cc|creative", "cc by sa(?: [1-4] [0-9])?", "creative commons attribution share ?alike(?: [1-4] [0-9])?", "cc by sa(?: [1-4] [0-9])?"),
+    "cc-by-nd": ("cc|creative", "cc by nd(?: [1-4] [0-9])?", "creative commons attribution no ?deriv(?:ative)?s(?: [1-4] [0-9])?", "cc by nd(?: [1-4] [0-9])?"),
+    "cc-by-nc": ("cc|creative", "cc by nc(?: [1-4] [0-9])?", "creative commons attribution non ?commercial(?: [1-4] [0-9])?", "cc by nc(?: [1-4] [0-9])?"),
+    "cc-by-nc-sa": ("cc|creative", "cc by nc sa(?: [1-4] [0-9])?", "creative commons attribution non ?commercial share ?alike(?: [1-4] [0-9])?", "cc by nc sa(?: [1-4] [0-9])?"),
+    "cc-by-nc-nd": ("cc|creative", "cc by nc nd(?: [1-4] [0-9])?", "creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1-4] [0-9])?", "cc by nc nd(?: [1-4] [0-9])?"),
     "odbl": ("odbl|database", "odbl 1 0", "open (?:data commons open )?database license", "odbl"),
     "public-domain": ("domain", "public domain", "(?:placed|released|dedicated) (?:in|into|to) the public domain", "in the public domain"),
     "proprietary": ("reserved|proprietary", "proprietary", "proprietary(?: and confidential| software)? license", "all rights reserved"),
@@ -132,7 +132,7 @@ def _resolved(spans: Column) -> Column:
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches."""
     table = F.array(*[F.struct(F.lit(r["id"]).alias("id"), F.lit(r["label"]).alias("label"), F.lit(r["priority"]).alias("priority"), F.lit(r["score"]).alias("score"), F.array(*[F.lit(f" {k} ") for k in r["keywords"]]).alias("keywords"), F.lit(r["regex"]).alias("regex")) for r in rules()])
-    gate = " (?:" + "|".join(sorted({k for r in rules() for k in r["keywords"]} | {"mit", "apache", "nc"})) + ") "
+    gate = " (?:" + "|".join(sorted({k for r in rules() for k in r["keywords"]} | {"mit", "apache", "cc"})) + ") "
     n = F.col("n")
     empty = "array<struct<at:int,size:int,priority:int,id:int,label:string,score:double>>"
     active = F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(n, k)))
