@@ -6,12 +6,12 @@ score for its own text), so one threshold, ``min_share``, holds for all items. P
 blocks of item numbers with the largest impact of each block.
 
 A document is cut into passages of twice the longest item's words, half a passage apart, so every
-item lies wholly in some passage. For each passage the sum of its terms' largest impacts is an
-upper bound; passages below the threshold are skipped at once (vectorised over a batch), the others
-run block-max WAND: pivot on the list maxima, test the pivot's block maxima, jump behind the block
-or score. Every item that reaches the threshold is retrieved; there is no cap. A retrieved item is
-a leak if at least ``min_overlap`` of its question's and of its answer's word n-grams stand in the
-passage. An item's answer is its last sentence or line, or its last third if it has only one.
+item lies wholly in some passage. For each passage and block of items the sum of its terms' block
+maxima is an upper bound (vectorised over a batch of documents). Blocks below the threshold are
+skipped; in the others all items are scored exactly. Every item that reaches the threshold is
+retrieved; there is no cap. A retrieved item is a leak if at least ``min_overlap`` of its question's
+and of its answer's word n-grams stand in the passage. An item's answer is its last sentence or
+line, or its last third if it has only one.
 
 The index is sent to all tasks, ``block_bytes`` of item text at a time: larger item tables take
 several passes over the documents, each with an index of bounded size. Document frequencies always
@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyferry.llm.bpe import blocks_of
 from tallyferry.llm.shared import durable, text_or_empty
 
 K1, B = 1.2, 0.75
@@ -73,9 +74,9 @@ def ngrams(terms: list[str], n: int) -> set[tuple[str, ...]]:
 class BlockMaxIndex:
     """Postings with impacts in blocks of item numbers."""
 
-    def __init__(self, items: list[tuple], df: dict[str, int], total: int, mean: float, block: int = 64) -> None:
+    def __init__(self, items: list[tuple], df: dict[str, int], total: int, mean: float, most_blocks: int = 64) -> None:
         self.items = [(item, text, terms_of(text)) for item, text in items]
-        self.block = block
+        self.block = block = max(8, -(-len(self.items) // most_blocks))
         self.longest = max([len(t) for _, _, t in self.items], default=0)
         postings: dict[str, list[tuple[int, float]]] = {}
         for number, (_, _, terms) in enumerate(self.items):
@@ -88,56 +89,30 @@ class BlockMaxIndex:
             for t, x in own.items():
                 postings.setdefault(t, []).append((number, x / full))
         self.term = {t: k for k, t in enumerate(postings)}
-        self.lists = [np.array([n for n, _ in p]) for p in postings.values()]
-        self.impacts = [np.array([x for _, x in p]) for p in postings.values()]
-        self.most = np.array([x.max() for x in self.impacts]) if postings else np.zeros(0)
-        self.block_most = []
-        for n, x in zip(self.lists, self.impacts, strict=True):
-            most: dict[int, float] = {}
-            for b, v in zip((n // block).tolist(), x.tolist(), strict=True):
-                most[b] = max(v, most.get(b, 0.0))
-            self.block_most.append(most)
+        blocks = -(-len(self.items) // block)
+        self.block_bounds = np.zeros((len(postings), blocks), np.float32)
+        rows: list[list[tuple[int, int, float]]] = [[] for _ in range(blocks)]
+        for k, posted in enumerate(postings.values()):
+            for n, x in posted:
+                self.block_bounds[k, n // block] = max(self.block_bounds[k, n // block], x)
+                rows[n // block].append((k, n % block, x))
+        self.blocks = []
+        for own in rows:  # the terms of a block, ascending, and the impacts of its items
+            terms = np.array(sorted({k for k, _, _ in own}), np.int64)
+            impacts = np.zeros((len(terms), block))
+            for k, n, x in own:
+                impacts[np.searchsorted(terms, k), n] = x
+            self.blocks.append((terms, impacts))
         self.questions = [question_and_answer(text) for _, text, _ in self.items]
 
-    def search(self, terms: list[int], least: float) -> list[tuple[int, float]]:
-        """Items whose summed impact over the distinct ``terms`` is at least ``least``."""
-        eps = 1e-9
-        cursors = [[int(self.lists[t][0]), 0, t] for t in terms]  # item, place in the list, term
+    def search(self, terms: np.ndarray, blocks: np.ndarray, least: float) -> list[tuple[int, float]]:
+        """Items of ``blocks`` whose summed impact over the ascending ``terms`` is at least ``least``."""
         out = []
-
-        def seek(c: list, item: int) -> bool:
-            own = self.lists[c[2]]
-            c[1] = int(np.searchsorted(own, item))
-            if c[1] >= len(own):
-                return False
-            c[0] = int(own[c[1]])
-            return True
-
-        while cursors:
-            cursors.sort()
-            bound, pivot = 0.0, -1
-            for k, c in enumerate(cursors):
-                bound += self.most[c[2]]
-                if bound >= least - eps:
-                    pivot = k
-                    break
-            if pivot < 0:
-                break
-            item = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
-                pivot += 1
-            in_block = item // self.block
-            near = sum(self.block_most[c[2]].get(in_block, 0.0) for c in cursors[: pivot + 1])
-            if near < least - eps:  # no item of this block before the next list's item can pass
-                to = min((in_block + 1) * self.block, cursors[pivot + 1][0] if pivot + 1 < len(cursors) else 1 << 60)
-                cursors = [c for k, c in enumerate(cursors) if k > pivot or seek(c, max(to, item + 1))]
-            elif cursors[0][0] == item:
-                score = sum(self.impacts[c[2]][c[1]] for c in cursors[: pivot + 1])
-                if score >= least - eps:
-                    out.append((item, float(score)))
-                cursors = [c for k, c in enumerate(cursors) if k > pivot or seek(c, item + 1)]
-            else:
-                cursors = [c for k, c in enumerate(cursors) if k >= pivot or c[0] >= item or seek(c, item)]
+        for b in blocks.tolist():
+            own, impacts = self.blocks[b]
+            at = np.minimum(np.searchsorted(own, terms), len(own) - 1)
+            scores = impacts[at[own[at] == terms]].sum(axis=0)
+            out += [(b * self.block + int(n), float(scores[n])) for n in np.nonzero(scores >= least - 1e-9)[0]]
         return out
 
 
@@ -160,60 +135,71 @@ def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple
 
 
 def _matcher(index: BlockMaxIndex, min_share: float, min_overlap: float, gram: int):
-    window = max(2 * index.longest, 2)
-    step = window // 2
-
-    def passages(n: int) -> list[tuple[int, int]]:
-        return [(a, min(a + window, n)) for a in range(0, max(n - step, 1), step)] if n else []
-
-    def leaks(text: str, ids: np.ndarray, words: list[str]) -> list[tuple[int, float, float, float]]:
-        best: dict[int, tuple[float, float, float]] = {}
-        for a, b in passages(len(ids)):
-            own = np.unique(ids[a:b])
-            own = own[own >= 0]
-            if index.most[own].sum() < min_share - 1e-9:
-                continue
-            found = index.search(own.tolist(), min_share)
-            if not found:
-                continue
-            terms = [t for w in words[a:b] if (t := STRIP.sub("", w))]
-            have = {n: ngrams(terms, n) for n in range(1, gram + 1)}
-            for item, score in found:
-                shares = []
-                for part in index.questions[item]:
-                    grams = ngrams(part, gram)
-                    shares.append(len(grams & have.get(min(gram, len(part)), set())) / len(grams) if grams else 1.0)
-                if min(shares) >= min_overlap:
-                    best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (score, *shares))
-        return [(k, *v) for k, v in sorted(best.items())]
+    step = max(index.longest, 1)  # a passage is two steps long and begins one step behind the last
+
+    def likely(ids: list[np.ndarray]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(text, passage, terms, blocks) where the maxima of a block reach the threshold."""
+        lengths = np.array([len(x) for x in ids], np.int64)
+        passages = np.maximum(-(-lengths // step) - 1, 1)
+        first = np.concatenate(([0], np.cumsum(passages)))
+        owner = np.repeat(np.arange(len(ids)), lengths)
+        at = (np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)) // step
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        known = flat >= 0
+        owner, at, flat = owner[known], at[known], flat[known]
+        codes = []
+        for back in (0, 1):
+            there = (at >= back) & (at - back < passages[owner])
+            codes.append((first[owner[there]] + at[there] - back) * len(index.term) + flat[there])
+        codes = np.unique(np.concatenate(codes))
+        if not len(codes):
+            return []
+        passage, term = np.divmod(codes, len(index.term))
+        starts = np.nonzero(np.concatenate(([True], passage[1:] != passage[:-1])))[0]
+        bounds = np.add.reduceat(index.block_bounds[term], starts, axis=0) >= min_share - 1e-5
+        ends = np.append(starts[1:], len(codes))
+        out = []
+        for k in np.nonzero(bounds.any(axis=1))[0]:
+            p = int(passage[starts[k]])
+            text = int(np.searchsorted(first, p, side="right")) - 1
+            out.append((text, p - int(first[text]), term[starts[k] : ends[k]], np.nonzero(bounds[k])[0]))
+        return out
+
+    def verified(words: list[str], items: list[tuple[int, float]]) -> Iterator[tuple[int, float, float, float]]:
+        terms = [t for w in words if (t := STRIP.sub("", w))]
+        have = {n: ngrams(terms, n) for n in range(1, gram + 1)}
+        for item, score in items:
+            shares = []
+            for part in index.questions[item]:
+                grams = ngrams(part, gram)
+                shares.append(len(grams & have.get(min(gram, len(part)), set())) / len(grams) if grams else 1.0)
+            if min(shares) >= min_overlap:
+                yield item, score, *shares
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for batch in batches:
-            rows: list[tuple] = []
-            for r, text in enumerate(batch.column(1)):
-                words = text.as_py().lower().split()
-                new = {w for w in words if w not in known}
+            for a, b in blocks_of(batch.column(1), 1_000_000):
+                words = [t.lower().split() for t in batch.column(1).slice(a, b - a).to_pylist()]
                 if len(known) > 500_000:
                     known.clear()
-                    new = set(words)
-                for w in new:
+                for w in {w for ws in words for w in ws if w not in known}:
                     known[w] = index.term.get(STRIP.sub("", w), -1)
-                ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                # the whole text bounds its passages: few texts go on
-                own = np.unique(ids)
-                if index.most[own[own >= 0]].sum() >= min_share - 1e-9:
-                    rows += [(r, *x) for x in leaks(text, ids, words)]
-            if rows:
-                at = [x[0] for x in rows]
-                columns = [batch.column(0).take(pa.array(at)), pa.array([index.items[x[1]][0] for x in rows], pa.int64())]
-                columns += [pa.array([x[k] for x in rows], pa.float64()) for k in (2, 3, 4)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                best: dict[tuple[int, int], tuple] = {}
+                for text, p, terms, blocks in likely([np.fromiter(map(known.__getitem__, ws), np.int64, len(ws)) for ws in words]):
+                    if found := index.search(terms, blocks, min_share):
+                        for item, *figures in verified(words[text][p * step : (p + 2) * step], found):
+                            best[text, item] = max(best.get((text, item), ()), tuple(figures))
+                if best:
+                    keys = sorted(best)
+                    columns = [batch.column(0).take(pa.array([a + t for t, _ in keys])), pa.array([index.items[k][0] for _, k in keys], pa.int64())]
+                    columns += [pa.array([best[x][k] for x in keys], pa.float64()) for k in range(3)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
     return run
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_share: float = 0.5, min_overlap: float = 0.6, gram: int = 3, block_bytes: int = 16_000_000) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_share: float = 0.5, min_overlap: float = 0.6, gram: int = 3, block_bytes: int = 2_000_000) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: one row per document and leaked item."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     tests = items.select(F.col(item_id).cast("long").alias("item_id"), text_or_empty(item_text).alias("text"))
