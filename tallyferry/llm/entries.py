@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyferry.llm.bpe import bpe_round_trip
 from tallyferry.llm.chat import chat_digests
 from tallyferry.llm.decontam import find_leaks
+from tallyferry.llm.katz import score_texts
 from tallyferry.llm.licenses import scan
 from tallyferry.llm.quality_model import score_documents
 from tallyferry.llm.quality_rules import document_rules
@@ -53,6 +54,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents")).drop("matches")
 
 
+def op7_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read(spark, sf_dir, "documents"))
+
+
 def op8_size_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
@@ -111,5 +116,5 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from f left join b on f.host = b.host
 """
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op2_quality_classifier, op3_chat_format, op4_bpe_round_trip, op5_token_counts, op6_license_scan, op8_size_shards, op9_decontaminate, op10_host_rules)}
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op2_quality_classifier, op3_chat_format, op4_bpe_round_trip, op5_token_counts, op6_license_scan, op7_katz_scores, op8_size_shards, op9_decontaminate, op10_host_rules)}
 ORACLES = {"op3_chat_format": CHAT_SQL, "op10_host_rules": RULES_SQL}
