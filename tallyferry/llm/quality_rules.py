@@ -108,5 +108,8 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source", host_li
     rated = measures(docs, text, "__qr_").withColumn("__qr_host", host_of(F.col(host)))
     flags = rule_flags("__qr_")
     bad = bad_hosts(rated.select("__qr_host", *[f"__qr_{c}" for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")]), "__qr_host", flags, host_limit)
-    good = rated.where(~(flags["short"] | flags["repeats"]))
+    # the row number keeps the optimizer from moving the filter below the measures, which would
+    # compute them once per mention
+    numbered = rated.withColumn("__qr_row", F.monotonically_increasing_id())
+    good = numbered.where((F.col("__qr_row") >= 0) & ~(flags["short"] | flags["repeats"]))
     return good.join(bad, "__qr_host", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
