@@ -101,7 +101,8 @@ def with_features(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     usable = labels.where("doc_id is not null and quality is not null")
     grouped = usable.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("x"))
     grouped = grouped.select(F.col("doc_id").alias("l_id"), ((F.col("q") == 1) & (F.col("x") != 1)).cast("int").alias("good"))
-    joined = featured.join(grouped, F.col("doc_id") == F.col("l_id"), "left").drop("l_id")
+    # one plan at every size: features are dealt out by id, never labels broadcast
+    joined = featured.join(grouped.hint("merge"), F.col("doc_id") == F.col("l_id"), "left").drop("l_id")
     return joined.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int"))
 
 
