@@ -139,7 +139,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     found = F.flatten(F.transform(active, lambda r: _matches(n, r)))
     out = docs.select(F.col(doc_id).alias("doc_id"), normalised(text_or_empty(text)).alias("n"))
     out = out.withColumn("gated", F.rlike(n, F.lit(gate)))
-    out = out.withColumns({"n_words": F.greatest(_blanks(n) - 1, F.lit(0)).cast("long"), "matches": F.when(F.col("gated"), _resolved(found)).otherwise(F.array()).cast(empty)})
+    out = out.withColumns({"n_words": F.when(F.length(n) > 2, _blanks(n) - 1).otherwise(0).cast("long"), "matches": F.when(F.col("gated"), _resolved(found)).otherwise(F.array()).cast(empty)})
     for k, (phrase, _) in enumerate(BASE):
         out = out.withColumn(f"p{k}", F.when(F.col("gated") & F.contains(n, F.lit(f" {phrase} ")), F.split(n, f" {phrase}(?= )")))
     places = [F.when(F.col(f"p{k}").isNull(), 0).otherwise(F.size(f"p{k}") - 1) for k in range(len(BASE))]
