@@ -300,7 +300,8 @@ def email(v: Column, strict: bool = False) -> Column | tuple[Column, Column]:
 @transform("vin")
 def vin(v: Column, strict: bool = False) -> Column | tuple[Column, Column]:
     t = empty_to_null(F.upper(F.regexp_replace(text(v), r"[\s-]", "")))
-    return (t, F.when(~t.rlike("^[A-HJ-NPR-Z0-9]{17}$"), F.concat(F.lit("invalid VIN: "), text(v)))) if strict else t
+    ok = t.rlike("^[A-HJ-NPR-Z0-9]{17}$")
+    return (F.when(ok, t), F.when(~ok, F.concat(F.lit("invalid VIN: "), text(v)))) if strict else t
 
 
 @transform("nags")
@@ -322,7 +323,7 @@ def postal_code(v: Column, region: str = "US") -> Column:
 def map_values(v: Column, values: Mapping[str, object], strict: bool = False) -> tuple[Column, Column]:
     """Listed value (a listed null counts), else ``*``, else an error if strict, else unchanged."""
     t = text(v)
-    other = text(F.lit(values["*"])) if "*" in values else t
+    other = text(F.lit(values["*"])) if "*" in values else null_text() if strict else t
     chain = None
     for key, to in values.items():
         if key != "*":
