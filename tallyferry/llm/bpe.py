@@ -4,8 +4,9 @@ Every partition gathers the distinct words of a block of texts, lays their bytes
 sequence, and indexes each mergeable pair to all its positions. Ranks are applied in ascending
 order: a merge rewrites all positions of its pair and enters the pairs that this makes into the
 index. A later merge never has a lower rank than the pair that made it possible, so the order over
-all words at once gives each word what it would get alone. Finished pieces are kept in a table of
-bounded size, so memory does not grow with the partition.
+all words at once gives each word what it would get alone. Finished pieces and words are kept in two
+generations of bounded size each, which all tasks of a Python worker share: a full younger one becomes
+the older, and what is met again moves up, so frequent pieces stay and memory does not grow.
 
 Texts are cut before every blank that is followed by a non-blank: there every word of the
 tokenizer's pattern ends, so pieces can be encoded on their own, whatever the text's length.
@@ -17,6 +18,7 @@ one shuffle-free pass reads the table once; a lost executor repeats its own part
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
@@ -24,6 +26,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -43,6 +46,30 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+class Generations:
+    """Values by key: at most ``most`` young ones and as many old ones."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+
+    def missing(self, keys: Iterable[str]) -> list[str]:
+        """The keys without a value; those that only the old generation has move up."""
+        young, old, out = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                if (v := old.get(k)) is None:
+                    out.append(k)
+                else:
+                    young[k] = v
+        return out
+
+
 class PairIndexCodec:
     """Encoder and decoder for one vocabulary file; texts in, little-endian 32-bit ids out."""
 
@@ -64,23 +91,31 @@ class PairIndexCodec:
             left, right = vocab[a], vocab[b]
             self.rank[left << 32 | right] = len(self.merges)
             self.merges.append((left, right, vocab[a + b]))
-        self.pieces: dict[str, bytes] = {}
-        self.cache_entries, self.block_words = cache_entries, block_words
+        self.byte_ids = np.array([*self.byte_id, -1], np.int64)
+        # rank of each pair of bytes; row and column 256 stand for the end of a word
+        self.byte_rank = np.full((257, 257), -1, np.int64)
+        for a in range(256):
+            for b in range(256):
+                self.byte_rank[a, b] = self.rank.get(self.byte_id[a] << 32 | self.byte_id[b], -1)
+        self.pieces, self.words = Generations(cache_entries), Generations(cache_entries)
+        self.block_words = block_words
 
     def _merge_block(self, words: list[str]) -> list[bytes]:
         """The ids of each word, by the pair occurrence index over all of them."""
-        byte_id, rank, merges = self.byte_id, self.rank, self.merges
-        ids: list[int] = []
-        starts = []
-        for w in words:
-            starts.append(len(ids))
-            ids += [byte_id[b] for b in w.encode()]
-            ids.append(-1)
+        rank, merges = self.rank, self.merges
+        coded = [w.encode() for w in words]
+        lengths = np.array([len(w) + 1 for w in coded], np.int64)
+        ends = np.cumsum(lengths)
+        starts = (ends - lengths).tolist()
+        laid = np.frombuffer(b"\0".join([*coded, b""]), np.uint8).astype(np.int64)
+        laid[ends - 1] = 256
+        ids: list[int] = self.byte_ids[laid].tolist()
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        where: dict[int, list[int]] = {}
-        for i in range(len(ids) - 1):
-            if (a := ids[i]) >= 0 and (b := ids[i + 1]) >= 0 and (r := rank.get(a << 32 | b)) is not None:
-                where.setdefault(r, []).append(i)
+        ranks = self.byte_rank[laid[:-1], laid[1:]]
+        at = np.nonzero(ranks >= 0)[0]
+        at = at[np.argsort(ranks[at], kind="stable")]
+        firsts, edges = np.unique(ranks[at], return_index=True)
+        where: dict[int, list[int]] = dict(zip(firsts.tolist(), (x.tolist() for x in np.split(at, edges[1:])), strict=False))
         active = list(where)
         heapq.heapify(active)
         while active:
@@ -113,13 +148,15 @@ class PairIndexCodec:
     def _learn(self, pieces: Iterable[str]) -> None:
         """Encode the pieces that are not known yet."""
         split = {p: WORDS.findall(p) for p in pieces}
-        words = list(dict.fromkeys(w for ws in split.values() for w in ws))
-        known: dict[str, bytes] = {}
+        self.words.age()
+        known = self.words.young
+        words = self.words.missing(dict.fromkeys(w for ws in split.values() for w in ws))
         for k in range(0, len(words), self.block_words):
             block = words[k : k + self.block_words]
             known.update(zip(block, self._merge_block(block), strict=True))
+        done = self.pieces.young
         for p, ws in split.items():
-            self.pieces[p] = b"".join([known[w] for w in ws])
+            done[p] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
 
     @staticmethod
     def _cut(text: str) -> list[str]:
@@ -136,16 +173,21 @@ class PairIndexCodec:
                     own += [*self._cut(text[at : m.start()]), array("I", [self.special[m[0]]]).tobytes()]
                     at = m.end()
             segments.append(own + self._cut(text[at:]))
-        if len(self.pieces) > self.cache_entries:
-            self.pieces.clear()
-        self._learn({p for own in segments for p in own if isinstance(p, str) and p not in self.pieces})
-        known = self.pieces
+        self.pieces.age()
+        self._learn(self.pieces.missing({p for own in segments for p in own if isinstance(p, str)}))
+        known = self.pieces.young
         return [b"".join([known[p] if isinstance(p, str) else p for p in own]) for own in segments]
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I").tolist())).decode("utf-8", errors="replace")
 
 
+@functools.lru_cache(maxsize=2)
+def codec_of(path: str) -> PairIndexCodec:
+    """One codec for all tasks of a Python worker."""
+    return PairIndexCodec(path)
+
+
 def blocks_of(texts: pa.Array, max_bytes: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``max_bytes`` of text."""
     start = held = 0
@@ -166,7 +208,7 @@ def bpe_round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
     more = ", ids array<int>, decoded string" if with_ids else ""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = PairIndexCodec(path)
+        codec = codec_of(path)
         for batch in batches:
             texts = batch.column(1)
             for a, b in blocks_of(texts):
