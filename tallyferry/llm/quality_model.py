@@ -3,11 +3,15 @@
 Views. The text view sees hashed words (as written, with their signs) and whether a word repeats
 the one before; the metadata view sees the document's language, source and layout: length, line
 length, share of capitals, digits, signs and distinct words, each in a fixed number of bins. Both
-are naive Bayes models: sums of feature counts per class, so training is one pass that adds up
+are naive Bayes models of good against junk; the text view has a second one of good against toxic, which
+sums the words that clearly speak for toxic (twelve times as frequent there) less what a good text of
+that many words has by chance, as a few words make a text toxic. It
+learns from labelled rows alone, as neither view's pseudo-labels tell toxic from good. The text view's
+score is the lower of its two. All are sums of feature counts per class, so training is one pass that adds up
 partial sums per task, over any number of rows, and a model is an array of fixed size.
 
-Rounds. Both views start from the labelled documents (good: ``quality`` is 1 and ``toxic`` is not 1)
-of the training folds. In each round every view scores all documents that have no label; documents
+Rounds. Both views start from the labelled documents (toxic: ``toxic`` is 1; of the others good:
+``quality`` is 1, else junk) of the training folds; toxic ones train that second model alone. In each round every view scores all documents that have no label; documents
 that it puts beyond ``confident`` become pseudo-labelled rows, with weight ``pseudo_weight``, for the
 OTHER view, which is then trained anew. All documents take part, none is sampled.
 
@@ -39,6 +43,8 @@ from pyspark.sql import functions as F
 
 from tallyferry.llm.shared import durable, text_or_empty
 
+JUNK, GOOD, TOXIC = 0, 1, 2
+CLASSES = (JUNK, GOOD, TOXIC)
 TEXT_BUCKETS = 1 << 15
 META_SLOTS, META_BINS = 10, 64
 FOLDS, HELD_OUT = 5, 4
@@ -81,7 +87,7 @@ def meta_features(text: str, lang: str, source: str) -> list[int]:
 
 
 def with_features(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, lang: str, source: str) -> DataFrame:
-    """doc_id, bag (binary), meta (binary), fold, good (1, 0 or null) of every document."""
+    """doc_id, bag (binary), meta (binary), fold, good (one of CLASSES or null) of every document."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"), text_or_empty(lang).alias("lang"), text_or_empty(source).alias("source"))
     id_type = slim.schema["doc_id"].dataType.simpleString()
 
@@ -100,7 +106,7 @@ def with_features(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     featured = slim.mapInArrow(run, f"doc_id {id_type}, bag binary, meta binary")
     usable = labels.where("doc_id is not null and quality is not null")
     grouped = usable.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("x"))
-    grouped = grouped.select(F.col("doc_id").alias("l_id"), ((F.col("q") == 1) & (F.col("x") != 1)).cast("int").alias("good"))
+    grouped = grouped.select(F.col("doc_id").alias("l_id"), F.when(F.col("x") == 1, TOXIC).when(F.col("q") == 1, GOOD).otherwise(JUNK).alias("good"))
     # one plan at every size: features are dealt out by id, never labels broadcast
     joined = featured.join(grouped.hint("merge"), F.col("doc_id") == F.col("l_id"), "left").drop("l_id")
     return joined.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int"))
@@ -108,22 +114,45 @@ def with_features(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
 
 @dataclass
 class View:
-    """Log odds per feature; scores are means over a document's features plus the prior."""
+    """Log odds per feature; scores are sums, or sums over the root of their number, plus the prior.
+
+    ``toxic`` is a second model of the view, whose score holds where it is lower.
+    """
 
     weights: np.ndarray
     prior: float
     mean: bool
+    toxic: View | None = None
+    by_chance: float = 0.0
 
     @classmethod
-    def fit(cls, counts: np.ndarray, documents: np.ndarray, mean: bool, smooth: float = 1.0) -> View:
-        """counts[class, feature] of documents that hold the feature; documents per class."""
+    def fit(cls, counts: np.ndarray, documents: np.ndarray, mean: bool, least_z: float | None = None, toxic: View | None = None, smooth: float = 1.0) -> View:
+        """counts[bad or good, feature] of documents that hold the feature; documents per class.
+
+        With ``least_z``, only features weigh that five bad rows hold, more often than good rows by as many
+        standard errors and twelve times as often; what good rows have of them for each feature is taken off by chance.
+        """
         shares = (counts + smooth) / (documents[:, None] + 2 * smooth)
-        return cls(np.log(shares[1]) - np.log(shares[0]), float(np.log((documents[1] + smooth) / (documents[0] + smooth))), mean)
+        weights = np.log(shares[1]) - np.log(shares[0])
+        by_chance = 0.0
+        if least_z is not None:
+            both = (counts.sum(axis=0) + smooth) / (documents.sum() + 2 * smooth)
+            shares = (counts + smooth * both) / (documents[:, None] + smooth)
+            weights = np.log(shares[1]) - np.log(shares[0])
+            error = np.sqrt(both * (1 - both) * (1 / (documents + smooth)).sum())
+            weights = np.where((shares[0] - shares[1] >= least_z * error) & (weights <= -np.log(12)) & (counts[0] >= 5), weights, 0.0)
+            by_chance = float(counts[1] @ weights / max(counts[1].sum(), 1))
+        return cls(weights, float(np.log((documents[1] + smooth) / (documents[0] + smooth))), mean, toxic, by_chance)
 
     def score(self, features: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The lower of both models' log odds."""
+        own = self.quality(features, lengths)
+        return own if self.toxic is None else np.minimum(own, self.toxic.quality(features, lengths))
+
+    def quality(self, features: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Log odds of many documents whose features are laid end to end."""
         edges = np.concatenate(([0], np.cumsum(lengths)))
-        sums = np.diff(np.concatenate(([0.0], np.cumsum(self.weights[features])))[edges])
+        sums = np.diff(np.concatenate(([0.0], np.cumsum(self.weights[features])))[edges]) - self.by_chance * lengths
         return (sums / np.sqrt(np.maximum(lengths, 1)) if self.mean else sums) + self.prior
 
 
@@ -156,22 +185,22 @@ def _totals(featured: DataFrame, models: dict[str, View] | None, confident: floa
     size = sum(SIZES.values()) + len(SIZES)  # per class: features and documents of each view
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, size))
+        sums = np.zeros((len(CLASSES), size))
         for raw in batches:
             b = Batch.of(raw)
             if not len(b.good):
                 continue
             labelled = (b.good >= 0) & (b.fold != HELD_OUT)
-            weights = {(v, c): (labelled & (b.good == c)).astype(float) for v in SIZES for c in (0, 1)}
+            weights = {(v, c): (labelled & (b.good == c)).astype(float) for v in SIZES for c in CLASSES}
             if models is not None:
                 free = b.good < 0
                 for v, other in (("text", "meta"), ("meta", "text")):
-                    p = 1 / (1 + np.exp(-models[other].score(*((b.metas, b.meta_lengths) if other == "meta" else (b.bags, b.bag_lengths)))))
-                    weights[v, 1] += weight * (free & (p >= confident))
-                    weights[v, 0] += weight * (free & (p <= 1 - confident))
+                    p = 1 / (1 + np.exp(-np.clip(models[other].quality(*((b.metas, b.meta_lengths) if other == "meta" else (b.bags, b.bag_lengths))), -50, 50)))
+                    weights[v, GOOD] += weight * (free & (p >= confident))
+                    weights[v, JUNK] += weight * (free & (p <= 1 - confident))
             at = 0
             for v, (features, lengths) in (("text", (b.bags, b.bag_lengths)), ("meta", (b.metas, b.meta_lengths))):
-                for c in (0, 1):
+                for c in CLASSES:
                     sums[c, at : at + SIZES[v]] += np.bincount(features, np.repeat(weights[v, c], lengths), SIZES[v])
                     sums[c, at + SIZES[v]] += weights[v, c].sum()
                 at += SIZES[v] + 1
@@ -179,10 +208,10 @@ def _totals(featured: DataFrame, models: dict[str, View] | None, confident: floa
         yield pa.RecordBatch.from_arrays([pa.array(c * size + k), pa.array(sums[c, k])], names=["slot", "n"])
 
     added = featured.select("bag", "meta", "good", "fold").mapInArrow(run, "slot long, n double").groupBy("slot").agg(F.sum("n").alias("n"))
-    sums = np.zeros(2 * size)
-    for r in added.toArrow().to_pylist():  # at most 2 * size rows, whatever the input
-        sums[r["slot"]] = r["n"]
-    sums = sums.reshape(2, size)
+    sums = np.zeros(len(CLASSES) * size)
+    rows = added.toArrow()  # at most len(CLASSES) * size rows, whatever the input
+    sums[rows["slot"].to_numpy()] = rows["n"].to_numpy()
+    sums = sums.reshape(len(CLASSES), size)
     out, at = {}, 0
     for v, n in SIZES.items():
         out[v] = (sums[:, at : at + n], sums[:, at + n])
@@ -227,7 +256,7 @@ def _calibrate(featured: DataFrame, models: dict[str, View]) -> CoTrained:
             for k, (v, (f, n)) in enumerate((("text", (b.bags, b.bag_lengths)), ("meta", (b.metas, b.meta_lengths)))):
                 at = np.searchsorted(edges[v], models[v].score(f, n)) if len(b.good) else np.zeros(0, int)
                 for c in (0, 1):
-                    sums[k, c] += np.bincount(at[(b.good == c)], minlength=CALIBRATION_BINS)
+                    sums[k, c] += np.bincount(at[(b.good == GOOD) == bool(c)], minlength=CALIBRATION_BINS)
         flat = sums.ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.nonzero(flat)[0]), pa.array(flat[flat > 0])], names=["slot", "n"])
 
@@ -249,9 +278,12 @@ def co_train(featured: DataFrame, rounds: int = 3, confident: float = 0.99, pseu
     """The combined model; the share of good labels if there is only one class."""
     counts = _totals(featured, None, confident, pseudo_weight)
     documents = counts["text"][1]
-    if not documents.all():
-        return 1.0 if not documents.any() else float(documents[1] > 0)
-    fit = lambda c: {v: View.fit(*c[v], mean=v == "text") for v in SIZES}
+    if not (documents[GOOD] and documents.sum() > documents[GOOD]):
+        return 1.0 if not documents.any() else float(documents[GOOD] > 0)
+    own, many = counts["text"]
+    toxic = View.fit(own[[TOXIC, GOOD]], many[[TOXIC, GOOD]], mean=False, least_z=4.0) if many[TOXIC] else None
+    both = [JUNK, GOOD]
+    fit = lambda c: {v: View.fit(n[both], d[both], mean=v == "text", toxic=toxic if v == "text" else None) for v, (n, d) in c.items()}
     models = fit(counts)
     for _ in range(rounds):
         models = fit(_totals(featured, models, confident, pseudo_weight))
