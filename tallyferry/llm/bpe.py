@@ -3,7 +3,7 @@
 Every partition gathers the distinct words of a block of texts, lays their bytes out in one
 sequence, and indexes each mergeable pair to all its positions. Ranks are applied in ascending
 order: a merge rewrites all positions of its pair and enters the pairs that this makes into the
-index. A later merge never has a lower rank than the pair that made it possible, so the order over
+index. A frequent pair's positions are rewritten together, as arrays. A later merge never has a lower rank than the pair that made it possible, so the order over
 all words at once gives each word what it would get alone. Finished pieces and words are kept in two
 generations of bounded size each, which all tasks of a Python worker share: a full younger one becomes
 the older, and what is met again moves up, so frequent pieces stay and memory does not grow.
@@ -73,7 +73,7 @@ class Generations:
 class PairIndexCodec:
     """Encoder and decoder for one vocabulary file; texts in, little-endian 32-bit ids out."""
 
-    def __init__(self, path: str, cache_entries: int = 300_000, block_words: int = 50_000) -> None:
+    def __init__(self, path: str, cache_entries: int = 300_000, block_words: int = 400_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         signs = byte_signs()
@@ -91,6 +91,9 @@ class PairIndexCodec:
             left, right = vocab[a], vocab[b]
             self.rank[left << 32 | right] = len(self.merges)
             self.merges.append((left, right, vocab[a + b]))
+        keys = np.fromiter(self.rank, np.int64, len(self.rank))
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], np.fromiter(self.rank.values(), np.int64, len(keys))[order]
         self.byte_ids = np.array([*self.byte_id, -1], np.int64)
         # rank of each pair of bytes; row and column 256 stand for the end of a word
         self.byte_rank = np.full((257, 257), -1, np.int64)
@@ -109,8 +112,10 @@ class PairIndexCodec:
         starts = (ends - lengths).tolist()
         laid = np.frombuffer(b"\0".join([*coded, b""]), np.uint8).astype(np.int64)
         laid[ends - 1] = 256
-        ids: list[int] = self.byte_ids[laid].tolist()
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        tokens = self.byte_ids[laid]
+        nexts, lasts = np.arange(1, len(tokens) + 1), np.arange(-1, len(tokens) - 1)
+        # the same memory, read and written one by one
+        ids, after, before = memoryview(tokens), memoryview(nexts), memoryview(lasts)
         ranks = self.byte_rank[laid[:-1], laid[1:]]
         at = np.nonzero(ranks >= 0)[0]
         at = at[np.argsort(ranks[at], kind="stable")]
@@ -121,7 +126,16 @@ class PairIndexCodec:
         while active:
             r = heapq.heappop(active)
             left, right, new = merges[r]
-            for i in sorted(where.pop(r)):
+            places = where.pop(r)
+            if len(places) >= 48 and left != right:
+                for q, found in self._merge_places(np.array(places), r, tokens, nexts, lasts):
+                    if q in where:
+                        where[q] += found
+                    else:
+                        where[q] = found
+                        heapq.heappush(active, q)
+                continue
+            for i in sorted(places):
                 j = after[i]
                 if ids[i] != left or ids[j] != right:
                     continue
@@ -136,6 +150,7 @@ class PairIndexCodec:
                     else:
                         where[q] = [at]
                         heapq.heappush(active, q)
+        ids, after = tokens.tolist(), nexts.tolist()
         out = []
         for i in starts:
             own = array("I")
@@ -145,6 +160,30 @@ class PairIndexCodec:
             out.append(own.tobytes())
         return out
 
+    def _merge_places(self, at: np.ndarray, r: int, ids: np.ndarray, after: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """Merge all places of a pair of two different tokens, which cannot overlap; the new pairs' ranks and places."""
+        left, right, new = self.merges[r]
+        j = after[at]
+        real = (ids[at] == left) & (ids[j] == right)
+        at, j = at[real], j[real]
+        k = after[j]
+        ids[at], ids[j] = new, -2
+        after[at], before[k] = k, at
+        p = before[at]
+        own, then = ids[p], ids[k]
+        # a new token before a new token is found from the second one's side
+        has_left, has_right = own >= 0, (then >= 0) & (then != new)
+        keys = np.concatenate((own[has_left] << 32 | new, new << 32 | then[has_right]))
+        places = np.concatenate((p[has_left], at[has_right]))
+        slot = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        known = self.pair_keys[slot] == keys
+        ranks, places = self.pair_ranks[slot[known]], places[known]
+        order = np.argsort(ranks, kind="stable")
+        firsts, edges = np.unique(ranks[order], return_index=True)
+        places, bounds = places[order].tolist(), [*edges.tolist(), len(order)]
+        for n, q in enumerate(firsts.tolist()):
+            yield q, places[bounds[n] : bounds[n + 1]]
+
     def _learn(self, pieces: Iterable[str]) -> None:
         """Encode the pieces that are not known yet."""
         split = {p: WORDS.findall(p) for p in pieces}
@@ -164,19 +203,29 @@ class PairIndexCodec:
         return [parts[0], *[" " + p for p in parts[1:]]]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        segments = []
+        segments: list[list[str]] = []
+        breaks: list[list[tuple[int, bytes]]] = []  # special tokens: how many pieces come before, ids
         for text in texts:
-            own: list[str | bytes] = []
+            own: list[str] = []
+            special = []
             at = 0
             if self.find_special is not None and any(s in text for s in self.special):
                 for m in self.find_special.finditer(text):
-                    own += [*self._cut(text[at : m.start()]), array("I", [self.special[m[0]]]).tobytes()]
+                    own += self._cut(text[at : m.start()])
+                    special.append((len(own), array("I", [self.special[m[0]]]).tobytes()))
                     at = m.end()
             segments.append(own + self._cut(text[at:]))
+            breaks.append(special)
         self.pieces.age()
-        self._learn(self.pieces.missing({p for own in segments for p in own if isinstance(p, str)}))
-        known = self.pieces.young
-        return [b"".join([known[p] if isinstance(p, str) else p for p in own]) for own in segments]
+        self._learn(self.pieces.missing(set().union(*segments)))
+        known = self.pieces.young.__getitem__
+        out = []
+        for own, special in zip(segments, breaks, strict=True):
+            coded = list(map(known, own))
+            for k, ids in reversed(special):
+                coded.insert(k, ids)
+            out.append(b"".join(coded))
+        return out
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I").tolist())).decode("utf-8", errors="replace")
@@ -188,7 +237,7 @@ def codec_of(path: str) -> PairIndexCodec:
     return PairIndexCodec(path)
 
 
-def blocks_of(texts: pa.Array, max_bytes: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def blocks_of(texts: pa.Array, max_bytes: int = 8_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``max_bytes`` of text."""
     start = held = 0
     for i, n in enumerate(pc.binary_length(texts).to_pylist()):
