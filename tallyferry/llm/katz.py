@@ -11,11 +11,15 @@ probabilities of a context add up to one exactly. P(w|h) is d c(h,w) / c(h) for
 alpha(h) P(w); a context without training pairs has alpha 1. A text's score is the sum over its
 tokens.
 
-Tables. Words, pairs and contexts are Spark tables dealt out by hash; pair and word counts are
-summed on the map side first, so a frequent pair meets as one partial row per task. Scoring works
-on (document, pair) rows with a count: they are joined to the pair table, and only what is unseen
-takes its backoff weight and unigram from the other two. Words are carried as 64-bit hashes.
-Nothing is sent to the driver but a few totals.
+Tables. Tasks pack blocks of tokens into one binary row per block and partition: the block's
+distinct pairs with the documents that hold them, dealt by the word. So a partition sees every use
+of its words and pairs, counts them, and writes, to a table partitioned by kind, what its words add
+to each document, what its pairs add to each context (pairs seen r times, mass of their words), the
+unseen pairs and the totals. Discounts are known only after that; they multiply the sums of each r.
+As c(h) is also the count of h as a word, the sums take it from the word's own partition; unseen
+pairs (held-out texts alone have them) get log c(h) alpha(h) from the context table instead. Words
+that are at least one token in a thousand (at most a thousand words, whatever the input) are counted
+before and their pairs dealt by both words, so that no word fills a partition. Words are 64-bit hashes.
 
 Null texts count as empty and hold the end token alone; a null id's text of the digest is empty;
 rows that repeat an id and text are scored and counted each; an empty table gives no rows; without
@@ -24,31 +28,28 @@ training tokens every word is unseen. Extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.llm.shared import LOWER, UPPER, durable, split_words, text_or_empty
+from tallyferry.llm.shared import shared_dir, text_or_empty
 
-#: Start context and end token: texts with a blank, which no word has.
-START, END = "\t s", "\t e"
+#: Start context and end token: texts with a blank, which no word has; their places in every block's words.
+START, END = b"\t s", b"\t e"
+DOCUMENT, CONTEXT, UNSEEN, TOTAL = range(4)
+#: A word is frequent from this share of all tokens on.
+FREQUENT = 1 / 1000
 
 
 def held_out(doc_id: Column, parts: int = 7, held: int = 2) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts) == held
 
 
-def pairs_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, row (its key), held_out, p (the pair as a hash), h, w, m (how often)."""
-    t = text_or_empty(text)
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.translate(t, UPPER, LOWER).alias("t"))
-    slim = slim.withColumns({"row": F.xxhash64("doc_id", "t"), "held_out": held_out(F.col("doc_id")), "x": F.transform(split_words(F.col("t")), lambda w: F.xxhash64(w))})
-    last = F.xxhash64(F.lit(END))
-    tokens = F.concat(F.col("x"), F.array(last))
-    before = F.concat(F.array(F.xxhash64(F.lit(START))), F.col("x"))
-    both = slim.select("doc_id", "row", "held_out", F.inline(F.arrays_zip(before.alias("h"), tokens.alias("w"))))
-    return both.toDF("doc_id", "row", "held_out", "h", "w")
-
-
 def good_turing(counts: dict[int, int], k: int) -> dict[int, float]:
     """Discount of counts 1 to k from the number of pairs seen r times."""
     if not counts.get(1) or any(not counts.get(r) for r in range(1, k + 2)):
@@ -61,43 +62,249 @@ def good_turing(counts: dict[int, int], k: int) -> dict[int, float]:
     return out
 
 
-def train(tokens: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame, DataFrame, int, int]:
-    """(pairs: h, w, p; contexts: h, alpha; words: w, c; N; V)."""
-    seen = tokens.where(~F.col("held_out"))
-    words = durable(seen.groupBy("w").agg(F.count(F.lit(1)).alias("c")))
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    pairs = durable(seen.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")))
-    many = {r["n"]: r["count"] for r in pairs.where(F.col("n") <= k + 1).groupBy("n").count().collect()}  # at most k + 1 rows
-    discount = F.lit(1.0)
-    for r, d in good_turing(many, k).items():
-        discount = F.when(F.col("n") == r, F.lit(d)).otherwise(discount)
-    unigram = (F.col("c") + 1) / F.lit(float(total + distinct + 1))
-    full = pairs.groupBy("h").agg(F.sum("n").alias("all"))
-    shares = pairs.join(words, "w").select("h", (discount * F.col("n")).alias("kept"), unigram.alias("low"), F.col("n"))
-    contexts = shares.groupBy("h").agg(F.sum("kept").alias("kept"), F.sum("low").alias("low"), F.sum("n").alias("all"))
-    alpha = (1 - F.col("kept") / F.col("all")) / (1 - F.col("low"))
+class WordPlaces(dict):
+    """Word -> its place in the order of first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
+
+
+class Block:
+    """Tokens of some documents: words as places in ``hashes``, laid end to end without the end tokens."""
+
+    def __init__(self) -> None:
+        self.places = WordPlaces({START: 0, END: 1})
+        self.keys: list[int] = []
+        self.held: list[bool] = []
+        self.texts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, key: int, held: bool, text: bytes) -> None:
+        words = text.lower().split()
+        self.texts.append(np.fromiter(map(self.places.__getitem__, words), np.int32, len(words)))
+        self.keys.append(key)
+        self.held.append(held)
+        self.size += len(words) + 1
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter((xxhash.xxh64_intdigest(w) for w in self.places), np.uint64, len(self.places)).view(np.int64)
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch], most_tokens: int = 2_000_000) -> Iterator[Block]:
+    """Blocks of about ``most_tokens`` tokens from batches of (key, held_out, text as binary)."""
+    block = Block()
+    for batch in batches:
+        for key, held, text in zip(*(batch.column(k) for k in range(3)), strict=True):
+            block.add(key.as_py(), held.as_py(), text.as_py())
+            if block.size >= most_tokens:
+                yield block
+                block = Block()
+    if block.size:
+        yield block
+
+
+def frequent_words(slim: DataFrame) -> tuple[dict[int, int], int]:
+    """Hash -> count in training texts of the words that are FREQUENT; the number of all tokens."""
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks_of(batches):
+            n = np.bincount(np.concatenate(b.texts), minlength=len(b.places))
+            n[1] += len(b.texts)
+            own = n >= FREQUENT / 2 * b.size
+            own[0] = True  # its row carries the block's size
+            n[0] = b.size
+            hashes = b.hashes()
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[own]), pa.array(n[own])], names=["w", "n"])
+
+    # a frequent word of the whole passes the halved share in blocks that hold at least half its uses
+    start = xxhash.xxh64_intdigest(START) - (1 << 64 if xxhash.xxh64_intdigest(START) >> 63 else 0)
+    sums = slim.mapInArrow(candidates, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    total = sums.where(F.col("w") == start).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = sums.where((F.col("w") != start) & (F.col("n") >= total * FREQUENT / 2)).select("w").collect()  # at most 2 / FREQUENT rows
+    hot = np.array(sorted(r["w"] for r in found), np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks_of(batches):
+            trained = [t for t, h in zip(b.texts, b.held, strict=True) if not h]
+            n = np.bincount(np.concatenate([np.zeros(0, np.int32), *trained]), minlength=len(b.places))
+            n[1] += len(trained)
+            hashes = b.hashes()
+            own = np.isin(hashes, hot)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[own]), pa.array(n[own])], names=["w", "n"])
+
+    if not len(hot):
+        return {}, total
+    exact = slim.mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()  # the same rows
+    return {r["w"]: r["n"] for r in exact}, total
+
+
+def pack(arrays: list[np.ndarray]) -> tuple[int, bytes]:
+    """Size before compression, and the arrays' bytes by significance, compressed."""
+    sizes = np.array([len(a) for a in arrays], np.int64).tobytes()
+    raw = sizes + b"".join([a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays])
+    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+#: What a packed row holds: words' hashes, pairs per word, previous words' hashes, documents per pair,
+#: those documents' places and how often each has the pair, keys of the documents, whether held out.
+PACKED = (np.int64, np.int32, np.int64, np.int32, np.int32, np.int32, np.int64, np.uint8)
+
+
+def unpack(size: int, data: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True), np.uint8)
+    sizes, at, out = raw[: 8 * len(PACKED)].view(np.int64), 8 * len(PACKED), []
+    for n, kind in zip(sizes.tolist(), PACKED, strict=True):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).view(kind).ravel())
+        at += n * width
+    return out
+
+
+def starts_of(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Whether each row differs from the one before."""
+    new = np.ones(len(sorted_columns[0]), bool)
+    if len(new):
+        new[1:] = np.any([c[1:] != c[:-1] for c in sorted_columns], axis=0)
+    return new
+
+
+def packed_pairs(slim: DataFrame, parts: int, hot: dict[int, int]) -> DataFrame:
+    """part, size, data: one row per block and partition."""
+    frequent = np.array(sorted(hot), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks_of(batches):
+            hashes, held, keys = b.hashes(), np.array(b.held, np.uint8), np.array(b.keys, np.int64)
+            many = np.array([len(t) + 1 for t in b.texts], np.int64)
+            w = np.ones(b.size, np.int64)
+            ends = np.cumsum(many) - 1
+            inside = np.ones(b.size, bool)
+            inside[ends] = False
+            w[inside] = np.concatenate(b.texts)
+            h = np.concatenate(([0], w[:-1]))
+            h[ends[:-1] + 1] = 0
+            pairs, which = np.unique(w << 32 | h, return_inverse=True)
+            uses, m = np.unique(which * len(keys) + np.repeat(np.arange(len(keys)), many), return_counts=True)
+            of, doc = np.divmod(uses, len(keys))
+            w, h = pairs >> 32, hashes[pairs & 0xFFFFFFFF]
+            mixed = hashes.view(np.uint64)[w] >> np.uint64(3)
+            if len(frequent):
+                mixed = np.where(np.isin(hashes, frequent)[w], mixed + h.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(5), mixed)
+            part = (mixed % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((h, w, part))
+            place = np.empty_like(order)
+            place[order] = np.arange(len(order))
+            again = np.argsort(place[of], kind="stable")
+            of, doc, m = place[of][again], doc[again], m[again]
+            part, w, h = part[order], w[order], h[order]
+            refs = np.bincount(of, minlength=len(part))
+            edges = np.searchsorted(part, np.arange(parts + 1))
+            ref_edges = np.concatenate(([0], np.cumsum(refs)))[edges]
+            for k in np.nonzero(np.diff(edges))[0].tolist():
+                x, y, u, v = edges[k], edges[k + 1], ref_edges[k], ref_edges[k + 1]
+                first = np.nonzero(starts_of(w[x:y]))[0]
+                docs, local = np.unique(doc[u:v], return_inverse=True)
+                columns = [hashes[w[x:y][first]], np.diff(np.append(first, y - x)), h[x:y], refs[x:y], local, m[u:v], keys[docs], held[docs]]
+                size, data = pack([np.ascontiguousarray(c, t) for c, t in zip(columns, PACKED, strict=True)])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([size], pa.int64()), pa.array([data], pa.binary())], names=["part", "size", "data"])
+
+    return slim.mapInArrow(run, "part int, size long, data binary")
+
+
+def tables(packed: DataFrame, hot: dict[int, int], k: int) -> DataFrame:
+    """kind, key, h, v0 and on: what every partition's words and pairs add up to."""
+    wide = 6 + k
+    end = np.uint64(xxhash.xxh64_intdigest(END)).view(np.int64)
+
+    def rows(kind: int, key: np.ndarray, h: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
+        none = np.zeros(len(key))
+        values = [*values, *[none] * (wide - len(values))]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(h), *map(pa.array, values)], names=["kind", "key", "h", *(f"v{i}" for i in range(wide))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[list[np.ndarray]] = [[] for _ in range(7)]
+        held_docs = pairs_before = docs_before = 0
+        for batch in batches:
+            for size, data in zip(batch.column(1), batch.column(2), strict=True):
+                words, per_word, h, refs, doc, m, keys, held_docs = unpack(size.as_py(), data.as_py())
+                new = [np.repeat(words, per_word), h, np.repeat(np.arange(len(h), dtype=np.int32), refs) + np.int32(pairs_before), doc + np.int32(docs_before), m, keys, held_docs]
+                pairs_before, docs_before = pairs_before + len(h), docs_before + len(keys)
+                for column, value in zip(got, new, strict=True):
+                    column.append(value)
+        if not pairs_before:
+            return
+        w, h, of, doc, m, keys, held = (np.concatenate(c) for c in got)
+        got.clear()
+        order = np.lexsort((h, w))
+        w, h = w[order], h[order]
+        new_pair, new_word = starts_of(w, h), starts_of(w)
+        group = np.empty(len(order), np.int32)
+        group[order] = np.cumsum(new_pair) - 1
+        w, h, word = w[new_pair], h[new_pair], (np.cumsum(new_word) - 1)[new_pair]
+        of = group[of]
+        n = np.bincount(of, m * (held[doc] == 0), len(w))
+        own = w[starts_of(w)]
+        c = np.bincount(word, n, len(own))
+        is_hot = np.isin(own, np.array(sorted(hot), np.int64))
+        c[is_hot] = [hot[x] for x in own[is_hot].tolist()]
+        new_word_count = np.count_nonzero((c > 0) & ~is_hot)
+        base = np.log10(c + 1)
+        as_context = np.where((c > 0) & (own != end), np.log10(np.maximum(c, 1)), 0.0)
+        pair_score = np.where(n > 0, np.log10(np.maximum(n, 1)), base[word]) - as_context[word]
+        add = lambda value: np.bincount(doc, m * value[of], len(keys))
+        each = [np.bincount(doc, m, len(keys)), add((c > 0)[word]), add(n == 0), add(base[word]), add(pair_score), *(add(n == r) for r in range(1, k + 1))]
+        docs, which = np.unique(keys, return_inverse=True)
+        yield rows(DOCUMENT, docs, np.zeros(len(docs), np.int64), *(np.bincount(which, e, len(docs)) for e in each))
+        unseen = n[of] == 0
+        yield rows(UNSEEN, keys[doc[unseen]], h[of[unseen]], m[unseen].astype(float))
+        seen = n > 0
+        contexts, which = np.unique(h[seen], return_inverse=True)
+        size = len(contexts)
+        none = np.zeros(size)
+        yield rows(CONTEXT, np.zeros(size, np.int64), contexts, np.bincount(which, n[seen], size), np.bincount(which, c[word][seen] + 1, size), none, none, none, *(np.bincount(which, n[seen] == r, size) for r in range(1, k + 1)))
+        one = lambda x: np.array([float(x)])
+        yield rows(TOTAL, np.zeros(1, np.int64), np.zeros(1, np.int64), one(n.sum()), one(new_word_count), one(0), one(0), one(0), *(one(np.count_nonzero(n == r)) for r in range(1, k + 2)))
+
+    return packed.mapInArrow(run, "kind int, key long, h long, " + ", ".join(f"v{i} double" for i in range(wide)))
+
+
+def train(slim: DataFrame, k: int = 5, part_tokens: int = 4_000_000) -> tuple[DataFrame, DataFrame, dict[int, float], int, int]:
+    """(the tables by kind; contexts: h, total, alpha; discounts; N; V)."""
+    spark = slim.sparkSession
+    hot, tokens = frequent_words(slim)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // part_tokens), 1)
+    path = f"{shared_dir(spark)}/katz/{uuid.uuid4().hex}"
+    packed = packed_pairs(slim, parts, hot).repartitionById(parts, "part")
+    tables(packed, hot, k).write.partitionBy("kind").parquet(path)
+    stored = spark.read.schema("key long, h long, " + ", ".join(f"v{i} double" for i in range(6 + k)) + ", kind int").parquet(path)
+    sums = stored.where(F.col("kind") == TOTAL).agg(*(F.coalesce(F.sum(f"v{i}"), F.lit(0.0)) for i in range(6 + k))).first()
+    total, distinct = int(sums[0]), int(sums[1]) + sum(n > 0 for n in hot.values())
+    discounts = good_turing({r: int(sums[4 + r]) for r in range(1, k + 2)}, k)
+    removed = sum((F.col(f"v{4 + r}") * ((1 - d) * r) for r, d in discounts.items()), F.lit(0.0))
+    contexts = stored.where(F.col("kind") == CONTEXT).select("h", "v0", "v1", removed.alias("removed"))
+    contexts = contexts.groupBy("h").agg(F.sum("v0").alias("total"), F.sum("v1").alias("low"), F.sum("removed").alias("removed"))
+    alpha = (F.col("removed") / F.col("total")) / (1 - F.col("low") / F.lit(float(total + distinct + 1)))
     # a context whose pairs keep all their mass leaves the smallest share for the rest
-    contexts = contexts.select("h", F.greatest(alpha, F.lit(1e-12)).alias("alpha"))
-    model = pairs.join(full, "h").select("h", "w", (discount * F.col("n") / F.col("all")).alias("p"))
-    return model, contexts, words, int(total), int(distinct)
+    return stored, contexts.select("h", "total", F.greatest(alpha, F.lit(1e-12)).alias("alpha")), discounts, total, distinct
 
 
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    tokens = pairs_of(docs, doc_id, text)
-    model, contexts, words, total, distinct = train(tokens, k)
-    contexts = durable(contexts)
-    uses = tokens.groupBy("row", "doc_id", "held_out", "h", "w").agg(F.count(F.lit(1)).alias("m"))
-    found = uses.join(model, ["h", "w"], "left").join(words, "w", "left").join(contexts, "h", "left")
-    c = F.coalesce("c", F.lit(0))
-    unigram = (c + 1) / F.lit(float(total + distinct + 1))
-    p = F.coalesce("p", F.coalesce("alpha", F.lit(1.0)) * unigram)
-    base = F.log10((c + 1) / F.lit(float(total + distinct + 1)))
-    per_row = found.groupBy("row").agg(F.sum("m").alias("n_tokens"), F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("n_known"), F.sum(F.col("m") * base).alias("base_score"), F.sum(F.col("m") * F.log10(p)).alias("score"))
-    t = F.translate(text_or_empty(text), UPPER, LOWER)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), t).alias("row"), held_out(F.col(doc_id)).alias("held_out"))
-    # repeated rows share a key: their sums hold every copy
-    copies = rows.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
-    out = rows.join(per_row.join(copies, "row"), "row")
-    share = lambda x: (F.col(x) / F.col("copies"))
-    return out.select("doc_id", "held_out", share("n_tokens").cast("long").alias("n_tokens"), share("n_known").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), share("base_score").alias("base_score"), share("score").alias("score"))
+    t = text_or_empty(text)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), t).alias("key"), held_out(F.col(doc_id)).alias("held_out"), t.cast("binary").alias("text"))
+    stored, contexts, discounts, total, distinct = train(rows.select("key", "held_out", "text"), k)
+    unseen = stored.where(F.col("kind") == UNSEEN).select("key", "h", "v0").join(contexts, "h")
+    backed = unseen.select("key", *(F.lit(0.0).alias(f"v{i}") for i in range(4)), (F.col("v0") * F.log10(F.col("total") * F.col("alpha"))).alias("v4"))
+    # the discounts of seen pairs join the sum as soon as they are known
+    discounted = F.col("v4") + sum((F.col(f"v{4 + r}") * float(np.log10(d)) for r, d in discounts.items()), F.lit(0.0))
+    own = stored.where(F.col("kind") == DOCUMENT).select("key", *(f"v{i}" for i in range(4)), discounted.alias("v4"))
+    per_key = own.unionByName(backed).groupBy("key").agg(*(F.sum(f"v{i}").alias(f"v{i}") for i in range(5)))
+    rows = rows.drop("text")
+    counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    started = rows.where(~F.col("held_out")).count()
+    scale = float(np.log10(total + distinct + 1))
+    share = lambda x: F.col(x) / F.col("copies")  # noqa: E731  repeated rows share a key: its sums hold every copy
+    score = share("v4") - share("v2") * scale - (float(np.log10(started)) if started else 0.0)
+    out = rows.join(per_key.join(counted, "key"), "key")
+    return out.select("doc_id", "held_out", share("v0").cast("long").alias("n_tokens"), share("v1").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (share("v3") - share("v0") * scale).alias("base_score"), score.alias("score"))

@@ -2,6 +2,7 @@
 
 import os
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -118,21 +119,41 @@ def test_license_scan(spark, nothing):
     assert licenses.scan(nothing).count() == 0 and len(licenses.rules()) > 200
 
 
-def test_katz_sums_to_one(spark, docs, nothing):
-    tokens = katz.pairs_of(docs, "doc_id", "text")
-    model, contexts, words, total, distinct = katz.train(tokens)
-    low = {r["w"]: (r["c"] + 1) / (total + distinct + 1) for r in words.collect()}
-    seen: dict[int, dict[int, float]] = {}
-    for r in model.collect():
-        seen.setdefault(r["h"], {})[r["w"]] = r["p"]
-    for r in contexts.collect():
-        own = seen[r["h"]]
-        rest = 1 - sum(low[w] for w in own)  # all other words, and the unseen one
-        if r["alpha"] > 1e-12:
-            assert abs(sum(own.values()) + r["alpha"] * rest - 1) < 1e-9
-    out = katz.score_texts(docs).collect()
-    assert len(out) == docs.count()
-    assert all(r["held_out"] == (zlib.crc32(str("" if r["doc_id"] is None else r["doc_id"]).encode()) % 7 == 2) for r in out)
+def katz_by_hand(rows, k=5):
+    """Scores of (doc_id, text) rows from plain counts, and whether each context adds up to one."""
+    ids = [str("" if d is None else d) for d, _ in rows]
+    held = [zlib.crc32(i.encode()) % 7 == 2 for i in ids]
+    texts = [[*(t or "").encode().lower().split(), b"\t e"] for _, t in rows]
+    pairs, words = Counter(), Counter()
+    for t, out in zip(texts, held, strict=True):
+        if not out:
+            words.update(t)
+            pairs.update(zip([b"\t s", *t], t, strict=False))
+    scale = words.total() + len(words) + 1
+    d = katz.good_turing(Counter(pairs.values()), k)
+    full, mass, low = Counter(), Counter(), Counter()
+    for (h, w), n in pairs.items():
+        full[h] += n
+        mass[h] += d.get(n, 1.0) * n
+        low[h] += (words[w] + 1) / scale
+    alpha = {h: max((1 - mass[h] / full[h]) / (1 - low[h]), 1e-12) for h in full}
+    # a context's seen words, and its weight for all others and the unseen one
+    assert all(abs(mass[h] / full[h] + alpha[h] * (1 - low[h]) - 1) < 1e-9 for h in full if alpha[h] > 1e-12)
+    p = lambda h, w: d.get(pairs[h, w], 1.0) * pairs[h, w] / full[h] if pairs[h, w] else alpha.get(h, 1.0) * (words[w] + 1) / scale
+    scores = [sum(np.log10(p(h, w)) for h, w in zip([b"\t s", *t], t, strict=False)) for t in texts]
+    base = [sum(np.log10((words[w] + 1) / scale) for w in t) for t in texts]
+    known = [sum(w in words for w in t) for t in texts]
+    return [(out, len(t), n, words.total(), b, s) for out, t, n, b, s in zip(held, texts, known, base, scores, strict=True)]
+
+
+def test_katz_equals_brute_force(spark, docs, nothing):
+    real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    for table in (docs, real):
+        rows = [(r["doc_id"], r["text"]) for r in table.collect()]
+        want = sorted(((d, *w) for (d, _), w in zip(rows, katz_by_hand(rows), strict=True)), key=lambda r: (str(r[0]), r[2]))
+        got = sorted((tuple(r) for r in katz.score_texts(table).collect()), key=lambda r: (str(r[0]), r[2]))
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        np.testing.assert_allclose(np.array([r[5:] for r in got], float), np.array([r[5:] for r in want], float), rtol=1e-9)
     assert katz.score_texts(nothing).count() == 0
 
 
