@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.llm.shared import shared_dir, text_or_empty
+from tallyferry.llm.shared import durable, shared_dir, text_or_empty
 
 #: Start context and end token: texts with a blank, which no word has; their places in every block's words.
 START, END = b"\t s", b"\t e"
@@ -91,7 +91,7 @@ class Block:
         return np.fromiter((xxhash.xxh64_intdigest(w) for w in self.places), np.uint64, len(self.places)).view(np.int64)
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch], most_tokens: int = 2_000_000) -> Iterator[Block]:
+def blocks_of(batches: Iterator[pa.RecordBatch], most_tokens: int = 1_000_000) -> Iterator[Block]:
     """Blocks of about ``most_tokens`` tokens from batches of (key, held_out, text as binary)."""
     block = Block()
     for batch in batches:
@@ -119,7 +119,7 @@ def frequent_words(slim: DataFrame) -> tuple[dict[int, int], int]:
 
     # a frequent word of the whole passes the halved share in blocks that hold at least half its uses
     start = xxhash.xxh64_intdigest(START) - (1 << 64 if xxhash.xxh64_intdigest(START) >> 63 else 0)
-    sums = slim.mapInArrow(candidates, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    sums = durable(slim.mapInArrow(candidates, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")))
     total = sums.where(F.col("w") == start).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = sums.where((F.col("w") != start) & (F.col("n") >= total * FREQUENT / 2)).select("w").collect()  # at most 2 / FREQUENT rows
     hot = np.array(sorted(r["w"] for r in found), np.int64)
@@ -173,41 +173,47 @@ def packed_pairs(slim: DataFrame, parts: int, hot: dict[int, int]) -> DataFrame:
     """part, size, data: one row per block and partition."""
     frequent = np.array(sorted(hot), np.int64)
 
+    def rows_of(b: Block) -> pa.RecordBatch:
+        out = []
+        hashes, held, keys = b.hashes(), np.array(b.held, np.uint8), np.array(b.keys, np.int64)
+        many = np.array([len(t) + 1 for t in b.texts], np.int64)
+        w = np.ones(b.size, np.int64)
+        ends = np.cumsum(many) - 1
+        inside = np.ones(b.size, bool)
+        inside[ends] = False
+        w[inside] = np.concatenate(b.texts)
+        h = np.concatenate(([0], w[:-1]))
+        h[ends[:-1] + 1] = 0
+        pairs, which = np.unique(w << 32 | h, return_inverse=True)
+        uses, m = np.unique(which * len(keys) + np.repeat(np.arange(len(keys)), many), return_counts=True)
+        of, doc = np.divmod(uses, len(keys))
+        w, h = pairs >> 32, hashes[pairs & 0xFFFFFFFF]
+        mixed = hashes.view(np.uint64)[w] >> np.uint64(3)
+        if len(frequent):
+            mixed = np.where(np.isin(hashes, frequent)[w], mixed + h.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(5), mixed)
+        part = (mixed % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((h, w, part))
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        again = np.argsort(place[of], kind="stable")
+        of, doc, m = place[of][again], doc[again], m[again]
+        part, w, h = part[order], w[order], h[order]
+        refs = np.bincount(of, minlength=len(part))
+        edges = np.searchsorted(part, np.arange(parts + 1))
+        ref_edges = np.concatenate(([0], np.cumsum(refs)))[edges]
+        for k in np.nonzero(np.diff(edges))[0].tolist():
+            x, y, u, v = edges[k], edges[k + 1], ref_edges[k], ref_edges[k + 1]
+            first = np.nonzero(starts_of(w[x:y]))[0]
+            docs, local = np.unique(doc[u:v], return_inverse=True)
+            columns = [hashes[w[x:y][first]], np.diff(np.append(first, y - x)), h[x:y], refs[x:y], local, m[u:v], keys[docs], held[docs]]
+            size, data = pack([np.ascontiguousarray(c, t) for c, t in zip(columns, PACKED, strict=True)])
+            out.append((k, size, data))
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "size", "data"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks_of(batches):
-            hashes, held, keys = b.hashes(), np.array(b.held, np.uint8), np.array(b.keys, np.int64)
-            many = np.array([len(t) + 1 for t in b.texts], np.int64)
-            w = np.ones(b.size, np.int64)
-            ends = np.cumsum(many) - 1
-            inside = np.ones(b.size, bool)
-            inside[ends] = False
-            w[inside] = np.concatenate(b.texts)
-            h = np.concatenate(([0], w[:-1]))
-            h[ends[:-1] + 1] = 0
-            pairs, which = np.unique(w << 32 | h, return_inverse=True)
-            uses, m = np.unique(which * len(keys) + np.repeat(np.arange(len(keys)), many), return_counts=True)
-            of, doc = np.divmod(uses, len(keys))
-            w, h = pairs >> 32, hashes[pairs & 0xFFFFFFFF]
-            mixed = hashes.view(np.uint64)[w] >> np.uint64(3)
-            if len(frequent):
-                mixed = np.where(np.isin(hashes, frequent)[w], mixed + h.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(5), mixed)
-            part = (mixed % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((h, w, part))
-            place = np.empty_like(order)
-            place[order] = np.arange(len(order))
-            again = np.argsort(place[of], kind="stable")
-            of, doc, m = place[of][again], doc[again], m[again]
-            part, w, h = part[order], w[order], h[order]
-            refs = np.bincount(of, minlength=len(part))
-            edges = np.searchsorted(part, np.arange(parts + 1))
-            ref_edges = np.concatenate(([0], np.cumsum(refs)))[edges]
-            for k in np.nonzero(np.diff(edges))[0].tolist():
-                x, y, u, v = edges[k], edges[k + 1], ref_edges[k], ref_edges[k + 1]
-                first = np.nonzero(starts_of(w[x:y]))[0]
-                docs, local = np.unique(doc[u:v], return_inverse=True)
-                columns = [hashes[w[x:y][first]], np.diff(np.append(first, y - x)), h[x:y], refs[x:y], local, m[u:v], keys[docs], held[docs]]
-                size, data = pack([np.ascontiguousarray(c, t) for c, t in zip(columns, PACKED, strict=True)])
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([size], pa.int64()), pa.array([data], pa.binary())], names=["part", "size", "data"])
+            yield rows_of(b)
 
     return slim.mapInArrow(run, "part int, size long, data binary")
 
@@ -269,7 +275,7 @@ def tables(packed: DataFrame, hot: dict[int, int], k: int) -> DataFrame:
     return packed.mapInArrow(run, "kind int, key long, h long, " + ", ".join(f"v{i} double" for i in range(wide)))
 
 
-def train(slim: DataFrame, k: int = 5, part_tokens: int = 4_000_000) -> tuple[DataFrame, DataFrame, dict[int, float], int, int]:
+def train(slim: DataFrame, k: int = 5, part_tokens: int = 3_000_000) -> tuple[DataFrame, DataFrame, dict[int, float], int, int]:
     """(the tables by kind; contexts: h, total, alpha; discounts; N; V)."""
     spark = slim.sparkSession
     hot, tokens = frequent_words(slim)
