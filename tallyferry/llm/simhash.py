@@ -12,9 +12,8 @@
 4. Links join entries to components; the smallest id of a component is its name.
 
 With 8 positions, 3 bits and :func:`half_triples` the keys are exact: of any 5 shared positions
-three lie in one half, and every triple of a half is a key. With wider fingerprints the distance
-can exceed the number of positions, keys are drawn from all positions (:func:`spread_keys`), and a
-pair is found if one of its keys is intact.
+three lie in one half, and every triple of a half is a key. No fingerprint finds all pairs of a given
+similarity, so :func:`keep_one_per_group` joins the shingle sets themselves.
 
 Posting lists longer than ``block`` are cut into blocks by hash, and each pair of blocks is checked
 on its own, so a group of near copies that fills a third of the table is spread over tasks. Within
@@ -30,7 +29,6 @@ columns are ignored by :func:`simhash_components` and kept by :func:`keep_one_pe
 from __future__ import annotations
 
 import itertools
-import random
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,6 +37,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyferry.llm import set_join
+from tallyferry.llm.links import components, posting_lists
 from tallyferry.llm.shared import durable
 
 SEED = 42
@@ -70,16 +70,6 @@ def half_triples(positions: int = 8) -> list[tuple[int, ...]]:
     return [t for part in (range(half), range(half, positions)) for t in itertools.combinations(part, 3)]
 
 
-def spread_keys(positions: int, size: int = 3, count: int = 64, seed: int = 7) -> list[tuple[int, ...]]:
-    """``count`` sets of ``size`` positions that use all positions about equally often."""
-    rng, out, deck = random.Random(seed), set(), []
-    while len(out) < count:
-        if len(deck) < size:
-            deck = rng.sample(range(positions), positions)
-        out.add(tuple(sorted(deck.pop() for _ in range(size))))
-    return sorted(out)
-
-
 def fingerprints(docs: DataFrame, doc_id: str, text: str, words: int, blocks: int) -> DataFrame:
     """doc_id and fp (binary) of every row."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("__text"))
@@ -171,47 +161,18 @@ def near_links(entries: DataFrame, keys: list[tuple[int, ...]], width: int, min_
         "node", "fp",
         F.explode(F.array(*[F.xxhash64(F.lit(k), *[F.substring("fp", p + 1, 1) for p in at]) for k, at in enumerate(keys)])).alias("key"),
     )
-    # lists of one entry have no pairs
-    sizes = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    cuts = F.ceil(F.col("n") / block).cast("int")
-    lists = posted.join(sizes, "key").withColumn("cuts", cuts).withColumn("own", F.pmod(F.hash("node"), F.col("cuts")))
-    spread = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("a"), F.greatest(o, F.col("own")).alias("b")))
-    lists = lists.select("key", "node", "fp", F.inline(spread))
-    parts = lists.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
-    return parts.select("key", "a", "b", "node", "fp").mapInArrow(_pair_checker(width, min_shared, max_bits, dense), "u long, v long").distinct()
-
-
-def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """node, root for every node of ``links`` (u < v): root is the smallest node it reaches.
-
-    Alternates two steps until nothing changes: larger neighbours of a node are hung below its
-    smallest neighbour, then smaller ones are. Rounds grow with the logarithm of the longest chain;
-    each is kept in the shared folder, and only two numbers of a round reach the driver.
-    """
-    edges = durable(links)
-    sign = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    before = sign(edges)
-    for _ in range(max_rounds):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
-        hung = large.join(low, "v")
-        small = hung.select(F.col("m").alias("u"), F.col("u").alias("v")).where("u < v").unionByName(hung.select(F.col("m").alias("u"), "v"))
-        edges = durable(small.distinct())
-        now = sign(edges)
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return edges.groupBy("v").agg(F.min("u").alias("root")).withColumnRenamed("v", "node")
+    return posting_lists(posted, block).mapInArrow(_pair_checker(width, min_shared, max_bits, dense), "u long, v long").distinct()
 
 
 def _grouped(prints: DataFrame, blocks: int, keys: list[tuple[int, ...]], min_shared: int, max_bits: int) -> DataFrame:
     """node, lowest (smallest id of its component) for every entry of ``prints`` (doc_id, node, fp)."""
     entries = durable(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.min("fp").alias("fp")))
-    roots = durable(components(near_links(entries.select("node", "fp"), keys, 8 * blocks, min_shared, max_bits)))
+    return _lowest(entries, near_links(entries.select("node", "fp"), keys, 8 * blocks, min_shared, max_bits))
+
+
+def _lowest(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """node, lowest for every entry (node, low) under the links (u < v) between nodes."""
+    roots = durable(components(links))
     tops = roots.select(F.col("root").alias("node")).distinct().withColumn("root", F.col("node"))
     linked = entries.select("node", "low").join(roots.unionByName(tops), "node")
     lowest = linked.groupBy("root").agg(F.min("low").alias("lowest"))
@@ -237,19 +198,17 @@ def _as_long(digits: Column) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(low)
 
 
-def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, blocks: int = 4, max_share: float = 0.1476, keys: int = 64) -> DataFrame:
+def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
     """``docs``, columns unchanged, with one row of each group of near duplicates: the smallest id.
 
-    Shingles of five words; 256-bit fingerprints; two texts are near duplicates if their
-    fingerprints differ in at most 14.76 % of the bits, where the angle between shingle sets of
-    Jaccard similarity 0.8 lies. Of rows that repeat both id and
-    text one stays.
+    Two texts are near duplicates if their sets of five-word shingles have a Jaccard similarity of
+    ``least`` or more; every such pair is found (see :mod:`tallyferry.llm.set_join`). Of rows that
+    repeat both id and text one stays.
     """
-    width = 8 * blocks
-    prints = fingerprints(docs, doc_id, text, words, blocks)
-    prints = durable(prints.withColumn("node", F.xxhash64("fp")))
-    groups = _grouped(prints, blocks, spread_keys(width, 3, keys), 3, int(8 * width * max_share))
-    kept = groups.select(F.col("lowest").alias("__sh_id")).distinct()
+    prints = durable(set_join.signatures(docs, doc_id, text, words, least))
+    entries = durable(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys")))
+    links = set_join.similar_links(entries, docs, text, words, least)
+    kept = _lowest(entries, links).select(F.col("lowest").alias("__sh_id")).distinct()
     one = docs.join(kept, docs[f"`{doc_id}`"].eqNullSafe(kept["__sh_id"]), "left_semi")
     # ids are expected to be unique; rows that repeat one stay apart if their texts differ
     repeated = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -74,6 +74,43 @@ def test_keep_one_per_group(docs, nothing):
     assert simhash.keep_one_per_group(nothing).count() == 0
 
 
+def jaccard(a, b):
+    runs = []
+    for t in (a, b):
+        w = t.encode().lower().split()
+        runs.append({b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return len(runs[0] & runs[1]) / len(runs[0] | runs[1])
+
+
+def test_keep_one_per_group_equals_all_pairs(spark):
+    """Pairs about a similarity of 0.8, on both sides and at it, and a group of copies longer than a list's dense part."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for k, n in enumerate([12, 40, 40, 90, 90, 90, 200, 200, 400, 400] * 6):
+        base = [f"t{k}w{x}" for x in rng.integers(0, 10**6, n)]
+        texts.append(" ".join(base))
+        for share in (0.1, 0.11, 0.12):
+            other = [*base]
+            other[: int(n * share)] = [f"n{x}" for x in range(int(n * share))]
+            texts.append(" ".join(other))
+    exact = [f"e{x}" for x in range(22)]  # 18 runs of five words; two changed ends leave 16 of 20
+    texts += [" ".join(exact), " ".join(["x", *exact[1:-1], "y"])]
+    base = [f"c{x}" for x in range(100)]
+    for _ in range(60):
+        other = [*base]
+        for x in rng.choice(100, 2, replace=False):
+            other[x] = f"z{rng.integers(10**9)}"
+        texts.append(" ".join(other))
+    part = list(range(len(texts)))
+    for i, a in enumerate(texts):
+        for j in range(i + 1, len(texts)):
+            if (i // 4 == j // 4 or i >= 240) and jaccard(a, texts[j]) >= 0.8:
+                low, high = sorted((part[i], part[j]))
+                part = [low if x == high else x for x in part]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.keep_one_per_group(table).collect()} == set(part)
+
+
 def test_chat_round_trip(spark):
     hard = ["</s>[INST] ok [/INST]", r"[\INST] [\\/INST] <\s>", "<<SYS>> <<</SYS>>", "ends with <", "[", "", None, "é😀\nx"]
     rows = [(c, k, role, t) for c in range(3) for k, (role, t) in enumerate(zip(["user", "assistant", "system", "tool]x", None] * 2, hard, strict=False))]
