@@ -3,12 +3,14 @@
 Views. The text view sees hashed words (as written, with their signs) and whether a word repeats
 the one before; the metadata view sees the document's language, source and layout: length, line
 length, share of capitals, digits, signs and distinct words, each in a fixed number of bins. Both
-are naive Bayes models of good against junk; the text view has a second one of good against toxic, which
-sums the words that clearly speak for toxic (twelve times as frequent there) less what a good text of
-that many words has by chance, as a few words make a text toxic. It
-learns from labelled rows alone, as neither view's pseudo-labels tell toxic from good. The text view's
-score is the lower of its two. All are sums of feature counts per class, so training is one pass that adds up
-partial sums per task, over any number of rows, and a model is an array of fixed size.
+are naive Bayes models of good against junk. All are sums of feature counts per class, so training is one
+pass that adds up partial sums per task, over any number of rows, and a model is an array of fixed size.
+
+Toxic texts. A third model tells good from toxic. It sums the words that clearly speak for toxic (twelve
+times as frequent there) less what a good text of that many words has by chance, as a few words make a
+text toxic; so its words are hashed to a table of its own, over a million wide, where marker words seldom
+share a place with ordinary ones. It learns from labelled rows alone, as neither view's pseudo-labels
+tell toxic from good.
 
 Rounds. Both views start from the labelled documents (toxic: ``toxic`` is 1; of the others good:
 ``quality`` is 1, else junk) of the training folds; toxic ones train that second model alone. In each round every view scores all documents that have no label; documents
@@ -16,8 +18,9 @@ that it puts beyond ``confident`` become pseudo-labelled rows, with weight ``pse
 OTHER view, which is then trained anew. All documents take part, none is sampled.
 
 Calibration. One fold of the labelled documents, seen by no model, gives for each view the share of
-good documents by score bin, made monotone. The two calibrated views are combined as odds over the
-prior, and every document gets p_quality; it is kept if that reaches ``threshold``.
+good documents among good and junk ones by score bin, made monotone. The two calibrated views are combined as odds over the
+prior, and every document gets p_quality: the lower of that and of the share of good documents among good and toxic ones by
+toxic score, which has bins of its own. It is kept if that reaches ``threshold``.
 
 Features are computed once and kept in the shared folder (about half a kilobyte per document).
 Only arrays of fixed size reach the driver or are sent to tasks.
@@ -46,24 +49,48 @@ from tallyferry.llm.shared import durable, text_or_empty
 JUNK, GOOD, TOXIC = 0, 1, 2
 CLASSES = (JUNK, GOOD, TOXIC)
 TEXT_BUCKETS = 1 << 15
+#: A word's place in the toxic model's table; its text bucket is the remainder by TEXT_BUCKETS - 1.
+WIDE = 32 * (TEXT_BUCKETS - 1)
+STEP = 0xFFFF
 META_SLOTS, META_BINS = 10, 64
 FOLDS, HELD_OUT = 5, 4
 CALIBRATION_BINS = 40
+TOXIC_EDGES = np.linspace(-40, 20, 119)
 
 
 def text_features(text: str, known: dict[str, int]) -> np.ndarray:
-    """Distinct buckets of the words of a text, and of the fact that a word repeats the last one."""
+    """Distinct places of the words of a text, and WIDE if a word often repeats the last one, ascending."""
     words = text.split()
     for w in set(words):
         if w not in known:
-            known[w] = zlib.crc32(w.encode()) % (TEXT_BUCKETS - 1)
-    ids = np.fromiter(map(known.__getitem__, words), np.uint16, len(words))
+            known[w] = zlib.crc32(w.encode()) % WIDE
+    ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
     own = np.unique(ids)
-    if len(ids) > 1 and (ids[1:] == ids[:-1]).mean() > 0.2:
-        own = np.append(own, np.uint16(TEXT_BUCKETS - 1))
+    buckets = ids % (TEXT_BUCKETS - 1)
+    if len(ids) > 1 and (buckets[1:] == buckets[:-1]).mean() > 0.2:
+        own = np.append(own, WIDE)
     return own
 
 
+def packed(places: np.ndarray) -> bytes:
+    """Ascending places as 16-bit steps; a STEP goes on in the next."""
+    whole, rest = np.divmod(np.diff(places, prepend=0), STEP)
+    out = np.full(int(whole.sum()) + len(places), STEP, np.uint16)
+    out[np.cumsum(whole + 1) - 1] = rest
+    return out.tobytes()
+
+
+def unpacked(bags: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of many texts laid end to end, and their number for each text."""
+    steps = np.frombuffer(b"".join(bags), np.uint16).astype(np.int64)
+    lengths = np.array([len(b) // 2 for b in bags], np.int64)
+    sums = np.concatenate(([0], np.cumsum(steps)))
+    starts = np.cumsum(lengths) - lengths
+    ends = steps != STEP
+    owner = np.repeat(np.arange(len(bags)), lengths)[ends]
+    return (sums[1:] - np.repeat(sums[starts], lengths))[ends], np.bincount(owner, minlength=len(bags))
+
+
 def meta_features(text: str, lang: str, source: str) -> list[int]:
     """One bin for each of the metadata view's slots."""
     words, n = text.split(), max(len(text), 1)
@@ -99,7 +126,7 @@ def with_features(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
                 if len(known) > 500_000:
                     known.clear()
                 t = t.as_py()
-                bags.append(text_features(t, known).tobytes())
+                bags.append(packed(text_features(t, known)))
                 metas.append(bytes(meta_features(t, lg.as_py(), s.as_py())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary()), pa.array(metas, pa.binary())], names=["doc_id", "bag", "meta"])
 
@@ -114,52 +141,69 @@ def with_features(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
 
 @dataclass
 class View:
-    """Log odds per feature; scores are sums, or sums over the root of their number, plus the prior.
-
-    ``toxic`` is a second model of the view, whose score holds where it is lower.
-    """
+    """Log odds per feature; scores are sums, or sums over the root of their number, plus the prior."""
 
     weights: np.ndarray
     prior: float
     mean: bool
-    toxic: View | None = None
-    by_chance: float = 0.0
 
     @classmethod
-    def fit(cls, counts: np.ndarray, documents: np.ndarray, mean: bool, least_z: float | None = None, toxic: View | None = None, smooth: float = 1.0) -> View:
-        """counts[bad or good, feature] of documents that hold the feature; documents per class.
-
-        With ``least_z``, only features weigh that five bad rows hold, more often than good rows by as many
-        standard errors and twelve times as often; what good rows have of them for each feature is taken off by chance.
-        """
+    def fit(cls, counts: np.ndarray, documents: np.ndarray, mean: bool, smooth: float = 1.0) -> View:
+        """counts[junk or good, feature] of documents that hold the feature; documents per class."""
         shares = (counts + smooth) / (documents[:, None] + 2 * smooth)
         weights = np.log(shares[1]) - np.log(shares[0])
-        by_chance = 0.0
-        if least_z is not None:
-            both = (counts.sum(axis=0) + smooth) / (documents.sum() + 2 * smooth)
-            shares = (counts + smooth * both) / (documents[:, None] + smooth)
-            weights = np.log(shares[1]) - np.log(shares[0])
-            error = np.sqrt(both * (1 - both) * (1 / (documents + smooth)).sum())
-            weights = np.where((shares[0] - shares[1] >= least_z * error) & (weights <= -np.log(12)) & (counts[0] >= 5), weights, 0.0)
-            by_chance = float(counts[1] @ weights / max(counts[1].sum(), 1))
-        return cls(weights, float(np.log((documents[1] + smooth) / (documents[0] + smooth))), mean, toxic, by_chance)
+        return cls(weights, float(np.log((documents[1] + smooth) / (documents[0] + smooth))), mean)
 
     def score(self, features: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """The lower of both models' log odds."""
-        own = self.quality(features, lengths)
-        return own if self.toxic is None else np.minimum(own, self.toxic.quality(features, lengths))
-
-    def quality(self, features: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Log odds of many documents whose features are laid end to end."""
-        edges = np.concatenate(([0], np.cumsum(lengths)))
-        sums = np.diff(np.concatenate(([0.0], np.cumsum(self.weights[features])))[edges]) - self.by_chance * lengths
+        sums = _sums(self.weights[features], lengths)
         return (sums / np.sqrt(np.maximum(lengths, 1)) if self.mean else sums) + self.prior
 
 
+def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    edges = np.concatenate(([0], np.cumsum(lengths)))
+    return np.diff(np.concatenate(([0.0], np.cumsum(values)))[edges])
+
+
+@dataclass
+class ToxicWords:
+    """Log odds of the places that clearly speak for toxic, ascending; all others weigh nothing."""
+
+    LEAST = 5
+
+    places: np.ndarray
+    weights: np.ndarray
+    prior: float
+    by_chance: float
+
+    @classmethod
+    def fit(cls, places: np.ndarray, counts: np.ndarray, documents: np.ndarray, good_features: float, least_z: float = 4.0, smooth: float = 1.0) -> ToxicWords:
+        """counts[toxic or good, place] of documents for places that LEAST toxic ones hold; documents per class.
+
+        Places weigh that toxic rows hold more often than good rows by ``least_z`` standard errors and twelve
+        times as often; what good rows have of them for each of their features is taken off by chance.
+        """
+        both = (counts.sum(axis=0) + smooth) / (documents.sum() + 2 * smooth)
+        shares = (counts + smooth * both) / (documents[:, None] + smooth)
+        weights = np.log(shares[1]) - np.log(shares[0])
+        error = np.sqrt(both * (1 - both) * (1 / (documents + smooth)).sum())
+        clear = (shares[0] - shares[1] >= least_z * error) & (weights <= -np.log(12))
+        by_chance = float(counts[1][clear] @ weights[clear] / max(good_features, 1))
+        return cls(places[clear], weights[clear], float(np.log((documents[1] + smooth) / (documents[0] + smooth))), by_chance)
+
+    def score(self, places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        if not len(self.places):
+            return np.full(len(lengths), self.prior)
+        at = np.minimum(np.searchsorted(self.places, places), len(self.places) - 1)
+        return _sums(np.where(self.places[at] == places, self.weights[at], 0.0), lengths) - self.by_chance * lengths + self.prior
+
+
 @dataclass
 class Batch:
     """Features of one Arrow batch."""
 
+    wide: np.ndarray
+    wide_lengths: np.ndarray
     bags: np.ndarray
     bag_lengths: np.ndarray
     metas: np.ndarray
@@ -170,11 +214,13 @@ class Batch:
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> Batch:
         named = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-        bags = named["bag"].to_pylist()
+        wide, lengths = unpacked(named["bag"].to_pylist())
+        narrow = np.where(wide == WIDE, TEXT_BUCKETS - 1, wide % (TEXT_BUCKETS - 1))
+        owner, bags = np.divmod(np.unique(np.repeat(np.arange(len(lengths)), lengths) * TEXT_BUCKETS + narrow), TEXT_BUCKETS)
         metas = np.frombuffer(b"".join(named["meta"].to_pylist()), np.uint8).astype(np.int64).reshape(-1, META_SLOTS)
         good = named["good"].fill_null(-1).to_numpy(zero_copy_only=False)
         fold = named["fold"].fill_null(0).to_numpy(zero_copy_only=False)
-        return cls(np.frombuffer(b"".join(bags), np.uint16).astype(np.int64), np.array([len(b) // 2 for b in bags], np.int64), (metas + META_BINS * np.arange(META_SLOTS)).ravel(), np.full(len(bags), META_SLOTS), good, fold)
+        return cls(wide, lengths, bags, np.bincount(owner, minlength=len(lengths)), (metas + META_BINS * np.arange(META_SLOTS)).ravel(), np.full(len(lengths), META_SLOTS), good, fold)
 
 
 SIZES = {"text": TEXT_BUCKETS, "meta": META_SLOTS * META_BINS}
@@ -195,7 +241,7 @@ def _totals(featured: DataFrame, models: dict[str, View] | None, confident: floa
             if models is not None:
                 free = b.good < 0
                 for v, other in (("text", "meta"), ("meta", "text")):
-                    p = 1 / (1 + np.exp(-np.clip(models[other].quality(*((b.metas, b.meta_lengths) if other == "meta" else (b.bags, b.bag_lengths))), -50, 50)))
+                    p = 1 / (1 + np.exp(-np.clip(models[other].score(*((b.metas, b.meta_lengths) if other == "meta" else (b.bags, b.bag_lengths))), -50, 50)))
                     weights[v, GOOD] += weight * (free & (p >= confident))
                     weights[v, JUNK] += weight * (free & (p <= 1 - confident))
             at = 0
@@ -219,6 +265,26 @@ def _totals(featured: DataFrame, models: dict[str, View] | None, confident: floa
     return out
 
 
+def _toxic_words(featured: DataFrame, documents: np.ndarray) -> ToxicWords:
+    """The model of good against toxic: counts of the training folds' labelled rows, added up in Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, WIDE + 1), np.int32)
+        for raw in batches:
+            b = Batch.of(raw)
+            for k, c in enumerate((TOXIC, GOOD)):
+                sums[k] += np.bincount(b.wide[np.repeat(b.good == c, b.wide_lengths)], minlength=WIDE + 1).astype(np.int32)
+        at = np.nonzero(sums.any(axis=0))[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(s[at].astype(np.int64)) for s in sums)], names=["place", "toxic", "good"])
+
+    rows = featured.where(F.col("good").isin(TOXIC, GOOD) & (F.col("fold") != HELD_OUT)).select("bag", "meta", "good", "fold")
+    counts = durable(rows.mapInArrow(run, "place long, toxic long, good long").groupBy("place").agg(F.sum("toxic").alias("toxic"), F.sum("good").alias("good")))
+    # no other place can weigh; at most WIDE + 1 rows, whatever the input
+    found = counts.where(F.col("toxic") >= ToxicWords.LEAST).orderBy("place").toArrow()
+    both = np.stack([found["toxic"].to_numpy(), found["good"].to_numpy()]).astype(float)
+    return ToxicWords.fit(found["place"].to_numpy(), both, documents[[TOXIC, GOOD]], counts.agg(F.sum("good")).first()[0] or 0)
+
+
 def monotone(good: np.ndarray, total: np.ndarray) -> np.ndarray:
     """Isotonic shares by pooling adjacent bins that fall."""
     pools: list[list[float]] = []
@@ -236,42 +302,59 @@ class CoTrained:
     edges: dict[str, np.ndarray]
     shares: dict[str, np.ndarray]
     prior: float
+    toxic: ToxicWords | None = None
+    clean: np.ndarray | None = None
 
     def predict(self, b: Batch) -> np.ndarray:
         odds = np.full(len(b.good), np.log(self.prior / (1 - self.prior)))
         for v, (f, n) in (("text", (b.bags, b.bag_lengths)), ("meta", (b.metas, b.meta_lengths))):
             p = self.shares[v][np.searchsorted(self.edges[v], self.models[v].score(f, n))]
             odds += np.log(p / (1 - p)) - np.log(self.prior / (1 - self.prior))
-        return 1 / (1 + np.exp(-odds))
+        p = 1 / (1 + np.exp(-odds))
+        return p if self.toxic is None else np.minimum(p, self.clean[np.searchsorted(TOXIC_EDGES, self.toxic.score(b.wide, b.wide_lengths))])
 
 
-def _calibrate(featured: DataFrame, models: dict[str, View]) -> CoTrained:
+def _calibrate(featured: DataFrame, models: dict[str, View], toxic: ToxicWords | None) -> CoTrained:
     """Shares of good documents by score bin on the held-out fold: counts of fixed size."""
+    bins, toxic_bins = 4 * CALIBRATION_BINS, len(TOXIC_EDGES) + 1
     edges = {"text": np.linspace(-30, 30, CALIBRATION_BINS - 1), "meta": np.linspace(-20, 20, CALIBRATION_BINS - 1)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, 2, CALIBRATION_BINS))
+        by_toxic = np.zeros((2, toxic_bins))
         for raw in batches:
             b = Batch.of(raw)
             for k, (v, (f, n)) in enumerate((("text", (b.bags, b.bag_lengths)), ("meta", (b.metas, b.meta_lengths)))):
                 at = np.searchsorted(edges[v], models[v].score(f, n)) if len(b.good) else np.zeros(0, int)
-                for c in (0, 1):
-                    sums[k, c] += np.bincount(at[(b.good == GOOD) == bool(c)], minlength=CALIBRATION_BINS)
-        flat = sums.ravel()
+                for c in (JUNK, GOOD):
+                    sums[k, c] += np.bincount(at[b.good == c], minlength=CALIBRATION_BINS)
+            if toxic is not None and len(b.good):
+                at = np.searchsorted(TOXIC_EDGES, toxic.score(b.wide, b.wide_lengths))
+                for k, c in enumerate((TOXIC, GOOD)):
+                    by_toxic[k] += np.bincount(at[b.good == c], minlength=toxic_bins)
+        flat = np.concatenate([sums.ravel(), by_toxic.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(np.nonzero(flat)[0]), pa.array(flat[flat > 0])], names=["slot", "n"])
 
     held = featured.where((F.col("fold") == HELD_OUT) & F.col("good").isNotNull()).select("bag", "meta", "good", "fold")
-    flat = np.zeros(4 * CALIBRATION_BINS)
-    for r in held.mapInArrow(run, "slot long, n double").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most 4 * CALIBRATION_BINS rows
+    flat = np.zeros(bins + 2 * toxic_bins)
+    for r in held.mapInArrow(run, "slot long, n double").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most len(flat) rows
         flat[r["slot"]] = r["n"]
-    sums = flat.reshape(2, 2, CALIBRATION_BINS)
+    sums, by_toxic = flat[:bins].reshape(2, 2, CALIBRATION_BINS), flat[bins:].reshape(2, toxic_bins)
     total = sums[0].sum()
     prior = min(max((sums[0, 1].sum() + 1) / (total + 2), 0.01), 0.99)
     shares = {}
     for k, v in enumerate(edges):
         good = sums[k, 1] + 2 * prior / CALIBRATION_BINS
         shares[v] = np.clip(monotone(good, sums[k].sum(axis=0) + 2 / CALIBRATION_BINS), 0.002, 0.998)
-    return CoTrained(models, edges, shares, prior)
+    if toxic is None:
+        return CoTrained(models, edges, shares, prior)
+    if by_toxic.sum(axis=1).all():
+        seen = np.nonzero(by_toxic.any(axis=0))[0]  # bins that no document fell in go with the next one above
+        clean = monotone(by_toxic[1, seen], by_toxic[:, seen].sum(axis=0))
+        clean = clean[np.minimum(np.searchsorted(seen, np.arange(toxic_bins)), len(seen) - 1)]
+    else:  # nothing to calibrate on: the model's own odds
+        clean = 1 / (1 + np.exp(-np.append(TOXIC_EDGES, TOXIC_EDGES[-1])))
+    return CoTrained(models, edges, shares, prior, toxic, np.clip(clean, 0.002, 0.998))
 
 
 def co_train(featured: DataFrame, rounds: int = 3, confident: float = 0.99, pseudo_weight: float = 0.3) -> CoTrained | float:
@@ -280,14 +363,13 @@ def co_train(featured: DataFrame, rounds: int = 3, confident: float = 0.99, pseu
     documents = counts["text"][1]
     if not (documents[GOOD] and documents.sum() > documents[GOOD]):
         return 1.0 if not documents.any() else float(documents[GOOD] > 0)
-    own, many = counts["text"]
-    toxic = View.fit(own[[TOXIC, GOOD]], many[[TOXIC, GOOD]], mean=False, least_z=4.0) if many[TOXIC] else None
+    toxic = _toxic_words(featured, documents) if documents[TOXIC] else None
     both = [JUNK, GOOD]
-    fit = lambda c: {v: View.fit(n[both], d[both], mean=v == "text", toxic=toxic if v == "text" else None) for v, (n, d) in c.items()}
+    fit = lambda c: {v: View.fit(n[both], d[both], mean=v == "text") for v, (n, d) in c.items()}
     models = fit(counts)
     for _ in range(rounds):
         models = fit(_totals(featured, models, confident, pseudo_weight))
-    return _calibrate(featured, models)
+    return _calibrate(featured, models, toxic)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", threshold: float = 0.5, **training) -> DataFrame:

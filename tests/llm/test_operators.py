@@ -234,3 +234,22 @@ def test_classifier_on_held_out_labels(spark, docs, nothing):
     empty = labels.limit(0)
     assert all(r["kept"] for r in quality_model.score_documents(docs, empty).collect())
     assert quality_model.score_documents(nothing, labels).count() == 0
+
+
+def test_classifier_rejects_held_out_toxic_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    train = labels.where("doc_id % 5 <> 0")
+    scores = {r["doc_id"]: r["kept"] for r in quality_model.score_documents(spark.read.parquet(f"{sf}/documents.parquet"), train).collect()}
+    held = labels.where("doc_id % 5 = 0").collect()
+    share = lambda rows: np.mean([scores[r["doc_id"]] for r in rows])
+    figures = share([r for r in held if r["toxic"] == 1]), share([r for r in held if r["toxic"] == 0 and r["quality"] == 1]), share([r for r in held if r["toxic"] == 0 and r["quality"] == 0])
+    print("kept of toxic, good, junk:", figures)
+    assert figures[0] < 0.1 and figures[1] > 0.95 and figures[2] < 0.05
+
+
+def test_bags_are_packed_without_loss():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, quality_model.WIDE + 1, n)) for n in (0, 1, 3, 40, 9000, 0)] + [np.array([0, 65534, 131069, 262139, quality_model.WIDE])]
+    places, lengths = quality_model.unpacked([quality_model.packed(x) for x in sets])
+    assert lengths.tolist() == [len(x) for x in sets] and places.tolist() == np.concatenate(sets).tolist()
