@@ -199,3 +199,16 @@ def until_misses(hits: DataFrame, budget: int) -> DataFrame:
     marked = hits.withColumn("streak", F.col("n") - F.coalesce(last_hit, F.lit(0)))
     stop = F.min(F.when(F.col("streak") >= budget, F.col("n"))).over(Window.partitionBy("grp"))
     return marked.withColumn("stop", stop).where("stop is null or n <= stop").where("hit").select("grp", "n")
+
+
+def record_pages(events: DataFrame, ids: int = 500) -> DataFrame:
+    """user_id, body: each user's events as JSON payloads, one for each range of ``ids`` event ids."""
+    record = F.concat(F.lit('{"id":'), F.coalesce(F.col("event_id").cast("string"), F.lit("null")), F.lit(',"p":'), F.coalesce("props", F.lit("null")), F.lit("}"))
+    pages = events.groupBy("user_id", F.floor(F.col("event_id") / ids).alias("page")).agg(F.array_join(F.collect_list(record), ",").alias("records"))
+    return pages.select("user_id", F.concat(F.lit('{"data":['), "records", F.lit("]}")).alias("body"))
+
+
+def open_pages(pages: DataFrame) -> DataFrame:
+    """user_id, event_id, k of every record of the payloads."""
+    record = F.explode(F.from_json("body", "data array<struct<id:bigint,p:struct<k:bigint>>>")["data"]).alias("r")
+    return pages.select("user_id", record).select("user_id", F.col("r.id").alias("event_id"), F.col("r.p.k").alias("k"))

@@ -108,11 +108,8 @@ def json_fields(spark, sf):
 
 @query("select user_id, event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events where user_id < 50")
 def explode_records(spark, sf):
-    """Paged payloads, one per user, opened into their records again."""
-    e = t(spark, sf, "events").where("user_id < 50")
-    pages = e.groupBy("user_id").agg(F.concat(F.lit('{"data":['), F.array_join(F.collect_list(F.concat(F.lit('{"id":'), F.col("event_id"), F.lit(',"p":'), F.col("props"), F.lit("}"))), ","), F.lit("]}")).alias("body"))
-    rec = F.explode(F.from_json("body", "data array<struct<id:bigint,p:struct<k:bigint>>>")["data"]).alias("r")
-    return pages.select("user_id", rec).select("user_id", F.col("r.id").alias("event_id"), F.col("r.p.k").alias("k"))
+    """Paged payloads opened into their records again."""
+    return Q.open_pages(Q.record_pages(t(spark, sf, "events").where("user_id < 50")))
 
 
 @query("select 'https://crm.example/customers/' || c_name as url, c_name as parent, count(*) as orders from customer join orders on o_custkey = c_custkey where trim(c_name) <> '' group by c_name")

@@ -118,3 +118,14 @@ def test_query_equals_sql(spark, name):
     at = [want.columns.index(c) for c in columns]
     expected = sorted((tuple(same(r[i]) for i in at) for r in want.fetchall()), key=repr)
     assert sorted((tuple(same(r[c]) for c in columns) for r in got.collect()), key=repr) == expected
+
+
+def test_record_pages_are_bounded_and_hold_every_record(spark):
+    """One user has most rows; ids, users and payloads may be null."""
+    rows = [(1 if i % 10 else i, i, f'{{"k":{i % 7}}}') for i in range(4000)] + [(None, 4001, '{"k":1}'), (2, None, '{"k":2}'), (2, 4002, None)]
+    pages = Q.record_pages(spark.createDataFrame(rows, "user_id long, event_id long, props string"))
+    assert max(r["body"].count('"id":') for r in pages.collect()) <= 500
+    want = [(u, e, None if p is None else int(p[5:-1])) for u, e, p in rows]
+    assert sorted(map(tuple, Q.open_pages(pages).collect()), key=repr) == sorted(want, key=repr)
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    assert Q.open_pages(Q.record_pages(events)).count() == events.count()
