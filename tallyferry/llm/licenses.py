@@ -1,8 +1,8 @@
 r"""License scans: ordered signature rules over normalised words, as DataFrame functions.
 
 A text becomes its words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` (A-Z lower-cased) between single
-blanks. Rules are regular expressions over that form. Each names a keyword; a rule runs only on
-texts that hold it, and texts without any keyword skip all rules. A match whose interval lies in
+blanks. Rules are regular expressions over that form. Each names keywords; a rule runs only on
+texts that hold one (every text that its expressions match does), and texts without any keyword skip all rules. A match whose interval lies in
 that of a match of higher priority (or of the same priority and longer, or as long and of an
 earlier rule) is suppressed. Priorities: 1 declared identifier, 2 grant ("licensed under ..."), 3
 full name, 4 name with "license" near it, 5 bare reference. All matches of a row are found and
@@ -29,21 +29,21 @@ LICENSES = {
     "mit": ("mit", "mit", "mit license", "mit licen[cs]ed?"),
     "apache-2": ("apache", "apache 2 0", "apache (?:software )?license(?: version)? 2(?: 0)?", "apache (?:license|2(?: 0)?)"),
     "apache-1.1": ("apache", "apache 1 1", "apache software license(?: version)? 1 1", "apache license 1 1"),
-    "bsd-2-clause": ("bsd", "bsd 2 clause", "(?:simplified|2 clause) bsd license", "(?:free)?bsd 2(?: clause)?"),
+    "bsd-2-clause": ("bsd|freebsd", "bsd 2 clause", "(?:simplified|2 clause) bsd license", "(?:free)?bsd 2(?: clause)?"),
     "bsd-3-clause": ("bsd", "bsd 3 clause", "(?:new|revised|modified|3 clause) bsd license", "bsd 3(?: clause)?"),
     "bsd-4-clause": ("bsd", "bsd 4 clause", "(?:original|4 clause) bsd license", "bsd 4(?: clause)?"),
     "0bsd": ("0bsd", "0bsd", "0bsd license", "0bsd"),
     "isc": ("isc", "isc", "isc license", "isc licen[cs]ed?"),
     "zlib": ("zlib", "zlib", "zlib(?: libpng)? license", "zlib licen[cs]ed?"),
     "libpng": ("libpng", "libpng(?: 2 0)?", "libpng license(?: version 2)?", "libpng licen[cs]ed?"),
-    "gpl-2": ("general|gpl|gplv2", "gpl 2 0(?: only| or later)?", "gnu general public license(?: version| v)? ?2(?: 0)?", "(?:gnu )?gpl ?v?(?:ersion )?2(?: 0)?"),
-    "gpl-3": ("general|gpl|gplv3", "gpl 3 0(?: only| or later)?", "gnu general public license(?: version| v)? ?3(?: 0)?", "(?:gnu )?gpl ?v?(?:ersion )?3(?: 0)?"),
+    "gpl-2": ("general|gpl|gplv2|gpl2|gplversion|gplersion", "gpl 2 0(?: only| or later)?", "gnu general public license(?: version| v)? ?2(?: 0)?", "(?:gnu )?gpl ?v?(?:ersion )?2(?: 0)?"),
+    "gpl-3": ("general|gpl|gplv3|gpl3|gplversion|gplersion", "gpl 3 0(?: only| or later)?", "gnu general public license(?: version| v)? ?3(?: 0)?", "(?:gnu )?gpl ?v?(?:ersion )?3(?: 0)?"),
     "gpl": ("general|gpl", "gpl", "gnu general public license", "gnu gpl"),
-    "lgpl-2.1": ("lesser|library|lgpl|lgplv2", "lgpl 2 1(?: only| or later)?", "gnu (?:lesser|library) general public license(?: version)? 2(?: 1)?", "(?:gnu )?lgpl ?v?(?:ersion )?2(?: 1)?"),
-    "lgpl-3": ("lesser|lgpl|lgplv3", "lgpl 3 0(?: only| or later)?", "gnu lesser general public license(?: version)? 3(?: 0)?", "(?:gnu )?lgpl ?v?(?:ersion )?3(?: 0)?"),
+    "lgpl-2.1": ("lesser|library|lgpl|lgplv2|lgpl2|lgplversion|lgplersion", "lgpl 2 1(?: only| or later)?", "gnu (?:lesser|library) general public license(?: version)? 2(?: 1)?", "(?:gnu )?lgpl ?v?(?:ersion )?2(?: 1)?"),
+    "lgpl-3": ("lesser|lgpl|lgplv3|lgpl3|lgplversion|lgplersion", "lgpl 3 0(?: only| or later)?", "gnu lesser general public license(?: version)? 3(?: 0)?", "(?:gnu )?lgpl ?v?(?:ersion )?3(?: 0)?"),
     "lgpl": ("lesser|lgpl", "lgpl", "gnu lesser general public license", "gnu lgpl"),
-    "agpl-3": ("affero|agpl|agplv3", "agpl 3 0(?: only| or later)?", "gnu affero general public license(?: version)? 3(?: 0)?", "(?:gnu )?agpl ?v?(?:ersion )?3(?: 0)?"),
-    "gfdl": ("documentation|gfdl", "gfdl 1 [123](?: only| or later)?", "gnu free documentation license(?: version 1 [123])?", "gnu fdl"),
+    "agpl-3": ("affero|agpl|agplv3|agpl3|agplversion|agplersion", "agpl 3 0(?: only| or later)?", "gnu affero general public license(?: version)? 3(?: 0)?", "(?:gnu )?agpl ?v?(?:ersion )?3(?: 0)?"),
+    "gfdl": ("documentation|gfdl|fdl", "gfdl 1 [123](?: only| or later)?", "gnu free documentation license(?: version 1 [123])?", "gnu fdl"),
     "mpl-1.1": ("mozilla|mpl", "mpl 1 1", "mozilla public license(?: version)? 1 1", "mpl 1 1"),
     "mpl-2": ("mozilla|mpl", "mpl 2 0", "mozilla public license(?: version)? 2 0", "mpl 2(?: 0)?"),
     "epl-1": ("eclipse|epl", "epl 1 0", "eclipse public license(?: version| v)? 1 0", "epl 1 0"),
@@ -53,7 +53,7 @@ LICENSES = {
     "artistic-2": ("artistic", "artistic 2 0", "artistic license(?: version)? 2 0", "artistic 2 0"),
     "artistic": ("artistic", "artistic 1 0", "artistic license", "perl artistic"),
     "boost": ("boost|bsl", "bsl 1 0", "boost software license", "boost license"),
-    "unlicense": ("unlicense", "unlicense", "the unlicense", "unlicensed into the public domain"),
+    "unlicense": ("unlicense|unlicensed", "unlicense", "the unlicense", "unlicensed into the public domain"),
     "wtfpl": ("wtfpl", "wtfpl", "wtfpl(?: version 2)?", "wtfpl"),
     "python": ("python|psf", "(?:python|psf) 2 0", "python software foundation license", "psf license"),
     "php": ("php", "php 3 01?", "php license(?: version 3 01?)?", "php licensed"),
@@ -61,7 +61,7 @@ LICENSES = {
     "postgresql": ("postgresql", "postgresql", "postgresql licen[cs]e", "postgresql licensed"),
     "ofl": ("ofl|font", "ofl 1 1", "sil open font license(?: version 1 1)?", "ofl 1 1"),
     "ms-pl": ("microsoft|ms", "ms pl", "microsoft public license", "ms pl"),
-    "cc0": ("cc0|universal", "cc0 1 0", "creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?", "cc0"),
+    "cc0": ("cc0|zero", "cc0 1 0", "creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?", "cc0"),
     "cc-by": ("cc|creative", "cc by(?: [1-4] [0-9])?", "creative commons attribution(?: [1-4] [0-9])?", "cc by(?: [1-4] [0-9])?"),
     "cc-by-sa": ("cc|creative", "cc by sa(?: [1-4] [0-9])?", "creative commons attribution share ?alike(?: [1-4] [0-9])?", "cc by sa(?: [1-4] [0-9])?"),
     "cc-by-nd": ("cc|creative", "cc by nd(?: [1-4] [0-9])?", "creative commons attribution no ?deriv(?:ative)?s(?: [1-4] [0-9])?", "cc by nd(?: [1-4] [0-9])?"),

@@ -156,6 +156,40 @@ def test_license_scan(spark, nothing):
     assert licenses.scan(nothing).count() == 0 and len(licenses.rules()) > 200
 
 
+def alternatives(tree):
+    """Every string that a parsed expression of literals, groups, options and classes matches."""
+    out = [""]
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            own = [chr(arg)]
+        elif name == "IN":
+            own = [chr(c) for kind, x in arg for c in ([x] if str(kind) == "LITERAL" else range(x[0], x[1] + 1))]
+        elif name == "MAX_REPEAT":
+            assert arg[:2] == (0, 1)
+            own = ["", *alternatives(arg[2])]
+        elif name == "SUBPATTERN":
+            own = alternatives(arg[-1])
+        else:
+            assert name == "BRANCH", name
+            own = [x for branch in arg[1] for x in alternatives(branch)]
+        out = [a + b for a in out for b in own]
+    return out
+
+
+def test_license_keywords_open_every_alternative(spark):
+    from re import _parser
+
+    closed = []
+    for label, (keywords, *parts) in licenses.LICENSES.items():
+        for part in parts:
+            closed += [(label, s) for s in alternatives(_parser.parse(part)) if not any(f" {k} " in f" {s} " for k in keywords.split("|"))]
+    assert closed == []
+    texts = ["licensed under gpl2", "lgpl3", "agpl3", "freebsd 2 clause", "creative commons zero", "gnu fdl", "unlicensed into the public domain"]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["labels"] for r in found] == ["gpl-2", "lgpl-3", "agpl-3", "bsd-2-clause", "cc0", "gfdl", "unlicense"]
+
+
 def katz_by_hand(rows, k=5):
     """Scores of (doc_id, text) rows from plain counts, and whether each context adds up to one."""
     ids = [str("" if d is None else d) for d, _ in rows]
