@@ -39,8 +39,6 @@ from tallyferry.llm.shared import durable, text_or_empty
 K1, B = 1.2, 0.75
 STRIP = re.compile(r"^\W+|\W+$")
 END = re.compile(r"[.!?:;]\W*$")
-#: The same word rule for Spark: lower case, without signs at either end.
-SPARK_STRIP = r"(?U)^\W+|\W+$"
 
 
 def terms_of(text: str) -> list[str]:
@@ -118,8 +116,14 @@ class BlockMaxIndex:
 
 def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple], dict[str, int], int, float]]:
     """Items of at most about ``block_bytes`` of text at a time, with their terms' frequencies."""
-    words = F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.regexp_replace(w, SPARK_STRIP, ""))
-    shaped = durable(items.withColumn("terms", F.filter(words, lambda w: w != "")).where(F.size("terms") > 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = pa.array([terms_of(t) for t in batch.column(1).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, terms], names=["item_id", "text", "terms"])
+
+    # the index looks terms up by the same rule
+    shaped = durable(items.select("item_id", "text").mapInArrow(run, "item_id long, text string, terms array<string>").where(F.size("terms") > 0))
     total, mean, size = shaped.agg(F.count(F.lit(1)), F.avg(F.size("terms")), F.sum(F.octet_length("text"))).first()
     if not total:
         return

@@ -248,6 +248,13 @@ def test_leaks(spark, docs, nothing):
     assert decontam.find_leaks(nothing, items).count() == 0 and decontam.find_leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leaks_with_terms_that_java_cuts_otherwise(spark):
+    item = "The field north of the mill holds 10\u00a0000 rows of barley. Each row takes 12 m\u00b2 of ground."
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    held = spark.createDataFrame([(5, f"{PLAIN} {item} {PLAIN}"), (6, PLAIN)], "doc_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(held, items).collect()] == [(5, 1)]
+
+
 def test_host_rules(docs, nothing):
     rows = quality_rules.document_rules(docs).collect()
     assert len(rows) == docs.count()
