@@ -66,6 +66,20 @@ def digits_of(v: Column) -> Column:
     return F.regexp_replace(text(v), "[^0-9]", "")
 
 
+#: Numbers as texts; Java's own suffixes (1.0d) are none.
+NUMBER = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
+
+
+def number_of(t: Column) -> Column:
+    """A stripped text as a double, null if it is no number."""
+    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+
+
+def is_number(v: Column) -> Column:
+    """Whether the column's type is a number: a constant once the plan is analysed."""
+    return F.typeof(v).rlike("^(tinyint|smallint|int|bigint|float|double|decimal.*)$")
+
+
 def _or_error(v: Column, parsed: Column, what: str) -> tuple[Column, Column]:
     """Null and '' stay null; other text that does not parse is an error."""
     bad = v.isNotNull() & (text(v) != "") & parsed.isNull()
@@ -115,8 +129,9 @@ def _ascii(s: pd.Series) -> pd.Series:
 
 @transform("strip_html")
 def strip_html(v: Column) -> Column:
-    t = F.regexp_replace(text(v), r"(?is)<(script|style)\b.*?</\1\s*>", "")
-    t = F.regexp_replace(t, r"(?i)<br\s*/?>|</p\s*>", "\n")
+    """Plain text: scripts and styles become a blank, line ends stay, entities are unescaped."""
+    t = F.regexp_replace(text(v), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
+    t = F.regexp_replace(t, r"(?i)<br\s*/?>|</p>", "\n")
     return stripped(_unescape(F.regexp_replace(t, "<[^>]+>", "")))
 
 
@@ -144,7 +159,7 @@ def to_int(v: Column) -> tuple[Column, Column]:
 
 @transform("float")
 def to_float(v: Column) -> tuple[Column, Column]:
-    return _or_error(v, stripped(v).try_cast("double"), "not a number")
+    return _or_error(v, number_of(stripped(v)), "not a number")
 
 
 @transform("decimal")
@@ -168,26 +183,30 @@ def to_bool(v: Column) -> tuple[Column, Column]:
 
 #: Fixed formats, tried in order (month first, then day first).
 DATE_FORMATS = ("yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m:sXX", "yyyy-M-d", "M/d/yyyy H:m:s", "M/d/yyyy", "d/M/yyyy", "yyyyMMdd")
+#: What the casts to a timestamp may see: they also read years, times and longer years, which are no dates here.
+ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+LONG_YEAR = "[0-9]{5}"
 
 
 @transform("to_datetime")
-def to_datetime(v: Column, formats: Sequence[str] | None = None, at: str | None = None, epoch: bool = False) -> tuple[Column, Column]:
-    """Texts by format, then ISO; ``epoch`` reads numbers as Unix seconds. UTC, without a zone."""
-    if epoch:
-        parsed = F.timestamp_seconds(v).cast("timestamp_ntz")
-    else:
-        t = stripped(v)
-        parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats or DATE_FORMATS], t.try_cast("timestamp")).cast("timestamp_ntz")
+def to_datetime(v: Column, formats: Sequence[str] | None = None, at: str | None = None) -> tuple[Column, Column]:
+    """Texts by format, then ISO; numbers are Unix seconds. UTC, without a zone; ``at`` pins the time of day."""
+    t = stripped(v)
+    plain = lambda f: F.when(t.rlike("^[0-9]{8}$"), t) if f == "yyyyMMdd" else F.when(~t.rlike(LONG_YEAR), t) if f in DATE_FORMATS else t
+    by_text = F.coalesce(*[F.try_to_timestamp(plain(f), F.lit(f)) for f in formats or DATE_FORMATS], F.when(t.rlike(ISO), t).try_cast("timestamp")).cast("timestamp_ntz")
+    zero = F.lit(0)
+    by_epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, t.try_cast("decimal(18,6)"))
+    parsed = F.when(is_number(v), by_epoch).otherwise(by_text)
     if at:
         parsed = F.to_timestamp_ntz(F.concat(F.date_format(parsed, "yyyy-MM-dd"), F.lit(f" {at}")), F.lit("yyyy-MM-dd HH:mm:ss"))
-    zero = F.coalesce(stripped(v).startswith("0000-00-00"), F.lit(False))
+    nothing = F.coalesce(stripped(v).startswith("0000-00-00"), F.lit(False))
     value, error = _or_error(v, parsed, "unrecognised datetime")
-    return F.when(~zero, value), F.when(~zero, error)
+    return F.when(~nothing, value), F.when(~nothing, error)
 
 
 @transform("to_date")
-def to_date(v: Column, formats: Sequence[str] | None = None, epoch: bool = False) -> tuple[Column, Column]:
-    value, error = to_datetime(v, formats, epoch=epoch)
+def to_date(v: Column, formats: Sequence[str] | None = None, at: str | None = None) -> tuple[Column, Column]:
+    value, error = to_datetime(v, formats, at)
     return F.to_date(value), error
 
 
@@ -199,7 +218,9 @@ def now(v: Column, at: str | None = None) -> Column:
 
 @transform("json_encode")
 def json_encode(v: Column) -> Column:
-    return F.to_json(v)
+    """JSON text of any value; null stays null."""
+    listed = F.to_json(F.array(v), {"ignoreNullFields": "false"})
+    return F.when(v.isNotNull(), F.substr(listed, F.lit(2), F.length(listed) - 2))
 
 
 @transform("json_decode")
@@ -320,17 +341,17 @@ def postal_code(v: Column, region: str = "US") -> Column:
 
 
 @transform("map")
-def map_values(v: Column, values: Mapping[str, object], strict: bool = False) -> tuple[Column, Column]:
-    """Listed value (a listed null counts), else ``*``, else an error if strict, else unchanged."""
+def map_values(v: Column, values: Mapping[object, object], strict: bool = False) -> tuple[Column, Column]:
+    """Listed value (a listed null counts), else ``*``, else an error if strict (for null too), else unchanged."""
     t = text(v)
     other = text(F.lit(values["*"])) if "*" in values else null_text() if strict else t
-    chain = None
+    chain, known = None, F.lit(False)
     for key, to in values.items():
         if key != "*":
-            chain = F.when(t == str(key), text(F.lit(to))) if chain is None else chain.when(t == str(key), text(F.lit(to)))
+            hit = F.coalesce(t == str(key), F.lit(str(key) == "None"))
+            chain, known = F.when(hit, text(F.lit(to))) if chain is None else chain.when(hit, text(F.lit(to))), known | hit
     value = other if chain is None else chain.otherwise(other)
-    known = t.isin(*[str(k) for k in values if k != "*"])
-    error = F.when(v.isNotNull() & ~known, F.concat(F.lit("unmapped value: "), t)) if strict and "*" not in values else null_text()
+    error = F.when(~known, F.concat(F.lit("no mapping for value "), F.coalesce(t, F.lit("null")))) if strict and "*" not in values else null_text()
     return value, error
 
 
@@ -365,20 +386,42 @@ def apply_chain(start: Cell, chain: Sequence[str | Mapping]) -> Cell:
     return at
 
 
-def comparable(v: Column, kind: str) -> Column:
-    """One text form per value, alike across type systems: numbers as doubles, times to the second."""
-    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean") or kind.startswith("decimal"):
+def kind_of(kind: str) -> str:
+    """number, boolean, time or text, of a Spark type's name."""
+    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        return "number"
+    return "boolean" if kind == "boolean" else "time" if kind.startswith("timestamp") else "text"
+
+
+def shown(v: Column, kind: str) -> Column:
+    """One text per value: numbers as doubles, times to the second, texts without white space around them."""
+    of = kind_of(kind)
+    if of == "number":
         return text(v.cast("double"))
-    if kind.startswith("timestamp"):
-        return F.date_format(v, "yyyy-MM-dd'T'HH:mm:ss")
-    t = stripped(v)
-    return F.coalesce(text(t.try_cast("double")), t)
+    return F.date_format(v, "yyyy-MM-dd'T'HH:mm:ss") if of == "time" else stripped(v) if of == "text" else text(v)
+
+
+def same_value(a: Column, kind_a: str, b: Column, kind_b: str) -> Column:
+    """Whether two values are alike across type systems.
+
+    Numbers and booleans compare as numbers, a number and a text as numbers if the text is one, two
+    texts as they are ('07001' is not '7001'); null is like null alone.
+    """
+    kinds = {kind_of(kind_a), kind_of(kind_b)}
+    if kinds <= {"number", "boolean"}:
+        return a.cast("double").eqNullSafe(b.cast("double"))
+    if kinds == {"number", "text"}:
+        x, y = (v.cast("double") if kind_of(k) == "number" else number_of(stripped(v)) for v, k in ((a, kind_a), (b, kind_b)))
+        return F.coalesce(x == y, a.isNull() & b.isNull())
+    if kinds == {"boolean", "text"}:
+        return a.isNull() & b.isNull()
+    return shown(a, kind_a).eqNullSafe(shown(b, kind_b))
 
 
 def identifier(v: Column, most: int = 40) -> Column:
     """Lower snake case; a digit in front gets a prefix."""
-    t = F.regexp_replace(F.regexp_replace(F.lower(text(v)), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    return F.substring(F.when(t.rlike("^[0-9]"), F.concat(F.lit("f_"), t)).otherwise(t), 1, most)
+    t = F.regexp_replace(F.lower(F.regexp_replace(text(v), "[^A-Za-z0-9]+", "_")), "^_+|_+$", "")
+    return F.substring(F.when(t.rlike("^[0-9]"), F.concat(F.lit("c_"), t)).otherwise(t), 1, most)
 
 
 def last_digits(v: Column, n: int = 10) -> Column:

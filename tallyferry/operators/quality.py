@@ -1,4 +1,4 @@
-"""Scrubbing of card numbers and other secrets, table profiles, value shapes, response outcomes, URL patterns."""
+"""Scrubbing of card numbers and other secrets, redaction, table profiles, fill rates, value shapes."""
 
 from __future__ import annotations
 
@@ -8,13 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.functions.transforms import DATE_FORMATS, digits_of, stripped
+from tallyferry.functions.transforms import apply_chain, cell, digits_of, stripped
+from tallyferry.functions.variants import records
 
 # Column name rules, card number prefixes and the number form that is masked.
 FORBIDDEN = re.compile(r"(^|_)(cvv|cvc|csc|cvv2|cid|security_?code|card_?pin|pin_?block|track_?[12]|magstripe|mag_?stripe|full_?pan|card_?verification)($|_)", re.I)
 CARD = re.compile(r"(^|_)(pan|card_?number|cc_?number|creditcard|credit_?card|account_?number|acct_?number|card_?no)($|_)", re.I)
 BANK = re.compile(r"(^|_)(routing_?number|aba|iban|sort_?code|bank_?account)($|_)", re.I)
-SENSITIVE = re.compile(r"(^|_)(email|phone|name|address|zip|ssn|dob|token|secret|password)($|_)", re.I)
+SENSITIVE = ("password", "passwd", "pwd", "hash", "salt", "token", "secret", "ssn", "social", "card", "cvv", "api_key", "auth")
+PERSONAL = re.compile(r"(^|_)(email|e_?mail|phone|mobile|cell|fax|first_?name|last_?name|full_?name|name|address|street|address[12]|city|province|zip|postal|dob|date_?of_?birth|ssn|social|licen[cs]e|driver_?licen[cs]e|policy_?number|claim_?number|vin|insured)($|_)|(^|_)(address|billing|shipping|mailing|home|work)_?state($|_)|(^|_)state_(code|abbr\w*)($|_)", re.I)
 IIN = r"^(4\d{12,18}|5[1-5]\d{14}|2(2[2-9]\d|[3-6]\d{2}|7[01]\d|720)\d{12}|3[47]\d{13}|6(011|5\d{2}|4[4-9]\d)\d{12,15}|35(2[89]|[3-8]\d)\d{12,15}|3(0[0-5]|[68]\d)\d{11,16})$"
 SSN = r"\b\d{3}-\d{2}-\d{4}\b"
 SSN_MASK = "•••-••-####"
@@ -52,33 +54,42 @@ def scrub(df: DataFrame) -> DataFrame:
 
 
 def scrub_report(df: DataFrame) -> DataFrame:
-    """name, blocked, masked of every text column, in one pass."""
-    texts = [n for n, t in df.dtypes if t == "string"]
-    sums = df.agg(*[F.sum(F.when(scrubbed(c, F.col(c))[1] == a, 1).otherwise(0)).alias(f"{c}__{a}") for c in texts for a in ("blocked", "masked")])
-    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.coalesce(F.col(f"{c}__blocked"), F.lit(0)).cast("long").alias("blocked"), F.coalesce(F.col(f"{c}__masked"), F.lit(0)).cast("long").alias("masked")) for c in texts])
-    return sums.select(F.inline(rows))
+    """name, blocked, masked, personal of every text column and every forbidden one, in one pass."""
+    own = [n for n, t in df.dtypes if t == "string" or FORBIDDEN.search(n)]
+    sums = df.agg(*[F.sum(F.when(scrubbed(c, F.col(c).cast("string"))[1] == a, 1).otherwise(0)).alias(f"{c}__{a}") for c in own for a in ("blocked", "masked")])
+    count = lambda c, a: F.coalesce(F.col(f"{c}__{a}"), F.lit(0)).cast("long").alias(a)
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), count(c, "blocked"), count(c, "masked"), F.lit(bool(PERSONAL.search(c)) and not c.startswith("_")).alias("personal")) for c in own])))
 
 
-def redact(df: DataFrame, most: int = 200) -> DataFrame:
+def redact(df: DataFrame, most: int = 200, patterns: Sequence[str] = SENSITIVE) -> DataFrame:
+    """``df`` with the values of columns whose name holds a pattern hidden, and long texts cut."""
+
     def one(c: str, t: str) -> Column:
-        if SENSITIVE.search(c):
+        if any(p in c.lower() for p in patterns):
             return F.when(F.col(c).isNotNull(), F.lit("<redacted>"))
-        return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most), F.lit("…"))).otherwise(F.col(c)) if t == "string" else F.col(c)
+        cut = F.concat(F.substring(c, 1, most), F.lit("... (+"), F.length(c) - most, F.lit(" chars)"))
+        return F.when(F.length(c) > most, cut).otherwise(F.col(c)) if t == "string" else F.col(c)
 
     return df.select(*[one(c, t).alias(c) for c, t in df.dtypes])
 
 
 def profile(df: DataFrame, table: str) -> DataFrame:
-    """One row per column: count, nulls, distinct, least and greatest (as text), key; one pass.
+    """One row per column: count, nulls, distinct, least and greatest (as text), key.
 
-    Distinct counts are exact; ``key`` tells a column that could be the key.
+    Distinct counts are exact. Every column is read and grouped on its own, so a column's values are
+    shuffled once, as partial counts, and no row is multiplied by the number of columns.
     """
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(df.columns):
-        aggs += [F.count(c).alias(f"k{i}"), F.count_distinct(c).alias(f"d{i}"), F.min(c).cast("string").alias(f"a{i}"), F.max(c).cast("string").alias(f"b{i}")]
-    one = df.agg(*aggs)
-    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.col("__n").alias("n"), (F.col("__n") - F.col(f"k{i}")).alias("nulls"), F.col(f"d{i}").alias("distinct_values"), F.col(f"a{i}").alias("least"), F.col(f"b{i}").alias("greatest"), ((F.col(f"d{i}") == F.col("__n")) & (F.col("__n") > 0)).alias("is_key")) for i, c in enumerate(df.columns)]
-    return one.select(F.inline(F.array(*rows)))
+
+    def one(c: str) -> DataFrame:
+        values = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+        n, filled = F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k"))), F.lit(0))
+        distinct = F.count("v")
+        return values.agg(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), n.alias("n"), (n - filled).alias("nulls"), distinct.alias("distinct_values"), F.min("v").cast("string").alias("least"), F.max("v").cast("string").alias("greatest"), ((distinct == n) & (n > 0)).alias("is_key"))
+
+    out = one(df.columns[0])
+    for c in df.columns[1:]:
+        out = out.unionByName(one(c))
+    return out
 
 
 def fill_rates(df: DataFrame) -> DataFrame:
@@ -89,6 +100,7 @@ def fill_rates(df: DataFrame) -> DataFrame:
 
 
 def value_shape(v: Column) -> Column:
+    """A type in place of a value. The expressions are fixed values."""
     t = F.trim(v)
     n = F.length(t).cast("string")
     return (
@@ -102,113 +114,38 @@ def value_shape(v: Column) -> Column:
     )
 
 
-def cast_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """name, transform, share of the filled values that the transform accepts."""
-    tests = {
-        "int": lambda t: t.rlike("^[+-]?[0-9]+$"),
-        "decimal": lambda t: t.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?$"),
-        "date": lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DATE_FORMATS[:4]]).isNotNull(),
-        "email": lambda t: t.rlike(r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$"),
-        "vin": lambda t: t.rlike("^[A-HJ-NPR-Z0-9]{17}$"),
-        "zip": lambda t: t.rlike("^[0-9]{5}(-[0-9]{4})?$"),
-    }
-    one = df.agg(*[F.avg(F.when(test(F.col(c)), 1.0).otherwise(0.0)).alias(f"{c}__{k}") for c in columns for k, test in tests.items()])
-    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.lit(k).alias("transform"), F.round(F.col(f"{c}__{k}"), 4).alias("share")) for c in columns for k in tests])))
-
-
-#: Fixed names: outcome keys, error keys, identifier fields and words of a conflict.
-OK_KEYS = ("succeeded", "success", "ok", "isSuccess")
-ERROR_KEYS = ("message", "error", "errors", "messages")
-ID_FIELDS = ("id", "key", "uuid", "guid", "_id")
-CONFLICT = "already|exists|duplicate|conflict"
-
-
-def response_outcome(status: Column, body: Column, conflict: str = "skip") -> tuple[Column, Column]:
-    """(inserted, skipped or failed; the assigned id) from a logged status and JSON body."""
-    v = F.try_parse_json(body)
-    get = lambda path, kind="string": F.try_variant_get(v, f"$.{path}", kind)
-    refused = F.coalesce(*[get(k, "boolean") for k in OK_KEYS], F.lit(True)) == F.lit(False)
-    problem = F.lower(F.coalesce(*[get(k) for k in ERROR_KEYS], F.lit("")))
-    skips = F.lit(conflict == "skip")
-    action = F.when((status == 409) & skips, "skipped").when(status >= 400, "failed").when(refused & skips & problem.rlike(CONFLICT), "skipped").when(refused, "failed").otherwise("inserted")
-    found = F.coalesce(*[F.nullif(get(f"data.{k}"), F.lit("")) for k in ID_FIELDS], *[F.nullif(get(k), F.lit("")) for k in ID_FIELDS])
-    return action, F.when(action == "inserted", found)
-
-
-def undone(status: Column, body: Column) -> Column:
-    ok = F.coalesce(*[F.try_variant_get(F.try_parse_json(body), f"$.{k}", "boolean") for k in OK_KEYS], F.lit(True))
-    return status.isin(404, 204) | (status.between(200, 299) & F.try_parse_json(body).isNotNull() & ok)
-
-
-def url_pattern(url: Column) -> Column:
-    """Numeric parts become <id>, UUID parts <uuid>; parameters keep their names, sorted."""
-    path = F.regexp_replace(F.regexp_replace(F.regexp_extract(url, r"^([^?#]*)", 1), r"/[0-9]+(?=/|$)", "/<id>"), r"(?i)/[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}(?=/|$)", "/<uuid>")
-    names = F.array_sort(F.regexp_extract_all(F.regexp_extract(url, r"\?([^#]*)", 1), F.lit("(?:^|&)([^=&]+)="), F.lit(1)))
-    return F.concat(path, F.when(F.size(names) > 0, F.concat(F.lit("?"), F.array_join(F.transform(names, lambda k: F.concat(k, F.lit("=…"))), "&"))).otherwise(F.lit("")))
-
-
-#: Fixed parameter names by paging style.
-PAGING = (("cursor", "cursor|after|next|next_cursor|page_token|continuation"), ("page", "page|p|pagenumber|page_number|pagina"), ("offset", "offset|skip|start|from"), ("page", "per_page|perpage|limit|page_size|pagesize|size|take|count"))
-
-
-def paging_style(url: Column) -> Column:
-    out = None
-    for style, names in PAGING:
-        test = F.lower(url).rlike(rf"[?&]({names})=")
-        out = F.when(test, style) if out is None else out.when(test, style)
-    return out
-
-
-#: Links that a crawl must not follow, and what is no page. Fixed words.
-UNSAFE = r"(?i)(^|[/?&#_.-])(log[ _-]?out|sign[ _-]?out|delete|destroy|remove|trash|archive|purge|cancel|void|refund|chargeback|reverse|send|e[ _-]?mail|notify|sms|text|dispatch|remind|approve|reject|decline|accept|confirm|finali[sz]e|pay|charge|capture|checkout|invoice_now|impersonate|switch[ _-]?user|become|reset|regenerate|rotate|revoke|disable|deactivate|merge|restore|publish|unpublish)([/?&#_.-]|$)"
-NOT_A_PAGE = r"(?i)^(mailto:|tel:|javascript:|blob:|data:)"
-DOWNLOAD = r"(?i)\.(pdf|csv|xlsx?|zip|docx?|pptx?)(\?|$)"
-STATIC = r"(?i)\.(png|jpe?g|gif|svg|webp|avif|ico|woff2?|ttf|eot|css|mp4|webm|m4a|mp3)(\?|$)"
-
+#: Steps that a text column's values are tried with.
+CASTS = {
+    "int": ("int",),
+    "decimal": ("decimal",),
+    "bool": ("bool",),
+    "date": ("to_datetime",),
+    "email": ({"email": {"strict": True}},),
+    "vin": ({"vin": {"strict": True}},),
+}
 
-def link_reason(href: Column) -> Column:
-    """Why a link is refused; null for a safe one."""
-    return F.when(href.rlike(NOT_A_PAGE), "scheme").when(href.rlike(UNSAFE), "unsafe").when(href.rlike(DOWNLOAD), "download").when(href.rlike(STATIC), "static")
 
-
-def links(pages: DataFrame) -> DataFrame:
-    """page_id, href, reason: distinct links of each page."""
-    hrefs = F.array_distinct(F.regexp_extract_all("html", F.lit(r"""(?i)<a\s[^>]*href=["']([^"'#][^"']*)["']"""), F.lit(1)))
-    return pages.select("page_id", F.explode(hrefs).alias("href")).withColumn("reason", link_reason(F.col("href")))
-
-
-def reach(edges: DataFrame, start: DataFrame, max_depth: int) -> DataFrame:
-    """node, depth of what ``start`` (node) reaches over ``edges`` (src, dst) in ``max_depth`` steps."""
-    seen = start.select("node", F.lit(0).alias("depth"))
-    front = seen
-    for depth in range(1, max_depth + 1):
-        front = front.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
-        seen = seen.unionByName(front)
-    return seen
-
-
-def until_misses(hits: DataFrame, budget: int) -> DataFrame:
-    """Rows of series (grp, n, hit) before the first run of ``budget`` misses in a row.
-
-    The end of each miss run follows from the distance to the next hit, by group.
-    """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("grp").orderBy("n")
-    last_hit = F.max(F.when(F.col("hit"), F.col("n"))).over(w)
-    marked = hits.withColumn("streak", F.col("n") - F.coalesce(last_hit, F.lit(0)))
-    stop = F.min(F.when(F.col("streak") >= budget, F.col("n"))).over(Window.partitionBy("grp"))
-    return marked.withColumn("stop", stop).where("stop is null or n <= stop").where("hit").select("grp", "n")
+def cast_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """name, transform, share of a column's filled values that the transform accepts (null if none is filled)."""
+    accepts = {}
+    for k, steps in CASTS.items():
+        accepts[k] = lambda c, steps=steps: (lambda got: got.value.isNotNull() & got.error.isNull())(apply_chain(cell(F.col(c)), steps))
+    accepts["phone"] = lambda c: F.length(digits_of(F.col(c))).between(10, 11) & stripped(F.col(c)).rlike(r"^[0-9\s().+-]+$")
+    accepts["zip"] = lambda c: stripped(F.col(c)).rlike("^[0-9]{5}(-?[0-9]{4})?$")
+    filled = lambda c: stripped(F.col(c)) != ""
+    one = df.agg(*[F.avg(F.when(filled(c), F.when(test(c), 1.0).otherwise(0.0))).alias(f"{c}__{k}") for c in columns for k, test in accepts.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.lit(k).alias("transform"), F.round(F.col(f"{c}__{k}"), 4).alias("share")) for c in columns for k in accepts])))
 
 
 def record_pages(events: DataFrame, ids: int = 500) -> DataFrame:
-    """user_id, body: each user's events as JSON payloads, one for each range of ``ids`` event ids."""
+    """user_id, page, body: each user's events as JSON payloads, one for each range of ``ids`` event ids, in their order."""
     record = F.concat(F.lit('{"id":'), F.coalesce(F.col("event_id").cast("string"), F.lit("null")), F.lit(',"p":'), F.coalesce("props", F.lit("null")), F.lit("}"))
-    pages = events.groupBy("user_id", F.floor(F.col("event_id") / ids).alias("page")).agg(F.array_join(F.collect_list(record), ",").alias("records"))
-    return pages.select("user_id", F.concat(F.lit('{"data":['), "records", F.lit("]}")).alias("body"))
+    listed = F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("i"), record.alias("r"))))
+    pages = events.groupBy("user_id", F.floor(F.col("event_id") / ids).alias("page")).agg(F.array_join(F.transform(listed, lambda x: x["r"]), ",").alias("records"))
+    return pages.select("user_id", "page", F.concat(F.lit('{"data":['), "records", F.lit("]}")).alias("body"))
 
 
-def open_pages(pages: DataFrame) -> DataFrame:
+def open_pages(pages: DataFrame, record_path: str = "data") -> DataFrame:
     """user_id, event_id, k of every record of the payloads."""
-    record = F.explode(F.from_json("body", "data array<struct<id:bigint,p:struct<k:bigint>>>")["data"]).alias("r")
-    return pages.select("user_id", record).select("user_id", F.col("r.id").alias("event_id"), F.col("r.p.k").alias("k"))
+    opened = pages.select("user_id", F.explode(records(F.col("body"), record_path)).alias("r"))
+    return opened.select("user_id", F.try_variant_get("r", "$.id", "bigint").alias("event_id"), F.try_variant_get("r", "$.p.k", "bigint").alias("k"))

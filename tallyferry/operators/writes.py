@@ -6,21 +6,22 @@ the journal comes from the same classified rows and is stored before the snapsho
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyferry.functions.transforms import comparable
+from tallyferry.functions.transforms import same_value, shown
+from tallyferry.operators.storage import durable, spread_join
 
 
 def classify(incoming: DataFrame, target: DataFrame, key: str, conflict: str) -> DataFrame:
-    """``incoming`` with ``__action`` (inserted, skipped, updated, failed) and ``__prior`` (JSON).
+    """``incoming`` with ``__action`` (inserted, skipped, updated, failed) and ``__prior`` (the target's row).
 
-    A null key is a new row.
+    A null key is a new row. ``__prior`` is a struct of the target's columns, so no value changes its type.
     """
-    prior = target.select(F.col(key).alias("__k"), F.to_json(F.struct(*[F.col(c) for c in target.columns])).alias("__prior"))
-    joined = incoming.join(prior, F.col(key) == F.col("__k"), "left").drop("__k")
+    prior = target.select(F.col(key).alias("__k"), F.struct(*[F.col(c) for c in target.columns]).alias("__prior"))
+    joined = spread_join(incoming, prior, key, "__k").drop("__k")
     exists = {"skip": "skipped", "update": "updated", "error": "failed"}[conflict]
     return joined.withColumn("__action", F.when(F.col("__prior").isNull(), "inserted").otherwise(exists))
 
@@ -28,12 +29,12 @@ def classify(incoming: DataFrame, target: DataFrame, key: str, conflict: str) ->
 def merged(incoming: DataFrame, target: DataFrame, key: str, conflict: str) -> DataFrame:
     """The target after the write; an update changes the mapped columns only.
 
-    Old rows and incoming rows meet in one full join on the key.
+    Old rows and incoming rows meet in one full join on the key; null keys stay apart.
     """
-    own, new = target.alias("o"), incoming.withColumn("__new", F.lit(True)).alias("n")
-    both = own.join(new, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
-    old_there, new_there = F.col(f"o.{key}").isNotNull(), F.col("n.__new").isNotNull()
-    take_new = new_there & (~old_there if conflict != "update" else F.lit(True))
+    own = target.select(F.col(key).alias("__ok"), F.struct(*[F.col(c) for c in target.columns]).alias("o"))
+    new = incoming.select(F.col(key).alias("__nk"), F.struct(*[F.col(c) for c in incoming.columns]).alias("n"))
+    both = spread_join(own, new, "__ok", "__nk", "full_outer")
+    take_new = F.col("n").isNotNull() & (F.col("o").isNull() if conflict != "update" else F.lit(True))
 
     def column(c: str) -> Column:
         if c not in incoming.columns:
@@ -44,19 +45,17 @@ def merged(incoming: DataFrame, target: DataFrame, key: str, conflict: str) -> D
 
 
 def journal(classified: DataFrame, run_id: str, entity: str, key: str) -> DataFrame:
-    """Rows for inserted and updated keys, with what stood there before."""
+    """Rows for inserted and updated keys, with what stood there before (a struct, null for inserted)."""
     written = classified.where(F.col("__action").isin("inserted", "updated"))
     return written.select(F.lit(run_id).alias("run_id"), F.lit(entity).alias("entity"), F.col(key).alias("target_id"), F.col("__action").alias("action"), F.when(F.col("__action") == "updated", F.col("__prior")).alias("prior_row"))
 
 
 def rolled_back(target: DataFrame, entries: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     """The target before the journalled run: inserted keys go, updated ones get their oldest row."""
-    oldest = entries.groupBy("target_id").agg(F.min_by("action", seq).alias("__a"), F.min_by("prior_row", seq).alias("__p"))
-    schema = target.schema
-    touched = target.join(oldest, F.col(key) == F.col("target_id"), "left")
+    oldest = entries.groupBy("target_id").agg(F.min_by("action", seq).alias("__a"), F.min_by("prior_row", seq).alias("__o"))
+    touched = spread_join(target, oldest, key, "target_id")
     kept = touched.where(F.col("__a").isNull() | (F.col("__a") == "updated"))
-    old = kept.withColumn("__o", F.from_json("__p", schema))
-    return old.select(*[F.when(F.col("__a").isNotNull(), F.col(f"__o.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns])
+    return kept.select(*[F.when(F.col("__a").isNotNull(), F.col(f"__o.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns])
 
 
 def tally(classified: DataFrame) -> DataFrame:
@@ -67,9 +66,9 @@ def assign_keys(rows: DataFrame, order: str, first: int, key: str = "id", slices
     """Dense ids from ``first`` on in the order of ``order``, without one task that holds all rows.
 
     Rows are dealt to ranges of the order; ranges are counted, and a row's id is what stands before
-    its range plus its place in it.
+    its range plus its place in it. The dealt rows are kept, as a repeated task may cut its ranges anew.
     """
-    parts = rows.repartitionByRange(slices, order).withColumn("__p", F.spark_partition_id())
+    parts = durable(rows.repartitionByRange(slices, order).withColumn("__p", F.spark_partition_id()))
     counts = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))  # at most `slices` rows
     before = counts.withColumn("__b", F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).select("__p", "__b")
     place = F.row_number().over(Window.partitionBy("__p").orderBy(order))
@@ -81,36 +80,48 @@ def constraint_errors(rows: DataFrame, key: str, not_null: Sequence[str] = (), u
     out = rows
     tests = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in not_null]
     for c in unique:
-        counts = rows.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias(f"__n_{c}")).where(F.col(f"__n_{c}") > 1)
-        out = out.join(counts, c, "left")
+        counts = rows.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"__c_{c}")).agg(F.count(F.lit(1)).alias(f"__n_{c}")).where(F.col(f"__n_{c}") > 1)
+        out = spread_join(out, counts, c, f"__c_{c}", by=[key])
         tests.append(F.when(F.col(f"__n_{c}").isNotNull(), F.lit(f"{c} is not unique")))
     return out.select(F.col(key), F.coalesce(*tests).alias("message")).where("message is not null")
 
 
-def last_by_key(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key: the last by ``order`` (a partial aggregate, so a hot key costs no more)."""
-    picked = rows.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in rows.columns if c != key]), order).alias("__r"))
-    return picked.select(*[F.col(c) if c == key else F.col(f"__r.{c}").alias(c) for c in rows.columns])
+def last_by_key(rows: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
+    """One row per key: the last by ``order``, of ties the greatest (a partial aggregate, so a hot key costs no more)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [order, *[c for c in rows.columns if c not in (*keys, order)]]
+    picked = rows.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in rest])).alias("__r"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in rows.columns])
 
 
 def verify_counts(entity: str, source: DataFrame, id_map: DataFrame, target: DataFrame) -> DataFrame:
-    counts = [source.agg(F.count(F.lit(1)).alias("source_rows")), id_map.where(F.col("entity") == entity).agg(F.count(F.lit(1)).alias("recorded_ids")), target.agg(F.count(F.lit(1)).alias("target_rows"))]
-    out = counts[0]
-    for c in counts[1:]:  # one row each
-        out = out.crossJoin(c)
-    return out.withColumn("entity", F.lit(entity))
+    """One row: source rows, recorded ids and target rows of an entity."""
+    names = ("source_rows", "recorded_ids", "target_rows")
+    parts = [df.select(*[F.lit(int(k == i)).alias(n) for k, n in enumerate(names)]) for i, df in enumerate((source, id_map.where(F.col("entity") == entity), target))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names]).withColumn("entity", F.lit(entity))
 
 
-def verify_diff(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
+def differences(columns: Sequence[str], expected: dict[str, str], actual: dict[str, str], left: str, right: str, skip: Column | None = None) -> Column:
+    """Array of (column, expected, actual) of the values that differ between the structs ``left`` and ``right``.
+
+    ``expected`` and ``actual`` are the types by column; ``skip`` is an array of names that are not compared.
+    """
+    own = lambda side, c: F.col(f"{side}.`{c}`")
+    rows = [F.struct(F.lit(c).alias("column"), shown(own(left, c), expected[c]).alias("expected"), shown(own(right, c), actual[c]).alias("actual"), same_value(own(left, c), expected[c], own(right, c), actual[c]).alias("same")) for c in columns]
+    wrong = F.filter(F.array(*rows), lambda p: ~p["same"] & (F.lit(True) if skip is None else ~F.array_contains(skip, p["column"])))
+    return F.transform(wrong, lambda p: F.struct(p["column"].alias("column"), p["expected"].alias("expected"), p["actual"].alias("actual")))
+
+
+def verify_diff(expected: DataFrame, actual: DataFrame, key: str, skip: Collection[str] = ()) -> DataFrame:
     """key, column, expected, actual of every value that differs; a missing row is one entry."""
-    kinds = dict(expected.dtypes)
-    columns = [c for c in expected.columns if c != key]
-    both = expected.alias("e").join(actual.withColumn("__there", F.lit(True)).alias("a"), key, "left")
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), comparable(F.col(f"e.{c}"), kinds[c]).alias("expected"), comparable(F.col(f"a.{c}"), dict(actual.dtypes)[c]).alias("actual")) for c in columns])
+    columns = [c for c in expected.columns if c != key and c in actual.columns and c not in skip]
+    e = expected.select(key, F.struct(*[F.col(c) for c in columns]).alias("e"))
+    a = actual.select(key, F.struct(*[F.col(c) for c in columns], F.lit(True).alias("there")).alias("a"))
     gone = F.array(F.struct(F.lit("<row>").alias("column"), F.lit("present").alias("expected"), F.lit("missing").alias("actual")))
-    wrong = F.when(F.col("__there").isNull(), gone).otherwise(F.filter(pairs, lambda p: ~p["expected"].eqNullSafe(p["actual"])))
-    return both.select(key, F.inline(wrong))
+    wrong = differences(columns, dict(expected.dtypes), dict(actual.dtypes), "e", "a")
+    return e.join(a, key, "left").select(key, F.inline(F.when(F.col("a.there").isNull(), gone).otherwise(wrong)))
 
 
 def forget(id_map: DataFrame, run_id: str) -> DataFrame:
-    return id_map.where(F.col("run_id") != run_id)
+    """The id map without what one run recorded."""
+    return id_map.where(~F.col("run_id").eqNullSafe(run_id))

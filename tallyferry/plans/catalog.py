@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tallyferry.functions.transforms import apply_chain, cell
 from tallyferry.operators import quality as Q
 from tallyferry.operators import resolve as R
+from tallyferry.operators import responses as A
 from tallyferry.operators import writes as W
+from tallyferry.sources import pages as P
 from tallyferry.plans.mapping import Entity, Field, accepted, build_rows, error_summary, plan_report, rejected
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,34 +58,6 @@ def fetch_by_keys(spark, sf):
     return c.join(keys, c.c_custkey.cast("string") == keys.k, "left_semi")
 
 
-@query("select distinct url from pages")
-def sitemap_urls(spark, sf):
-    xml = F.concat(F.lit("<urlset><url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc></url></urlset>"))
-    return t(spark, sf, "pages").select(F.explode(F.xpath(xml, F.lit('//*[local-name()="loc"]/text()'))).alias("url")).distinct()
-
-
-@query()
-def page_links(spark, sf):
-    return Q.links(t(spark, sf, "pages")).where("reason is null").drop("reason")
-
-
-@query()
-def unsafe_links(spark, sf):
-    return Q.links(t(spark, sf, "pages")).where("reason is not null")
-
-
-@query("""
-with recursive e as (select page_id as src, x as dst from pages, unnest([page_id * 2 + 1, page_id * 3 + 2]) as u(x)
-  where x < (select count(*) from pages)),
-r as (select 0::bigint as node, 0 as depth union all select e.dst, depth + 1 from r join e on e.src = r.node where depth < 4)
-select node, min(depth) as depth from r group by node""")
-def crawl_reach(spark, sf):
-    p = t(spark, sf, "pages")
-    edges = p.select(F.col("page_id").alias("src"), F.explode(F.array(F.col("page_id") * 2 + 1, F.col("page_id") * 3 + 2)).alias("dst"))
-    edges = edges.join(p.select(F.col("page_id").alias("dst")), "dst", "left_semi")
-    return Q.reach(edges, p.where("page_id = 0").select(F.col("page_id").alias("node")), 4)
-
-
 @query("""
 with h as (select event_type as grp, event_id as n from events),
 s as (select grp, n, n - coalesce(lag(n) over (partition by grp order by n), 0) - 1 as gap from h),
@@ -91,13 +65,7 @@ b as (select grp, min(n) as cut from s where gap >= 15 group by grp)
 select grp, n from s left join b using (grp) where cut is null or n < cut""")
 def sequence_stop(spark, sf):
     """Series of the ids of an event type: kept until 15 ids in a row are missing."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("grp").orderBy("n")
-    h = t(spark, sf, "events").select(F.col("event_type").alias("grp"), F.col("event_id").alias("n"))
-    s = h.withColumn("gap", F.col("n") - F.coalesce(F.lag("n").over(w), F.lit(0)) - 1)
-    cut = s.where("gap >= 15").groupBy("grp").agg(F.min("n").alias("cut"))
-    return s.join(cut, "grp", "left").where("cut is null or n < cut").select("grp", "n")
+    return P.until_misses(t(spark, sf, "events").select(F.col("event_type").alias("grp"), F.col("event_id").alias("n")), 15, span=1000)
 
 
 @query("select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events where event_type = 'click'")
@@ -106,10 +74,10 @@ def json_fields(spark, sf):
     return e.select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
 
 
-@query("select user_id, event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events where user_id < 50")
+@query("select user_id, event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
 def explode_records(spark, sf):
     """Paged payloads opened into their records again."""
-    return Q.open_pages(Q.record_pages(t(spark, sf, "events").where("user_id < 50")))
+    return Q.open_pages(Q.record_pages(t(spark, sf, "events")))
 
 
 @query("select 'https://crm.example/customers/' || c_name as url, c_name as parent, count(*) as orders from customer join orders on o_custkey = c_custkey where trim(c_name) <> '' group by c_name")
@@ -135,70 +103,12 @@ def html_rows(spark, sf):
     return t(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<li><a href="[^"]*">([^<]*)</a></li>'), F.lit(1))).alias("item"))
 
 
-@query("""select page_id, regexp_matches(lower(url), '/(login|signin|sign-in|auth|sso)(\\?|/|$)') as by_url,
-  regexp_matches(html, '(?i)<input[^>]*type="?password') as by_input from pages""".replace("\\\\", "\\"))
-def login_pages(spark, sf):
-    return t(spark, sf, "pages").select("page_id", F.lower("url").rlike(r"/(login|signin|sign-in|auth|sso)(\?|/|$)").alias("by_url"), F.col("html").rlike('(?i)<input[^>]*type="?password').alias("by_input"))
-
-
-#: Fixed signatures of page software (label, expression).
-PLATFORMS = (("tracking script", "track\\("), ("navigation list", "<nav><ul>"), ("advertisement", 'class="ad"'), ("WordPress", "/wp-content/|/wp-includes/|wp-json"), ("Next.js", "__NEXT_DATA__|/_next/static"))
-
-
-@query("select label, count(*) as pages from pages, (values " + ", ".join(f"('{a}', '{b}')" for a, b in PLATFORMS) + ") as s(label, re) where regexp_matches(html, re) group by label")
-def page_platforms(spark, sf):
-    found = F.array_compact(F.array(*[F.when(F.col("html").rlike(b), F.lit(a)) for a, b in PLATFORMS]))
-    return t(spark, sf, "pages").select(F.explode(found).alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("pages"))
-
-
-@query()
-def next_page(spark, sf):
-    hrefs = t(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), F.lit(1))).alias("href"))
-    ranked = hrefs.where(F.col("href").rlike(r"(?i)[?&](page|p|pg|offset|start)=[0-9]+|/page/[0-9]+/?$"))
-    return ranked.groupBy("page_id").agg(F.min("href").alias("next_url"))
-
-
 @query("select sha256(regexp_replace(regexp_replace(html, '>[^<]+<', '><', 'g'), '=\"[^\"]*\"', '=\"\"', 'g')) as template, count(*) as pages from pages group by 1")
 def page_templates(spark, sf):
     skeleton = F.regexp_replace(F.regexp_replace("html", ">[^<]+<", "><"), '="[^"]*"', '=""')
     return t(spark, sf, "pages").groupBy(F.sha2(skeleton, 256).alias("template")).agg(F.count(F.lit(1)).alias("pages"))
 
 
-@query()
-def jsonld_types(spark, sf):
-    blocks = F.explode(F.regexp_extract_all("html", F.lit(r'(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>'), F.lit(1)))
-    kinds = F.explode(F.regexp_extract_all("block", F.lit(r'"@type"\s*:\s*"([^"]+)"'), F.lit(1)))
-    return t(spark, sf, "pages").select(blocks.alias("block")).select(kinds.alias("type")).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("select page_id, case when regexp_matches(url, '^https?://') then url end as canonical, coalesce(nullif(trim(url), ''), '') || '#' || page_id as key from pages")
-def finalise_keys(spark, sf):
-    return t(spark, sf, "pages").select("page_id", F.when(F.col("url").rlike("^https?://"), F.col("url")).alias("canonical"), F.concat(F.coalesce(F.nullif(F.trim("url"), F.lit("")), F.lit("")), F.lit("#"), F.col("page_id")).alias("key"))
-
-
-@query("""select regexp_replace(regexp_extract(url, '^([^?#]*)', 1), '/[0-9]+', '/<id>', 'g') as pattern, count(*) as n, min(url) as example
-from pages group by 1 order by n desc, pattern limit 40""")
-def url_groups(spark, sf):
-    pattern = F.regexp_replace(F.regexp_extract("url", r"^([^?#]*)", 1), "/[0-9]+", "/<id>")
-    return t(spark, sf, "pages").groupBy(pattern.alias("pattern")).agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("example")).orderBy(F.desc("n"), "pattern").limit(40)
-
-
-@query()
-def endpoint_patterns(spark, sf):
-    return t(spark, sf, "pages").groupBy(Q.url_pattern(F.col("url")).alias("pattern")).agg(F.count(F.lit(1)).alias("calls"))
-
-
-@query("""select case when regexp_matches(url, '[?&](page|p)=') then 'page' else '' end as style, count(*) as n from pages group by 1""")
-def pagination_style(spark, sf):
-    return t(spark, sf, "pages").groupBy(F.coalesce(Q.paging_style(F.col("url")), F.lit("")).alias("style")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query()
-def payload_shapes(spark, sf):
-    e = t(spark, sf, "events")
-    return e.groupBy("event_type").agg(F.schema_of_variant_agg(F.try_parse_json("props")).alias("shape"), F.count(F.lit(1)).alias("n"))
-
-
 @query("select regexp_extract(url, '^https?://([^/?#]+)', 1) as collection, count(*) as stored, count(distinct url) as urls from pages group by 1")
 def harvest_totals(spark, sf):
     return t(spark, sf, "pages").groupBy(F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("collection")).agg(F.count(F.lit(1)).alias("stored"), F.count_distinct("url").alias("urls"))
@@ -209,9 +119,11 @@ def require_fields(spark, sf):
     return t(spark, sf, "documents").where("text is not null and trim(text) <> '' and lang <> '' and source <> ''").select("doc_id", "lang", "source")
 
 
-@query("select 'customer' as table_name, count(*) as n from customer union all select 'orders', count(*) from orders union all select 'pages', count(*) from pages")
+@query(" union all ".join(f"select '{n}' as table_name, count(*) as n, (select string_agg(column_name, ',' order by column_name) from (describe select * from {n})) as columns from {n}" for n in ("customer", "orders", "pages")))
 def snapshot_summary(spark, sf):
-    out = [t(spark, sf, n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n")) for n in ("customer", "orders", "pages")]
+    """Rows and column names of each collection."""
+    tables = [(n, t(spark, sf, n)) for n in ("customer", "orders", "pages")]
+    out = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n"), F.lit(",".join(sorted(df.columns))).alias("columns")) for n, df in tables]
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
@@ -357,7 +269,7 @@ i as (select id, fn || '|' || ln as person, 'phone' as s, nullif(ph, '') as k fr
   union all select id, fn || '|' || ln, 'name_zip', fn || '|' || ln || '|' || zp from c),
 x as (select s, k, count(distinct id) as ids, count(distinct person) as ps, min(lpad(id, 20, '0')) as low from i where k is not null group by s, k),
 h as (select s, k, case when ps = 1 and (s <> 'name_zip' or ids = 1) then coalesce(nullif(ltrim(low, '0'), ''), '0') end as hit from x),
-l as (select j.id, coalesce(p.hit, e.hit, z.hit) as customer_id, case when p.hit is not null then 'phone' when e.hit is not null then 'email' when z.hit is not null then 'name_zip' end as method,
+l as (select j.id, coalesce(p.hit, e.hit, z.hit) as customer_id, case when p.hit is not null then 'phone' when e.hit is not null then 'email' when z.hit is not null then 'name+zip' end as method,
   coalesce(p.k, e.k, z.k) is not null as seen from j left join h p on p.s = 'phone' and p.k = right(nullif(j.ph, ''), 10)
   left join h e on e.s = 'email' and e.k = lower(nullif(j.em, '')) left join h z on z.s = 'name_zip' and z.k = j.fn || '|' || j.ln || '|' || j.zp),
 linked as (select id, customer_id, method, case when method is not null then 'matched' when seen then 'ambiguous' else 'unmatched' end as outcome from l)
@@ -385,12 +297,27 @@ def link_report(spark, sf):
     return R.link_report(R.link(jobs, people))
 
 
-@query("""with d as (select distinct o_custkey, '555' || lpad(cast(o_custkey % 900 as varchar), 7, '0') as phone from orders where o_orderkey % 3 = 0)
-select cast(c_custkey as varchar) as id, phone from customer join d on o_custkey = c_custkey where c_custkey % 4 = 0""")
+ENRICH = """with j as (select o_custkey, case when o_orderkey % 2 = 0 then o_custkey end as mid, case when o_custkey % 7 = 0 then 'shared' else 'a' || o_custkey end as nm,
+  case when o_orderkey % 11 = 0 then '911' when o_custkey % 5 = 0 then '555' || lpad(cast(o_orderkey % 900 as varchar), 7, '0') else '555' || lpad(cast(o_custkey % 900 as varchar), 7, '0') end as ph from orders),
+g as (select * from j where length(ph) = 10),
+i as (select mid as id, min(ph) as lo, max(ph) as hi from g where mid is not null group by mid),
+bare as (select c_custkey as id, case when c_custkey % 7 = 0 then 'shared' else 'a' || c_custkey end as nm from customer where c_custkey % 4 = 0),
+n as (select nm, min(ph) as lo, max(ph) as hi from g where nm in (select nm from bare group by nm having count(*) = 1) group by nm)
+select cast(bare.id as varchar) as id, case when i.id is not null then case when i.lo = i.hi then i.lo end when n.lo = n.hi then n.lo end as phone,
+  case when i.id is null and n.nm is null then 'no_source' when coalesce(i.lo, n.lo) = coalesce(i.hi, n.hi) then 'enriched' else 'ambiguous' end as outcome
+from bare left join i on i.id = bare.id left join n on n.nm = bare.nm"""
+
+
+@query(ENRICH)
 def enrich_value(spark, sf):
-    people, jobs = contacts(spark, sf)
-    unnamed = jobs.withColumns({"customer_first_name": F.lit(""), "customer_last_name": F.lit("")})
-    return R.backfill_phone(people, unnamed)
+    """Jobs of some customers disagree, some name no customer, some numbers are too short, some names are shared."""
+    c, o = t(spark, sf, "customer"), t(spark, sf, "orders")
+    named = lambda k: F.when(F.col(k) % 7 == 0, "shared").otherwise(F.concat(F.lit("a"), F.col(k)))
+    seven = lambda k: F.concat(F.lit("555"), F.lpad((F.col(k) % 900).cast("string"), 7, "0"))
+    people = c.select(F.col("c_custkey").alias("id"), named("c_custkey").alias("first_name"), F.lit("").alias("last_name"), F.when(F.col("c_custkey") % 4 == 0, "n/a").otherwise("(555) 123-4567").alias("phone"))
+    number = F.when(F.col("o_orderkey") % 11 == 0, "911").when(F.col("o_custkey") % 5 == 0, seven("o_orderkey")).otherwise(seven("o_custkey"))
+    jobs = o.select(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("customer_id"), named("o_custkey").alias("customer_first_name"), F.lit(None).cast("string").alias("customer_last_name"), number.alias("customer_phone"))
+    return R.backfill_phone(people, jobs)
 
 
 @query("""with v as (select 'orders.o_custkey' as child, 'customer.c_custkey' as parent, (select count(*) from (select distinct o_custkey k from orders) where k in (select c_custkey from customer)) / (select count(distinct o_custkey) from orders) as x
@@ -492,7 +419,7 @@ def schema_growth(spark, sf):
 @query("select 'orders' as entity, cast(o_custkey as varchar) as source_id, max(o_orderkey) as target_id from orders group by o_custkey")
 def id_map_upsert(spark, sf):
     ids = t(spark, sf, "orders").select(F.lit("orders").alias("entity"), F.col("o_custkey").cast("string").alias("source_id"), F.col("o_orderkey").alias("target_id"), F.col("o_orderkey").alias("seq"))
-    return W.last_by_key(ids, "source_id", "seq").select("entity", "source_id", "target_id")
+    return W.last_by_key(ids, ("entity", "source_id"), "seq").select("entity", "source_id", "target_id")
 
 
 @query("select o_orderstatus as run_id, count(distinct o_custkey) as entities, count(*) filter (o_orderpriority = '1-URGENT') as failed, count(*) as written from orders group by 1")
@@ -500,27 +427,38 @@ def run_history(spark, sf):
     return t(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("run_id")).agg(F.count_distinct("o_custkey").alias("entities"), F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("failed"), F.count(F.lit(1)).alias("written"))
 
 
-RESPONSES = """with r as (select event_id, case event_id % 5 when 0 then 409 when 1 then 422 else 200 end as status, event_id % 5 as m from events)
+RESPONSES = """with r as (select event_id, event_id % 10 as m from events)
 """
 
 
 def responses(spark, sf):
-    """A response log: one call per event, statuses and bodies by the id."""
-    e = t(spark, sf, "events").select("event_id")
-    m = F.col("event_id") % 5
-    body = F.when(m == 2, '{"succeeded": false, "message": "Already exists"}').when(m == 3, '{"succeeded": false, "message": "name is missing"}').otherwise(F.concat(F.lit('{"succeeded": true, "data": {"id": "x'), F.col("event_id"), F.lit('"}}')))
-    return e.select("event_id", F.when(m == 0, 409).when(m == 1, 422).otherwise(200).alias("status"), body.alias("body"))
-
-
-@query(RESPONSES + "select event_id, case m when 0 then 'skipped' when 1 then 'failed' when 2 then 'skipped' when 3 then 'failed' else 'inserted' end as action, case when m = 4 then 'x' || event_id end as target_id from r")
+    """A response log: one call per event, statuses and bodies by the id's last digit."""
+    m, e = F.col("event_id") % 10, F.col("event_id").cast("string")
+    text = lambda a, z: F.concat(F.lit(a), e, F.lit(z))
+    body = (
+        F.when(m == 2, '{"succeeded": false, "message": "Already exists"}')
+        .when(m == 3, '{"succeeded": false, "messages": ["name is missing", "zip is missing"]}')
+        .when(m == 4, text('{"succeeded": true, "data": {"id": "x', '"}}'))
+        .when(m == 5, text('{"succeeded": true, "data": "k', '"}'))
+        .when(m == 6, '{"success": false, "message": "no such plan exists"}')
+        .when(m == 7, text('[{"uuid": "u', '"}]'))
+        .when(m == 8, "created")
+        .otherwise(text('{"ok": true, "data": {"key": "", "guid": ', "}}"))
+    )
+    return t(spark, sf, "events").select("event_id", F.when(m == 0, 409).when(m == 1, 422).otherwise(200).alias("status"), body.alias("body"))
+
+
+@query(RESPONSES + """select event_id, case when m in (0, 2) then 'skipped' when m in (1, 3, 6) then 'failed' else 'inserted' end as action,
+  case m when 4 then 'x' || event_id when 5 then 'k' || event_id when 7 then 'u' || event_id when 9 then cast(event_id as varchar) end as target_id,
+  case m when 2 then 'Already exists' when 3 then 'name is missing; zip is missing' when 6 then 'no such plan exists' when 1 then 'HTTP 422: {"ok": true, "data": {"key": "", "guid": ' || event_id || '}}'
+    when 0 then 'HTTP 409: {"ok": true, "data": {"key": "", "guid": ' || event_id || '}}' end as problem from r""")
 def response_outcome(spark, sf):
-    action, found = Q.response_outcome(F.col("status"), F.col("body"))
-    return responses(spark, sf).select("event_id", action.alias("action"), found.alias("target_id"))
+    return A.with_outcome(responses(spark, sf)).select("event_id", "action", "target_id", "problem")
 
 
-@query(RESPONSES + "select count(*) filter (m = 4) as undone, count(*) as calls from r")
+@query(RESPONSES + "select count(*) filter (m in (4, 5, 7, 9)) as undone, count(*) as calls from r")
 def undo_outcome(spark, sf):
-    return responses(spark, sf).agg(F.count(F.when(Q.undone(F.col("status"), F.col("body")), 1)).alias("undone"), F.count(F.lit(1)).alias("calls"))
+    return responses(spark, sf).agg(F.count(F.when(A.undone(F.col("status"), F.col("body")), 1)).alias("undone"), F.count(F.lit(1)).alias("calls"))
 
 
 @query("select (select count(*) from customer) as source_rows, (select count(*) from nation where n_nationkey % 5 <> 0) as recorded_ids, (select count(*) from customer where c_nationkey % 5 <> 0) as target_rows, 'nation' as entity")
@@ -545,26 +483,11 @@ def digit_runs(spark, sf):
     return t(spark, sf, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[0-9]{13,19}"), F.lit(0))).alias("token"))
 
 
-@query()
-def pan_values(spark, sf):
-    return digit_runs(spark, sf).select("doc_id", Q.card_digits(F.col("token")).alias("pan")).where("pan is not null")
-
-
 def tokens(spark, sf):
     return digit_runs(spark, sf).select("doc_id", F.col("token").alias("note"), F.col("token").alias("card_number"), F.lit("123").alias("cvv"))
 
 
-@query()
-def scrub_rows(spark, sf):
-    return Q.scrub(tokens(spark, sf))
-
-
-@query()
-def scrub_report(spark, sf):
-    return Q.scrub_report(tokens(spark, sf))
-
-
-@query("select doc_id, case when length(text) > 200 then substr(text, 1, 200) || '…' else text end as text, lang from documents")
+@query("select doc_id, case when length(text) > 200 then substr(text, 1, 200) || '... (+' || (length(text) - 200) || ' chars)' else text end as text, lang from documents")
 def redact_sample(spark, sf):
     return Q.redact(t(spark, sf, "documents").select("doc_id", "text", "lang"))
 
@@ -599,7 +522,4 @@ def key_profile(spark, sf):
     return Q.profile(t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "orders").where("is_key").select("table_name", "column_name")
 
 
-@query()
-def cast_profile(spark, sf):
-    return Q.cast_profile(t(spark, sf, "customer").select("c_name", "c_mktsegment", F.col("c_custkey").cast("string").alias("c_custkey")), ["c_name", "c_mktsegment", "c_custkey"])
-
+from tallyferry.plans import catalog_pages, catalog_runs  # noqa: E402, F401  they register their queries here

@@ -16,7 +16,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.functions.transforms import Cell, apply_chain, cell, null_text, steps_of
+from tallyferry.functions.transforms import Cell, apply_chain, cell, empty_to_null, null_text, steps_of
+from tallyferry.operators.storage import spread_join
 
 
 @dataclass(frozen=True)
@@ -45,11 +46,21 @@ class Entity:
     where: str | None = None
     conflict: str = "error"
     depends_on: tuple[str, ...] = ()
+    id_map_from: str | None = None
 
     def __post_init__(self) -> None:
         if self.conflict not in ("skip", "update", "error"):
             raise ValueError(f"{self.name}: conflict is skip, update or error")
 
+    @property
+    def map_key(self) -> str:
+        """The column that names a row in the id map; it may differ from the sort key."""
+        return self.id_map_from or self.source_key
+
+    def clock_made(self) -> set[str]:
+        """Target roots that a ``now`` step fills: no later run gives the same value."""
+        return {str(path_tokens(f.to)[0]) for f in self.fields if any(name == "now" for name, _ in steps_of(f.transform))}
+
     def lookups(self) -> list[tuple[int, int, dict]]:
         """(field number, step number, params) of every lookup step."""
         return [(i, k, p) for i, f in enumerate(self.fields) for k, (name, p) in enumerate(steps_of(f.transform)) if name == "lookup"]
@@ -84,18 +95,25 @@ def in_order(entities: Sequence[Entity], only: Sequence[str] | None = None) -> l
 
 
 def structural_problems(entity: Entity, source: DataFrame, target: DataFrame | None = None) -> list[str]:
-    """What is wrong before any row is read: absent columns, an absent key, unmapped targets."""
-    read = {c for f in entity.fields for c in ((f.source,) if isinstance(f.source, str) else f.source or ())} | {entity.source_key}
+    """What stops a mapping before any row is read: absent source columns, keys, target columns."""
+    read = {c for f in entity.fields for c in ((f.source,) if isinstance(f.source, str) else f.source or ())} | {entity.source_key, entity.map_key}
     out = [f"source column {c} is missing" for c in sorted(read - set(source.columns))]
     if target is not None:
-        roots = {path_tokens(f.to)[0] for f in entity.fields}
-        out += [f"target column {c} is missing" for c in sorted(roots - set(target.columns))]
+        out += [f"target column {c} is missing" for c in sorted(_roots(entity) - set(target.columns))]
         if entity.target_key not in target.columns:
             out.append(f"target key {entity.target_key} is missing")
-        out += [f"target column {c} is not mapped" for c in target.columns if c not in roots]
     return out
 
 
+def unmapped(entity: Entity, target: DataFrame) -> list[str]:
+    """Target columns that no field fills; the target's own key may stay so."""
+    return [c for c in target.columns if c not in _roots(entity) and c != entity.target_key]
+
+
+def _roots(entity: Entity) -> set[str]:
+    return {str(path_tokens(f.to)[0]) for f in entity.fields}
+
+
 def path_tokens(path: str) -> list[str | int]:
     """``a.b[0].c`` -> ['a', 'b', 0, 'c']."""
     out: list[str | int] = []
@@ -129,39 +147,53 @@ def _any(tests: list[Column]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def _looked_up(df: DataFrame, at: Cell, params: dict, name: str, id_map: DataFrame, by: str, plan_mode: bool) -> tuple[DataFrame, Cell]:
+    """A lookup step as a left join on the id map; null keys are dealt out by ``by``."""
+    df = df.withColumns({f"{name}_v": empty_to_null(at.value.cast("string")), f"{name}_e": at.error})
+    ids = id_map.where((F.col("entity") == params["entity"]) & F.col("source_id").isNotNull()).select(F.col("source_id").alias(f"{name}_s"), F.col("target_id").alias(f"{name}_t"))
+    df = spread_join(df, ids, f"{name}_v", f"{name}_s", by=[by])
+    v, t = F.col(f"{name}_v"), F.col(f"{name}_t")
+    missed = F.when(v.isNotNull() & t.isNull(), F.concat(F.lit(f"lookup: no {params['entity']} for "), v)) if params.get("required", False) and not plan_mode else null_text()
+    return df, Cell(F.coalesce(t, v) if plan_mode else t, F.coalesce(F.col(f"{name}_e"), missed))
+
+
 def build_rows(entity: Entity, source: DataFrame, id_map: DataFrame | None = None, plan_mode: bool = False, run_time: str | None = None) -> DataFrame:
-    """``__key`` (text), ``__error`` and the target columns of every source row.
+    """``__key`` (text), ``__order``, ``__error``, ``__clock``, ``__unresolved`` and the target columns of every source row.
 
-    ``id_map`` holds (entity, source_id, target_id), unique by the first two. In plan mode an
-    unresolved lookup passes its source value through.
+    ``id_map`` holds (entity, source_id, target_id), unique by the first two. A lookup that finds
+    nothing gives null, or an error where it is ``required``; in plan mode its source value passes
+    through and ``__unresolved`` names the entity. ``__clock`` names the targets that fell back to
+    ``@now``.
     """
     df = source.where(entity.where) if entity.where else source
-    missing = [f.source for f in entity.fields if isinstance(f.source, str) and f.source not in source.columns]
+    missing = sorted({c for f in entity.fields for c in ((f.source,) if isinstance(f.source, str) else f.source or ())} - set(source.columns))
     if missing:
         raise ValueError(f"source columns missing: {missing}")
     cells: list[Cell] = []
+    clock, unresolved = [], []
     for i, f in enumerate(entity.fields):
         steps = [dict([s]) for s in steps_of(f.transform)]
         at = cell(F.lit(f.const)) if f.const is not None else cell(F.array(*[F.col(c).cast("string") for c in f.source]) if isinstance(f.source, tuple) else F.col(f.source) if f.source else null_text())
-        cut = next((k for k, s in enumerate(steps) if "lookup" in s), len(steps))
-        at = apply_chain(at, steps[:cut])
-        if cut < len(steps):
-            params, name = steps[cut]["lookup"], f"__lk{i}"
-            df = df.withColumns({f"{name}_v": at.value.cast("string"), f"{name}_e": at.error})
-            ids = id_map.where(F.col("entity") == params["entity"]).select(F.col("source_id").alias(f"{name}_s"), F.col("target_id").alias(f"{name}_t"))
-            df = df.join(ids, F.col(f"{name}_v") == F.col(f"{name}_s"), "left")
-            v, t = F.col(f"{name}_v"), F.col(f"{name}_t")
-            lost = (v.isNotNull()) & (v != "") & t.isNull()
-            error = F.when(lost, F.concat(F.lit(f"lookup: no {params['entity']} for "), v)) if params.get("required", True) and not plan_mode else null_text()
-            at = apply_chain(Cell(F.coalesce(t, F.when(v != "", v)) if plan_mode else t, F.coalesce(F.col(f"{name}_e"), error)), steps[cut + 1 :])
+        k = 0
+        while "lookup" in {n for s in steps for n in s}:
+            cut = next(j for j, s in enumerate(steps) if "lookup" in s)
+            at, name = apply_chain(at, steps[:cut]), f"__lk{i}_{k}"
+            df, at = _looked_up(df, at, steps[cut]["lookup"], name, id_map, entity.source_key, plan_mode)
+            unresolved.append(F.when(F.col(f"{name}_v").isNotNull() & F.col(f"{name}_t").isNull(), F.lit(steps[cut]["lookup"]["entity"])))
+            steps, k = steps[cut + 1 :], k + 1
+        at = apply_chain(at, steps)
         if f.default is not None:
-            default = (F.lit(run_time).cast("timestamp_ntz") if run_time else F.current_timestamp().cast("timestamp_ntz")) if f.default == "@now" else F.lit(f.default)
+            now = f.default == "@now"
+            default = (F.lit(run_time).cast("timestamp_ntz") if run_time else F.current_timestamp().cast("timestamp_ntz")) if now else F.lit(f.default)
+            if now:
+                clock.append(F.when(at.value.isNull(), F.lit(str(path_tokens(f.to)[0]))))
             at = Cell(F.coalesce(at.value, default), at.error)
         if f.required:
             at = Cell(at.value, F.coalesce(at.error, F.when(at.value.isNull(), F.lit("required field resolved to null"))))
         cells.append(Cell(at.value, F.when(at.error.isNotNull(), F.concat(F.lit(f"{f.to}: "), at.error))))
     # staged, so that nested chains are computed once
-    staged = df.select(F.col(entity.source_key).cast("string").alias("__key"), *[c.value.alias(f"__v{i}") for i, c in enumerate(cells)], *[c.error.alias(f"__e{i}") for i, c in enumerate(cells)])
+    names = lambda tests: F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
+    staged = df.select(F.col(entity.map_key).cast("string").alias("__key"), F.col(entity.source_key).alias("__order"), names(clock).alias("__clock"), names(unresolved).alias("__unresolved"), *[c.value.alias(f"__v{i}") for i, c in enumerate(cells)], *[c.error.alias(f"__e{i}") for i, c in enumerate(cells)])
     roots: dict[str, list] = {}
     consts: dict[str, set[str]] = {}
     for i, f in enumerate(entity.fields):
@@ -170,11 +202,15 @@ def build_rows(entity: Entity, source: DataFrame, id_map: DataFrame | None = Non
         if f.const is not None:
             consts.setdefault(str(tokens[0]), set()).add([t for t in tokens if isinstance(t, str)][-1])
     error = F.coalesce(*[F.col(f"__e{i}") for i in range(len(cells))])
-    return staged.select("__key", error.alias("__error"), *[_nest(paths, consts.get(root, set())).alias(root) for root, paths in roots.items()])
+    return staged.select(*HIDDEN[:2], error.alias("__error"), *HIDDEN[3:], *[_nest(paths, consts.get(root, set())).alias(root) for root, paths in roots.items()])
+
+
+#: Columns of built rows that are no target columns.
+HIDDEN = ("__key", "__order", "__error", "__clock", "__unresolved")
 
 
 def accepted(rows: DataFrame) -> DataFrame:
-    return rows.where("__error is null").drop("__error", "__key")
+    return rows.where("__error is null").drop(*HIDDEN)
 
 
 def rejected(rows: DataFrame, entity: str, stage: str = "transform") -> DataFrame:
@@ -190,7 +226,37 @@ def plan_report(entity: Entity, source: DataFrame, target: DataFrame, id_map: Da
     """One row: rows, accepted, failed, keys that the target has; nothing is written."""
     rows = build_rows(entity, source, id_map, plan_mode=True)
     known = target.select(F.col(entity.target_key).cast("string").alias("__t")).distinct().withColumn("__has", F.lit(1))
-    joined = rows.withColumn("__t", F.col(entity.target_key).cast("string")).join(known, "__t", "left")
+    joined = spread_join(rows.withColumn("__k", F.col(entity.target_key).cast("string")), known, "__k", "__t", by=["__key"])
     ok = F.col("__error").isNull()
     return joined.agg(F.count(F.lit(1)).alias("source_rows"), F.count(F.when(ok, 1)).alias("would_write"), F.count(F.when(~ok, 1)).alias("would_fail"), F.count(F.when(ok & F.col("__has").isNotNull(), 1)).alias("existing_keys"))
 
+
+def plan(entity: Entity, source: DataFrame, target: DataFrame, id_map: DataFrame | None = None, limit: int = 0, failures: int = 50, samples: int = 5) -> DataFrame:
+    """part, name, value: the dry run of an entity as a report; nothing is written.
+
+    ``problem`` rows alone if the mapping cannot run; else ``unmapped`` target columns, the ``count``
+    of rows, of failed ones and of keys that the target has, the first ``failure`` messages and
+    ``sample`` rows (JSON) by source key, and for each entity with ``unresolved`` lookups their
+    number. ``limit`` takes the first rows by source key.
+    """
+    spark = source.sparkSession
+    problems = structural_problems(entity, source, target)
+    schema = "part string, name string, value string"
+    if problems:
+        return spark.createDataFrame([("problem", str(i), p) for i, p in enumerate(problems)], schema)
+    own = source.where(entity.where) if entity.where else source
+    own = own.orderBy(entity.source_key).limit(limit) if limit else own
+    rows = build_rows(entity, own, id_map, plan_mode=True)
+    out = spark.createDataFrame([("unmapped", c, None) for c in unmapped(entity, target)], schema)
+    if entity.target_key in rows.columns:
+        counts = plan_report(entity, own, target, id_map).select("source_rows", "would_fail", "existing_keys")
+    else:
+        counts = rows.agg(F.count(F.lit(1)).alias("source_rows"), F.count("__error").alias("would_fail"))
+    out = out.unionByName(counts.select(F.inline(F.array(*[F.struct(F.lit("count").alias("part"), F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in counts.columns]))))
+    bad = rows.where("__error is not null").orderBy("__order", "__key").limit(failures)
+    out = out.unionByName(bad.select(F.lit("failure").alias("part"), F.col("__key").alias("name"), F.col("__error").alias("value")))
+    good = rows.where("__error is null").orderBy("__order", "__key").limit(samples)
+    as_json = F.to_json(F.struct(*[F.col(c) for c in rows.columns if c not in HIDDEN]), {"ignoreNullFields": "false"})
+    out = out.unionByName(good.select(F.lit("sample").alias("part"), F.col("__key").alias("name"), as_json.alias("value")))
+    lost = rows.select(F.explode("__unresolved").alias("name")).groupBy("name").agg(F.count(F.lit(1)).cast("string").alias("value"))
+    return out.unionByName(lost.select(F.lit("unresolved").alias("part"), "name", "value"))
