@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallyferry.functions.transforms import apply_chain, cell
+from tallyferry.functions.transforms import apply_chain, cell, identifier, same_value
 from tallyferry.operators import quality as Q
 from tallyferry.operators import resolve as R
 from tallyferry.plans import catalog
@@ -48,6 +48,33 @@ PAIRS = [
     ("strip_html", "<p>a &amp; b</p><script>x</script>", "a & b"),
     ("slugify", "Café del Mar!", "cafe-del-mar"),
     ("php_unserialize", 'a:1:{s:1:"k";i:5;}', '{"k": 5}'),
+    ("strip_html", "a<script>x</script>b<br/>c", "a b\nc"),
+    ("float", "1.0d", "error"),
+    ("float", "2f", "error"),
+    ("float", " 1e3 ", "1000.0"),
+    ("float", "", None),
+    ("to_datetime", "2024-01-02T03:04:05", "2024-01-02 03:04:05"),
+    ("to_datetime", "2024-01-02T03:04:05+02:00", "2024-01-02 01:04:05"),
+    ("to_datetime", "20240102", "2024-01-02 00:00:00"),
+    ("to_datetime", "5550001201", "error"),
+    ("to_datetime", "2024", "error"),
+    ({"to_datetime": {"at": "12:00:00"}}, "2024-01-02", "2024-01-02 12:00:00"),
+    ("to_date", "1/2/2024", "2024-01-02"),
+    ({"now": {"at": "2024-05-06 07:08:09"}}, "x", "2024-05-06 07:08:09"),
+    ({"map": {"values": {"A": "x"}, "strict": True}}, None, "error"),
+    ({"map": {"values": {"A": "x", None: "none"}, "strict": True}}, None, "none"),
+    ({"map": {"values": {"A": "x", "*": "z"}}}, None, "z"),
+    ({"map": {"values": {"A": "x"}}}, "B", "B"),
+    ({"map": {"values": {"A": None}}}, "A", None),
+    ("nags", " fw 02 ", "FW02"),
+    ("nags", "  ", None),
+    ("json_encode", 'a"b', '"a\\"b"'),
+    ("json_encode", None, None),
+    ("json_decode", "{bad", None),
+    ({"json_decode": {"strict": True}}, "{bad", "error"),
+    ("json_decode", '{"a":[1,2]}', '{"a":[1,2]}'),
+    ({"truncate": {"length": 3}}, "abcdef", "abc"),
+    ("upper", "x", "X"),
 ]
 
 
@@ -61,6 +88,42 @@ def test_transform(spark, step, given, want):
         assert row["e"] is None and row["v"] == (None if want is None else str(want).lower() if isinstance(want, bool) else str(want))
 
 
+def test_numbers_are_unix_seconds(spark):
+    df = spark.createDataFrame([(1700000000, 1700000000.5)], "i long, d double")
+    row = df.select(apply_chain(cell(F.col("i")), ["to_datetime"]).value.cast("string"), apply_chain(cell(F.col("d")), ["to_datetime"]).value.cast("string"), apply_chain(cell(F.col("i")), ["to_date"]).value.cast("string")).first()
+    assert list(row) == ["2023-11-14 22:13:20", "2023-11-14 22:13:20.5", "2023-11-14"]
+
+
+def test_several_columns_join_and_fall_back(spark):
+    parts = F.array(F.lit(" a "), F.lit(None).cast("string"), F.lit(" "), F.lit("b"))
+    row = spark.range(1).select(apply_chain(cell(parts), ["concat"]).value, apply_chain(cell(parts), [{"coalesce": {"fallback": "z"}}]).value, apply_chain(cell(F.array(F.lit(""), F.lit(None).cast("string"))), [{"coalesce": {"fallback": "z"}}]).value).first()
+    assert list(row) == ["a b", " a ", "z"]
+
+
+def test_identifiers(spark):
+    got = spark.createDataFrame([("Job No. 7",), ("2nd line",), ("x" * 50,)], "v string").select(identifier(F.col("v"))).collect()
+    assert [r[0] for r in got] == ["job_no_7", "c_2nd_line", "x" * 40]
+
+
+@pytest.mark.parametrize(
+    "a,b,same",
+    [
+        (("07001", "string"), ("7001", "string"), False),
+        (("7001", "string"), (7001, "int"), True),
+        (("x", "string"), (None, "int"), False),
+        ((None, "string"), (None, "int"), True),
+        ((True, "boolean"), (1, "int"), True),
+        ((True, "boolean"), ("true", "string"), False),
+        ((" a ", "string"), ("a", "string"), True),
+        (("1.0d", "string"), (1, "int"), False),
+        ((2.5, "double"), ("2.50", "string"), True),
+    ],
+)
+def test_values_are_compared_across_types(spark, a, b, same):
+    row = spark.createDataFrame([(a[0], b[0])], f"a {a[1]}, b {b[1]}").select(same_value(F.col("a"), a[1], F.col("b"), b[1])).first()
+    assert row[0] is same
+
+
 def test_unknown_step_is_refused():
     with pytest.raises(ValueError):
         Field("a", "b", transform=("nope",))
@@ -92,10 +155,16 @@ def test_scrub(spark):
     assert row["note"] == "•••• 1111" and row["cvv"] is None and row["other"] == "ssn •••-••-####" and row["ref"] == "4111111111111112"
 
 
-def test_unsafe_links(spark):
-    hrefs = ["/jobs/1", "/jobs/1/delete", "mailto:a@b.c", "/x.pdf", "/a.png"]
-    got = spark.createDataFrame([(h,) for h in hrefs], "h string").select(Q.link_reason(F.col("h"))).collect()
-    assert [r[0] for r in got] == [None, "unsafe", "scheme", "download", "static"]
+def test_redaction_hides_secrets_by_name(spark):
+    df = spark.createDataFrame([("h", "4111", "k", "a@b.c", "y" * 203, None)], "pwd_hash string, card string, api_key string, email string, note string, Auth_Token string")
+    row = Q.redact(df).first()
+    assert [row["pwd_hash"], row["card"], row["api_key"], row["email"], row["Auth_Token"]] == ["<redacted>"] * 3 + ["a@b.c", None]
+    assert row["note"] == "y" * 200 + "... (+3 chars)"
+
+
+def test_scrub_report_names_personal_data(spark):
+    df = spark.createDataFrame([("4111111111111111", None, "Ann", 7)], "note string, cvv string, first_name string, state int")
+    assert sorted(map(tuple, Q.scrub_report(df).collect())) == [("cvv", 1, 0, False), ("first_name", 0, 0, True), ("note", 0, 1, False)]
 
 
 def same(v):
