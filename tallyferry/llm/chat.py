@@ -8,11 +8,10 @@ Grammar of a formatted conversation, a plain sequence of turns:
     others     [TURN=hex of the role]text[/TURN]
 
 The parser reads the shortest match from left to right and takes one backslash out of every
-escaped marker. A text conflicts if what the parser recovers differs from the source; its markers
-then get a backslash behind their first sign (``[/INST]`` becomes ``[\\/INST]``, ``[\\INST]``
-becomes ``[\\\\INST]``), which the parser undoes exactly. Rounds: every turn as it is, then the
-turns that do not come back on their own, then all turns of a conversation that does not come back
-as a whole. A conversation that still differs stops the job.
+escaped marker. A text conflicts if it holds a control string: its markers get a backslash behind
+their first sign (``[/INST]`` becomes ``[\\/INST]``, ``[\\INST]`` becomes ``[\\\\INST]``), which the
+parser undoes exactly. The rendered conversation is parsed again and compared with its source, turn
+by turn; one that does not come back stops the job.
 
 Turns of a conversation are ordered by (turn, role, text), nulls first; a null text or role counts
 as empty; repeated rows are turns of their own; rows with a null conversation id form one
@@ -74,15 +73,8 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
     """One row per conversation: conv_id, formatted, parsed (array of role and text)."""
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = turns.select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("turn"), empty(role).alias("role"), empty(text).alias("text")).alias("t"))
-    # first round: the turn as it is, else with its markers escaped
-    plain, safe = render_turn(F.col("t.role"), F.col("t.text")), render_turn(F.col("t.role"), escape(F.col("t.text")))
-    own = F.array(F.struct(F.col("t.role").alias("role"), F.col("t.text").alias("text")))
-    rows = rows.withColumn("plain", plain).withColumn("once", F.when(parse(F.col("plain")) == own, F.col("plain")).otherwise(safe))
-    convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("t.turn", "t.role", "t.text", "once"))).alias("turns"))
-    # second round: the conversation as a whole, else every turn escaped
-    convs = convs.withColumn("once", _join(F.transform("turns", lambda t: t["once"])))
-    every = _join(F.transform("turns", lambda t: render_turn(t["role"], escape(t["text"]))))
-    convs = convs.withColumn("formatted", F.when(parse(F.col("once")) == _source(F.col("turns")), F.col("once")).otherwise(every))
+    convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    convs = convs.withColumn("formatted", _join(F.transform("turns", lambda t: render_turn(t["role"], escape(t["text"])))))
     convs = convs.withColumn("parsed", parse(F.col("formatted")))
     same = F.col("parsed") == _source(F.col("turns"))
     return convs.select("conv_id", "formatted", F.when(same, F.col("parsed")).otherwise(F.raise_error(F.lit("a conversation does not come back from its format")).cast(convs.schema["parsed"].dataType)).alias("parsed"))
