@@ -33,6 +33,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyferry.llm.shared import in_python
+
 #: Fixed pattern of the byte-level pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 ODD_BLANK = re.compile(r" (?:\s|\Z)")
@@ -73,7 +75,7 @@ class Generations:
 class PairIndexCodec:
     """Encoder and decoder for one vocabulary file; texts in, little-endian 32-bit ids out."""
 
-    def __init__(self, path: str, cache_entries: int = 300_000, block_words: int = 400_000) -> None:
+    def __init__(self, path: str, cache_entries: int = 80_000, block_words: int = 100_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         signs = byte_signs()
@@ -237,7 +239,7 @@ def codec_of(path: str) -> PairIndexCodec:
     return PairIndexCodec(path)
 
 
-def blocks_of(texts: pa.Array, max_bytes: int = 8_000_000) -> Iterator[tuple[int, int]]:
+def blocks_of(texts: pa.Array, max_bytes: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``max_bytes`` of text."""
     start = held = 0
     for i, n in enumerate(pc.binary_length(texts).to_pylist()):
@@ -270,4 +272,4 @@ def bpe_round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
                 names = ["doc_id", *[f.name for f in fields], *(["ids", "decoded"] if with_ids else [])]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return slim.mapInArrow(encode, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    return in_python(slim, encode, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

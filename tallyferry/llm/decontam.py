@@ -32,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyferry.llm.bpe import blocks_of
-from tallyferry.llm.shared import durable, text_or_empty
+from tallyferry.llm.shared import broadcast_if_small, durable, in_python, text_or_empty
 
 K1, B = 1.2, 0.75
 STRIP = re.compile(r"^\W+|\W+$")
@@ -123,7 +124,7 @@ def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple
             yield pa.RecordBatch.from_arrays([*batch.columns, terms], names=["item_id", "text", "terms"])
 
     # the index looks terms up by the same rule
-    shaped = durable(items.select("item_id", "text").mapInArrow(run, "item_id long, text string, terms array<string>").where(F.size("terms") > 0))
+    shaped = durable(in_python(items.select("item_id", "text"), run, f"item_id {items.schema['item_id'].dataType.simpleString()}, text string, terms array<string>").where(F.size("terms") > 0))
     total, mean, size = shaped.agg(F.count(F.lit(1)), F.avg(F.size("terms")), F.sum(F.octet_length("text"))).first()
     if not total:
         return
@@ -132,13 +133,13 @@ def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple
     part = F.pmod(F.hash("item_id", "text"), F.lit(passes))
     for k in range(passes):
         own = shaped.where(part == k)
-        rows = sorted(((r["item_id"], r["text"]) for r in own.select("item_id", "text").collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        rows = sorted(((r["item_id"], r["text"]) for r in own.select("item_id", "text").collect()), key=lambda r: (True, "", r[1]) if r[0] is None else (False, *r))
         needed = own.select(F.explode("terms").alias("term")).distinct()
         df = {r["term"]: r["df"] for r in frequency.join(needed, "term").collect()}
         yield rows, df, total, mean
 
 
-def _matcher(index: BlockMaxIndex, min_share: float, min_overlap: float, gram: int):
+def _matcher(index: BlockMaxIndex, kind: pa.DataType, min_share: float, min_overlap: float, gram: int):
     step = max(index.longest, 1)  # a passage is two steps long and begins one step behind the last
 
     def likely(ids: list[np.ndarray]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -185,7 +186,7 @@ def _matcher(index: BlockMaxIndex, min_share: float, min_overlap: float, gram: i
         for batch in batches:
             for a, b in blocks_of(batch.column(1), 1_000_000):
                 words = [t.lower().split() for t in batch.column(1).slice(a, b - a).to_pylist()]
-                if len(known) > 500_000:
+                if len(known) > 100_000:
                     known.clear()
                 for w in {w for ws in words for w in ws if w not in known}:
                     known[w] = index.term.get(STRIP.sub("", w), -1)
@@ -196,7 +197,7 @@ def _matcher(index: BlockMaxIndex, min_share: float, min_overlap: float, gram: i
                             best[text, item] = max(best.get((text, item), ()), tuple(figures))
                 if best:
                     keys = sorted(best)
-                    columns = [batch.column(0).take(pa.array([a + t for t, _ in keys])), pa.array([index.items[k][0] for _, k in keys], pa.int64())]
+                    columns = [batch.column(0).take(pa.array([a + t for t, _ in keys])), pa.array([index.items[k][0] for _, k in keys], kind)]
                     columns += [pa.array([best[x][k] for x in keys], pa.float64()) for k in range(3)]
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
@@ -206,16 +207,20 @@ def _matcher(index: BlockMaxIndex, min_share: float, min_overlap: float, gram: i
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_share: float = 0.5, min_overlap: float = 0.6, gram: int = 3, block_bytes: int = 2_000_000) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: one row per document and leaked item."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
-    tests = items.select(F.col(item_id).cast("long").alias("item_id"), text_or_empty(item_text).alias("text"))
-    schema = f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, item_id long, score double, question_overlap double, answer_overlap double"
+    tests = items.select(F.col(item_id).alias("item_id"), text_or_empty(item_text).alias("text"))
+    id_types = [x.schema[c].dataType for x, c in ((slim, "doc_id"), (tests, "item_id"))]
+    schema = f"doc_id {id_types[0].simpleString()}, item_id {id_types[1].simpleString()}, score double, question_overlap double, answer_overlap double"
     out = docs.sparkSession.createDataFrame([], schema)
     for rows, df, total, mean in item_blocks(tests, block_bytes):
         index = BlockMaxIndex(rows, df, total, mean)
-        out = out.unionByName(slim.mapInArrow(_matcher(index, min_share, min_overlap, gram), schema))
+        out = out.unionByName(in_python(slim, _matcher(index, to_arrow_type(id_types[1]), min_share, min_overlap, gram), schema))
     return out
 
 
-def drop_leaking(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
-    """``docs``, columns unchanged, without the documents that hold a test item."""
-    leaking = durable(find_leaks(docs, items, doc_id, **settings).select(F.col("doc_id").alias("__dc_id")).distinct())
-    return docs.join(leaking, docs[f"`{doc_id}`"].eqNullSafe(leaking["__dc_id"]), "left_anti")
+def drop_leaking(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``docs``, columns unchanged, without the rows whose text holds a test item (equal texts share a verdict)."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*own, F.xxhash64(text_or_empty(text)).alias("__dc_hash"))
+    found = find_leaks(keyed.select("__dc_hash", F.col(text).alias("__dc_text")), items, "__dc_hash", "__dc_text", **settings)
+    leaking = broadcast_if_small(found.select(F.col("doc_id").alias("__dc_key")).distinct())
+    return keyed.join(leaking, F.col("__dc_hash") == F.col("__dc_key"), "left_anti").select(*own)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyferry.llm.bpe import bpe_round_trip
 from tallyferry.llm.chat import chat_digests
@@ -29,8 +30,9 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    control = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
+    control = F.lit("</s>[INST] ok [/INST]")
+    added = F.array(*[F.struct(F.lit(-7).alias("conv_id"), F.lit(k).alias("turn"), F.lit(role).alias("role"), control.alias("text")) for k, role in enumerate(("user", "assistant"))])
+    extra = spark.range(1, numPartitions=1).select(F.inline(added))
     return chat_digests(turns.unionByName(extra))
 
 

@@ -35,16 +35,19 @@ and kept by :func:`keep_good`.
 
 from __future__ import annotations
 
+import itertools
+import math
+import operator
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.llm.shared import durable, text_or_empty
+from tallyferry.llm.shared import broadcast_if_small, durable, free_scratch, in_python, text_or_empty
 
 JUNK, GOOD, TOXIC = 0, 1, 2
 CLASSES = (JUNK, GOOD, TOXIC)
@@ -58,16 +61,12 @@ CALIBRATION_BINS = 40
 TOXIC_EDGES = np.linspace(-40, 20, 119)
 
 
-def text_features(text: str, known: dict[str, int]) -> np.ndarray:
+def text_features(words: list[str], distinct: set[str], known: dict[str, int]) -> np.ndarray:
     """Distinct places of the words of a text, and WIDE if a word often repeats the last one, ascending."""
-    words = text.split()
-    for w in set(words):
-        if w not in known:
-            known[w] = zlib.crc32(w.encode()) % WIDE
-    ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-    own = np.unique(ids)
-    buckets = ids % (TEXT_BUCKETS - 1)
-    if len(ids) > 1 and (buckets[1:] == buckets[:-1]).mean() > 0.2:
+    for w in distinct.difference(known):
+        known[w] = zlib.crc32(w.encode()) % WIDE
+    own = np.unique(np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct)))
+    if len(words) > 1 and sum(map(operator.eq, words, itertools.islice(words, 1, None))) > 0.2 * (len(words) - 1):
         own = np.append(own, WIDE)
     return own
 
@@ -91,31 +90,36 @@ def unpacked(bags: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (sums[1:] - np.repeat(sums[starts], lengths))[ends], np.bincount(owner, minlength=len(bags))
 
 
-def meta_features(text: str, lang: str, source: str) -> list[int]:
+def meta_features(text: str, words: list[str], distinct: set[str], lang: str, source: str) -> list[int]:
     """One bin for each of the metadata view's slots."""
-    words, n = text.split(), max(len(text), 1)
-    signs = np.frombuffer(text.encode(), np.uint8)
-    total = max(1, len(signs))
+    n, many = max(len(text), 1), max(1, len(words))
+    signs = np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=128)
+    total = max(1, int(signs.sum()))
     share = lambda x, scale: min(META_BINS - 1, int(x * scale))
-    between = lambda low, high: np.count_nonzero((signs >= low) & (signs <= high)) / total
+    between = lambda low, high: int(signs[low : high + 1].sum()) / total
     lines = text.count("\n") + 1
     return [
         zlib.crc32(lang.encode()) % META_BINS,
         zlib.crc32(source.encode()) % META_BINS,
-        share(np.log2(n), 3),
-        share(np.log2(n / lines), 3),
-        share(np.log2(max(1, len(words))), 3),
+        share(math.log2(n), 3),
+        share(math.log2(n / lines), 3) if n >= lines else 0,
+        share(math.log2(many), 3),
         share(between(33, 47) + between(58, 64) + between(91, 96) + between(123, 126), 60),
         share(between(65, 90), 60),
         share(between(48, 57), 100),
-        share(len(set(words)) / max(1, len(words)), 60),
-        share(n / max(1, len(words)), 3),
+        share(len(distinct) / many, 60),
+        share(n / many, 3),
     ]
 
 
+def _key(text: str, lang: str, source: str) -> Column:
+    """Rows that share it share all features and so the score."""
+    return F.xxhash64(text_or_empty(text), text_or_empty(lang), text_or_empty(source))
+
+
 def with_features(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, lang: str, source: str) -> DataFrame:
-    """doc_id, bag (binary), meta (binary), fold, good (one of CLASSES or null) of every document."""
-    slim = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"), text_or_empty(lang).alias("lang"), text_or_empty(source).alias("source"))
+    """doc_id, key (of text, lang and source), bag, meta (binary), fold, good (one of CLASSES or null) of every document."""
+    slim = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"), text_or_empty(lang).alias("lang"), text_or_empty(source).alias("source"), _key(text, lang, source).alias("key"))
     id_type = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,14 +127,16 @@ def with_features(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
         for batch in batches:
             bags, metas = [], []
             for t, lg, s in zip(*(batch.column(k) for k in (1, 2, 3)), strict=True):
-                if len(known) > 500_000:
+                if len(known) > 100_000:
                     known.clear()
                 t = t.as_py()
-                bags.append(packed(text_features(t, known)))
-                metas.append(bytes(meta_features(t, lg.as_py(), s.as_py())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary()), pa.array(metas, pa.binary())], names=["doc_id", "bag", "meta"])
+                words = t.split()
+                distinct = set(words)
+                bags.append(packed(text_features(words, distinct, known)))
+                metas.append(bytes(meta_features(t, words, distinct, lg.as_py(), s.as_py())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), pa.array(bags, pa.binary()), pa.array(metas, pa.binary())], names=["doc_id", "key", "bag", "meta"])
 
-    featured = slim.mapInArrow(run, f"doc_id {id_type}, bag binary, meta binary")
+    featured = in_python(slim, run, f"doc_id {id_type}, key long, bag binary, meta binary")
     usable = labels.where("doc_id is not null and quality is not null")
     grouped = usable.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("x"))
     grouped = grouped.select(F.col("doc_id").alias("l_id"), F.when(F.col("x") == 1, TOXIC).when(F.col("q") == 1, GOOD).otherwise(JUNK).alias("good"))
@@ -215,12 +221,12 @@ class Batch:
     def of(cls, batch: pa.RecordBatch) -> Batch:
         named = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
         wide, lengths = unpacked(named["bag"].to_pylist())
-        narrow = np.where(wide == WIDE, TEXT_BUCKETS - 1, wide % (TEXT_BUCKETS - 1))
-        owner, bags = np.divmod(np.unique(np.repeat(np.arange(len(lengths)), lengths) * TEXT_BUCKETS + narrow), TEXT_BUCKETS)
+        # two words of a text in one bucket count twice there: too rare to sort for
+        bags = np.where(wide == WIDE, TEXT_BUCKETS - 1, wide % (TEXT_BUCKETS - 1))
         metas = np.frombuffer(b"".join(named["meta"].to_pylist()), np.uint8).astype(np.int64).reshape(-1, META_SLOTS)
         good = named["good"].fill_null(-1).to_numpy(zero_copy_only=False)
         fold = named["fold"].fill_null(0).to_numpy(zero_copy_only=False)
-        return cls(wide, lengths, bags, np.bincount(owner, minlength=len(lengths)), (metas + META_BINS * np.arange(META_SLOTS)).ravel(), np.full(len(lengths), META_SLOTS), good, fold)
+        return cls(wide, lengths, bags, lengths, (metas + META_BINS * np.arange(META_SLOTS)).ravel(), np.full(len(lengths), META_SLOTS), good, fold)
 
 
 SIZES = {"text": TEXT_BUCKETS, "meta": META_SLOTS * META_BINS}
@@ -253,7 +259,7 @@ def _totals(featured: DataFrame, models: dict[str, View] | None, confident: floa
         c, k = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(c * size + k), pa.array(sums[c, k])], names=["slot", "n"])
 
-    added = featured.select("bag", "meta", "good", "fold").mapInArrow(run, "slot long, n double").groupBy("slot").agg(F.sum("n").alias("n"))
+    added = in_python(featured.select("bag", "meta", "good", "fold"), run, "slot long, n double").groupBy("slot").agg(F.sum("n").alias("n"))
     sums = np.zeros(len(CLASSES) * size)
     rows = added.toArrow()  # at most len(CLASSES) * size rows, whatever the input
     sums[rows["slot"].to_numpy()] = rows["n"].to_numpy()
@@ -278,7 +284,7 @@ def _toxic_words(featured: DataFrame, documents: np.ndarray) -> ToxicWords:
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(s[at].astype(np.int64)) for s in sums)], names=["place", "toxic", "good"])
 
     rows = featured.where(F.col("good").isin(TOXIC, GOOD) & (F.col("fold") != HELD_OUT)).select("bag", "meta", "good", "fold")
-    counts = durable(rows.mapInArrow(run, "place long, toxic long, good long").groupBy("place").agg(F.sum("toxic").alias("toxic"), F.sum("good").alias("good")))
+    counts = durable(in_python(rows, run, "place long, toxic long, good long").groupBy("place").agg(F.sum("toxic").alias("toxic"), F.sum("good").alias("good")))
     # no other place can weigh; at most WIDE + 1 rows, whatever the input
     found = counts.where(F.col("toxic") >= ToxicWords.LEAST).orderBy("place").toArrow()
     both = np.stack([found["toxic"].to_numpy(), found["good"].to_numpy()]).astype(float)
@@ -337,7 +343,7 @@ def _calibrate(featured: DataFrame, models: dict[str, View], toxic: ToxicWords |
 
     held = featured.where((F.col("fold") == HELD_OUT) & F.col("good").isNotNull()).select("bag", "meta", "good", "fold")
     flat = np.zeros(bins + 2 * toxic_bins)
-    for r in held.mapInArrow(run, "slot long, n double").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most len(flat) rows
+    for r in in_python(held, run, "slot long, n double").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most len(flat) rows
         flat[r["slot"]] = r["n"]
     sums, by_toxic = flat[:bins].reshape(2, 2, CALIBRATION_BINS), flat[bins:].reshape(2, toxic_bins)
     total = sums[0].sum()
@@ -372,27 +378,36 @@ def co_train(featured: DataFrame, rounds: int = 3, confident: float = 0.99, pseu
     return _calibrate(featured, models, toxic)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", threshold: float = 0.5, **training) -> DataFrame:
-    """doc_id, p_quality, kept for every row of ``docs``."""
+def _scored(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, lang: str, source: str, **training) -> DataFrame:
+    """doc_id, key, p_quality of every row."""
     featured = durable(with_features(docs, labels, doc_id, text, lang, source))
     model = co_train(featured, **training)
-    id_type = featured.schema["doc_id"].dataType.simpleString()
-    kept = (F.col("p_quality") >= threshold).alias("kept")
     if not isinstance(model, CoTrained):
-        return featured.select("doc_id", F.lit(float(model)).alias("p_quality")).select("doc_id", "p_quality", kept)
-    return featured.mapInArrow(_predictor(model), f"doc_id {id_type}, p_quality double").select("doc_id", "p_quality", kept)
+        return featured.select("doc_id", "key", F.lit(float(model)).alias("p_quality"))
+    id_type = featured.schema["doc_id"].dataType.simpleString()
+    return in_python(featured, _predictor(model), f"doc_id {id_type}, key long, p_quality double")
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", threshold: float = 0.5, **training) -> DataFrame:
+    """doc_id, p_quality, kept for every row of ``docs``."""
+    scored = _scored(docs, labels, doc_id, text, lang, source, **training)
+    return scored.select("doc_id", "p_quality", (F.col("p_quality") >= threshold).alias("kept"))
 
 
 def _predictor(model: CoTrained) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for raw in batches:
             p = model.predict(Batch.of(raw)) if raw.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([raw.column(0), pa.array(np.round(p, 6))], names=["doc_id", "p_quality"])
+            yield pa.RecordBatch.from_arrays([raw.column(0), raw.column(1), pa.array(np.round(p, 6))], names=["doc_id", "key", "p_quality"])
 
     return run
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, whose score reaches the threshold."""
-    rejected = durable(score_documents(docs, labels, doc_id, **settings).where(~F.col("kept")).select(F.col("doc_id").alias("__qm_id")).distinct())
-    return docs.join(rejected, docs[f"`{doc_id}`"].eqNullSafe(rejected["__qm_id"]), "left_anti")
+def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", threshold: float = 0.5, **training) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, whose score reaches the threshold (equal rows share a verdict)."""
+    free_scratch(docs.sparkSession)
+    scored = _scored(docs, labels, doc_id, text, lang, source, **training)
+    rejected = broadcast_if_small(scored.where(F.col("p_quality") < threshold).select(F.col("key").alias("__qm_key")).distinct())
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*own, _key(text, lang, source).alias("__qm_hash"))
+    return keyed.join(rejected, F.col("__qm_hash") == F.col("__qm_key"), "left_anti").select(*own)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.llm.shared import BLANK, bind, broadcast_if_small, durable, split_words, text_or_empty
+from tallyferry.llm.shared import BLANK, bind, broadcast_if_small, durable, few, split_words, text_or_empty
 
 RULES = ("short", "repeats", "symbols", "dup_lines")
 
@@ -104,12 +104,25 @@ def document_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source", host_limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, that pass the rules and whose host passes."""
-    rated = measures(docs, text, "__qr_").withColumn("__qr_host", host_of(F.col(host)))
+    """The rows of ``docs``, columns unchanged, that pass the rules and whose host passes.
+
+    The measures are taken once, in a slim table of text hashes, hosts and measures. Texts that fail
+    are left out by their hashes if these are few enough to broadcast, else by measuring again: a text
+    is never shuffled.
+    """
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    t = text_or_empty(text)
+    rated = durable(measures(docs.select(t.alias("__qr_text"), F.xxhash64(t).alias("__qr_key"), host_of(F.col(host)).alias("__qr_host")), "__qr_text", "__qr_").drop("__qr_text"))
     flags = rule_flags("__qr_")
-    bad = bad_hosts(rated.select("__qr_host", *[f"__qr_{c}" for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")]), "__qr_host", flags, host_limit)
-    # the row number keeps the optimizer from moving the filter below the measures, which would
-    # compute them once per mention
-    numbered = rated.withColumn("__qr_row", F.monotonically_increasing_id())
-    good = numbered.where((F.col("__qr_row") >= 0) & ~(flags["short"] | flags["repeats"]))
-    return good.join(bad, "__qr_host", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    fails = flags["short"] | flags["repeats"]
+    bad = bad_hosts(rated, "__qr_host", flags, host_limit).withColumnRenamed("__qr_host", "__qr_bad")
+    failed = rated.where(fails).select(F.col("__qr_key").alias("__qr_failed")).distinct()
+    hosted = docs.select(*own, host_of(F.col(host)).alias("__qr_host"))
+    if few(failed):
+        good = hosted.withColumn("__qr_key", F.xxhash64(t)).join(F.broadcast(failed), F.col("__qr_key") == F.col("__qr_failed"), "left_anti")
+    else:
+        # the row number keeps the optimizer from moving the filter below the measures, which would
+        # compute them once per mention
+        again = measures(hosted, text, "__qr_").withColumn("__qr_row", F.monotonically_increasing_id())
+        good = again.where((F.col("__qr_row") >= 0) & ~fails)
+    return good.join(bad, F.col("__qr_host") == F.col("__qr_bad"), "left_anti").select(*own)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tallyferry.llm import set_join
 from tallyferry.llm.links import components, posting_lists
-from tallyferry.llm.shared import durable
+from tallyferry.llm.shared import broadcast_if_small, durable, free_scratch, in_python, join_counted, text_or_empty
 
 SEED = 42
 
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, words: int, blocks: in
             fps = pa.array([fingerprint(t.as_py(), words, blocks) for t in batch.column(batch.num_columns - 1)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], fps], names=[*batch.schema.names[:-1], "fp"])
 
-    return slim.mapInArrow(run, f"{schema}, fp binary")
+    return in_python(slim, run, f"{schema}, fp binary")
 
 
 def _roots(n: int, pairs: np.ndarray) -> list[int]:
@@ -161,23 +161,17 @@ def near_links(entries: DataFrame, keys: list[tuple[int, ...]], width: int, min_
         "node", "fp",
         F.explode(F.array(*[F.xxhash64(F.lit(k), *[F.substring("fp", p + 1, 1) for p in at]) for k, at in enumerate(keys)])).alias("key"),
     )
-    return posting_lists(posted, block).mapInArrow(_pair_checker(width, min_shared, max_bits, dense), "u long, v long").distinct()
-
-
-def _grouped(prints: DataFrame, blocks: int, keys: list[tuple[int, ...]], min_shared: int, max_bits: int) -> DataFrame:
-    """node, lowest (smallest id of its component) for every entry of ``prints`` (doc_id, node, fp)."""
-    entries = durable(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.min("fp").alias("fp")))
-    return _lowest(entries, near_links(entries.select("node", "fp"), keys, 8 * blocks, min_shared, max_bits))
+    return in_python(posting_lists(posted, block), _pair_checker(width, min_shared, max_bits, dense), "u long, v long").distinct()
 
 
 def _lowest(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """node, lowest for every entry (node, low) under the links (u < v) between nodes."""
+    """``entries`` (node, low and more) with lowest, the least ``low`` of its component under the links (u < v)."""
     roots = durable(components(links))
     tops = roots.select(F.col("root").alias("node")).distinct().withColumn("root", F.col("node"))
     linked = entries.select("node", "low").join(roots.unionByName(tops), "node")
     lowest = linked.groupBy("root").agg(F.min("low").alias("lowest"))
     of_linked = linked.join(lowest, "root").select("node", "lowest")
-    return entries.join(of_linked, "node", "left").select("node", F.coalesce("lowest", "low").alias("lowest"))
+    return entries.join(of_linked, "node", "left").withColumn("lowest", F.coalesce("lowest", "low"))
 
 
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, max_bits: int = 3) -> DataFrame:
@@ -188,8 +182,10 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # the bytes are little-endian; the digits show the number
     digits = F.lower(F.concat(*[F.hex(F.substring("fp", k, 1)) for k in range(8, 0, -1)]))
     prints = durable(prints.select("doc_id", "fp", digits.alias("fingerprint"), _as_long(digits).alias("node")))
-    groups = _grouped(prints, 1, half_triples(8), 8 - max_bits, max_bits)
-    return prints.join(groups, "node").select("doc_id", "fingerprint", F.col("lowest").alias("component_id"))
+    entries = durable(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")))
+    links = near_links(entries.select("node", "fp"), half_triples(8), 8, 8 - max_bits, max_bits)
+    groups = _lowest(entries, links).select("node", "n", "lowest")
+    return join_counted(prints.drop("fp"), groups, "node").select("doc_id", "fingerprint", F.col("lowest").alias("component_id"))
 
 
 def _as_long(digits: Column) -> Column:
@@ -202,14 +198,28 @@ def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """``docs``, columns unchanged, with one row of each group of near duplicates: the smallest id.
 
     Two texts are near duplicates if their sets of five-word shingles have a Jaccard similarity of
-    ``least`` or more; every such pair is found (see :mod:`tallyferry.llm.set_join`). Of rows that
-    repeat both id and text one stays.
+    ``least`` or more; every such pair is found (see :mod:`tallyferry.llm.set_join`). Rows are told
+    apart by id and text: of rows that repeat both one stays, a null id stays only where its group
+    has no other, and of several texts under one id each is judged by its own group.
     """
-    prints = durable(set_join.signatures(docs, doc_id, text, words, least))
-    entries = durable(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys")))
-    links = set_join.similar_links(entries, docs, text, words, least)
-    kept = _lowest(entries, links).select(F.col("lowest").alias("__sh_id")).distinct()
-    one = docs.join(kept, docs[f"`{doc_id}`"].eqNullSafe(kept["__sh_id"]), "left_semi")
-    # ids are expected to be unique; rows that repeat one stay apart if their texts differ
-    repeated = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return one if repeated.isEmpty() else one.dropDuplicates([doc_id, text])
+    free_scratch(docs.sparkSession)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("node").alias("node"))
+    signed = set_join.signatures(docs, doc_id, text, words, least)
+    entries = durable(signed.groupBy("node").agg(F.min(row).alias("low"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys"), F.count(F.lit(1)).alias("n")))
+    lowest = _lowest(entries.drop("sig", "keys"), set_join.similar_links(entries, docs, text, words, least)).select("node", "n", "lowest")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_or_empty(text)).alias("node"))
+    judged = durable(join_counted(rows, lowest, "node"))
+    free_scratch(docs.sparkSession)
+    stays = (F.col("node") == F.col("lowest.node")) & F.col("doc_id").eqNullSafe(F.col("lowest.id"))
+    dropped = judged.where(~stays).select(F.col("doc_id").alias("__sh_id"), F.col("node").alias("__sh_node")).distinct()
+    many = judged.where(stays).groupBy(F.col("doc_id").alias("__sh_id"), F.col("node").alias("__sh_node")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*own, F.xxhash64(text_or_empty(text)).alias("__sh_hash"))
+    same = lambda other: (keyed["__sh_hash"] == other["__sh_node"]) & keyed[f"`{doc_id}`"].eqNullSafe(other["__sh_id"])
+    dropped = broadcast_if_small(dropped)
+    one = keyed.join(dropped, same(dropped), "left_anti")
+    many = durable(many)
+    if many.isEmpty():
+        return one.select(*own)
+    twice = one.join(many, same(many), "left_semi").select(*own).dropDuplicates([doc_id, text])
+    return one.join(many, same(many), "left_anti").select(*own).unionByName(twice)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyferry.llm.bpe import blocks_of
-from tallyferry.llm.shared import BLANK, durable, text_or_empty
+from tallyferry.llm.shared import BLANK, durable, in_python, join_counted, text_or_empty
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 
@@ -64,7 +64,7 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, f"[{BLANK}]+", " ")
 
 
-def _count_misses(path: str, by_word: bool, cache_entries: int = 300_000) -> Callable:
+def _count_misses(path: str, by_word: bool, cache_entries: int = 100_000) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = batch_counter(path)
         known: dict[bytes, int] = {}
@@ -106,8 +106,9 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048, doc_
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.octet_length(t).cast("long").alias("n_bytes"), (normalised(t) if by_word else t).alias("content"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("content", 256)))
     misses = rows.select("digest", "content").join(read_cache(spark, cache, version), "digest", "left_anti").dropDuplicates(["digest"])
-    counted = misses.mapInArrow(_count_misses(path, by_word), "digest binary, n_tokens long")
+    counted = in_python(misses, _count_misses(path, by_word), "digest binary, n_tokens long")
     counted.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
     slim = durable(rows.drop("content"))
-    out = slim.join(read_cache(spark, cache, version), "digest", "left")
+    uses = slim.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    out = join_counted(slim, uses.join(read_cache(spark, cache, version), "digest"), "digest")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
