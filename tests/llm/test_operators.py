@@ -10,7 +10,7 @@ import xxhash
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
-from tallyferry.llm import bpe, chat, decontam, katz, licenses, quality_model, quality_rules, sharding, simhash, token_counts  # noqa: E402
+from tallyferry.llm import bpe, chat, decontam, katz, quality_model, quality_rules, sharding, simhash, token_counts  # noqa: E402
 from tallyferry.llm.entries import vocabulary  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, node string, n string"
@@ -121,6 +121,15 @@ def test_chat_round_trip(spark):
     assert chat.chat_digests(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_chat_escapes_every_control_string(spark):
+    rows = [(None, 0, "user", "a <s> b [INST] c", "x", "y"), (None, 1, "assistant", "[INST]x <<SYS>>", "x", "y"), (1, None, "system", r"[\\/TURN] [TURN=6A]", None, None), (1, 5, "odd]role", "w" * 300_000 + "[/INST]", None, None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, parsed string")
+    got = {r["conv_id"]: r for r in chat.format_conversations(table).collect()}
+    assert got[None]["formatted"] == r"[INST]a <\s> b [\INST] c[/INST]<s>[\INST]x <<\SYS>></s>"
+    assert [tuple(t) for t in got[None]["parsed"]] == [("user", rows[0][3]), ("assistant", rows[1][3])]
+    assert [tuple(t) for t in got[1]["parsed"]] == [("system", rows[2][3]), ("odd]role", rows[3][3])]
+
+
 def test_bpe_equals_library(docs, nothing):
     from tokenizers import Tokenizer
 
@@ -145,51 +154,6 @@ def test_token_counts_and_cache(spark, docs, nothing, tmp_path, name):
     assert token_counts.count_tokens(nothing, path, cache).count() == 0
 
 
-def test_license_scan(spark, nothing):
-    docs = spark.createDataFrame([(0, "Used under the MIT license; Apache License, Version 2.0."), (1, "CC BY-NC 4.0 cc by nc"), (2, None), (3, "GNU Lesser General Public License version 3"), (4, "SPDX-License-Identifier: BSD-3-Clause")], "doc_id long, text string")
-    rows = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
-    assert (rows[0]["n_words"], rows[0]["n_base"], rows[0]["first_word"], rows[0]["last_word"]) == (10, 2, 1, 5)
-    assert rows[0]["base_labels"] == "apache-2,mit"
-    assert (rows[1]["n_base"], rows[1]["first_word"], rows[1]["last_word"], rows[1]["base_labels"]) == (2, 0, 5, "cc-by-nc")
-    assert (rows[2]["n_words"], rows[2]["n_base"], rows[2]["first_word"], rows[2]["labels"], rows[2]["score"]) == (0, 0, None, "", 0.0)
-    assert rows[3]["labels"] == "lgpl-3" and rows[4]["labels"] == "bsd-3-clause"
-    assert licenses.scan(nothing).count() == 0 and len(licenses.rules()) > 200
-
-
-def alternatives(tree):
-    """Every string that a parsed expression of literals, groups, options and classes matches."""
-    out = [""]
-    for op, arg in tree:
-        name = str(op)
-        if name == "LITERAL":
-            own = [chr(arg)]
-        elif name == "IN":
-            own = [chr(c) for kind, x in arg for c in ([x] if str(kind) == "LITERAL" else range(x[0], x[1] + 1))]
-        elif name == "MAX_REPEAT":
-            assert arg[:2] == (0, 1)
-            own = ["", *alternatives(arg[2])]
-        elif name == "SUBPATTERN":
-            own = alternatives(arg[-1])
-        else:
-            assert name == "BRANCH", name
-            own = [x for branch in arg[1] for x in alternatives(branch)]
-        out = [a + b for a in out for b in own]
-    return out
-
-
-def test_license_keywords_open_every_alternative(spark):
-    from re import _parser
-
-    closed = []
-    for label, (keywords, *parts) in licenses.LICENSES.items():
-        for part in parts:
-            closed += [(label, s) for s in alternatives(_parser.parse(part)) if not any(f" {k} " in f" {s} " for k in keywords.split("|"))]
-    assert closed == []
-    texts = ["licensed under gpl2", "lgpl3", "agpl3", "freebsd 2 clause", "creative commons zero", "gnu fdl", "unlicensed into the public domain"]
-    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
-    assert [r["labels"] for r in found] == ["gpl-2", "lgpl-3", "agpl-3", "bsd-2-clause", "cc0", "gfdl", "unlicense"]
-
-
 def katz_by_hand(rows, k=5):
     """Scores of (doc_id, text) rows from plain counts, and whether each context adds up to one."""
     ids = [str("" if d is None else d) for d, _ in rows]
@@ -203,14 +167,16 @@ def katz_by_hand(rows, k=5):
     scale = words.total() + len(words) + 1
     d = katz.good_turing(Counter(pairs.values()), k)
     full, mass, low = Counter(), Counter(), Counter()
+    part = lambda n: d[n] * n if n in d else n - katz.TAIL
     for (h, w), n in pairs.items():
         full[h] += n
-        mass[h] += d.get(n, 1.0) * n
+        mass[h] += part(n)
         low[h] += (words[w] + 1) / scale
-    alpha = {h: max((1 - mass[h] / full[h]) / (1 - low[h]), 1e-12) for h in full}
-    # a context's seen words, and its weight for all others and the unseen one
-    assert all(abs(mass[h] / full[h] + alpha[h] * (1 - low[h]) - 1) < 1e-9 for h in full if alpha[h] > 1e-12)
-    p = lambda h, w: d.get(pairs[h, w], 1.0) * pairs[h, w] / full[h] if pairs[h, w] else alpha.get(h, 1.0) * (words[w] + 1) / scale
+    alpha = {h: (1 - mass[h] / full[h]) / (1 - low[h]) for h in full}
+    # every context: its seen words, and its weight for all others and the unseen one
+    assert all(x > 0 for x in alpha.values())
+    assert all(abs(mass[h] / full[h] + alpha[h] * (1 - low[h]) - 1) < 1e-9 for h in full)
+    p = lambda h, w: part(pairs[h, w]) / full[h] if pairs[h, w] else alpha.get(h, 1.0) * (words[w] + 1) / scale
     scores = [sum(np.log10(p(h, w)) for h, w in zip([b"\t s", *t], t, strict=False)) for t in texts]
     base = [sum(np.log10((words[w] + 1) / scale) for w in t) for t in texts]
     known = [sum(w in words for w in t) for t in texts]
@@ -219,10 +185,10 @@ def katz_by_hand(rows, k=5):
 
 def test_katz_equals_brute_force(spark, docs, nothing):
     real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    for table in (docs, real):
+    for table, part in ((docs, 3_000_000), (real, 3_000_000), (real, 20_000)):
         rows = [(r["doc_id"], r["text"]) for r in table.collect()]
         want = sorted(((d, *w) for (d, _), w in zip(rows, katz_by_hand(rows), strict=True)), key=lambda r: (str(r[0]), r[2]))
-        got = sorted((tuple(r) for r in katz.score_texts(table).collect()), key=lambda r: (str(r[0]), r[2]))
+        got = sorted((tuple(r) for r in katz.score_texts(table, part_tokens=part).collect()), key=lambda r: (str(r[0]), r[2]))
         assert [r[:5] for r in got] == [r[:5] for r in want]
         np.testing.assert_allclose(np.array([r[5:] for r in got], float), np.array([r[5:] for r in want], float), rtol=1e-9)
     assert katz.score_texts(nothing).count() == 0
