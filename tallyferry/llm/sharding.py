@@ -7,7 +7,8 @@ rest are pooled by hash into ``bundles`` items. That bounded list, largest first
 heap of shard loads on the driver. Rows find their shard by their own group hash: no join on text.
 
 Slots are dense within a shard: rows are numbered inside ``salts`` slices of a shard and moved
-behind the slices before; no task holds a shard. Equal sizes are ordered by key, so reruns agree.
+behind the slices before; no task holds a shard. Rows are ordered by id and text hash, so a task that
+is run again gives the same slots (rows alike in both are alike in all).
 A null text has no bytes and belongs with the empty text; repeated rows get slots of their own; a
 null id is an ordinary row; an empty table gives no rows; extra columns are ignored.
 """
@@ -50,10 +51,10 @@ def assign_shards(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", tex
     of_group = spark.createDataFrame([(k, s) for (kind, k), s in plan.items() if kind == 0], "grp long, own_shard int")
     of_bundle = spark.createDataFrame([(k, s) for (kind, k), s in plan.items() if kind == 1], "bundle int, pool_shard int")
     placed = rows.join(F.broadcast(of_group), "grp", "left").join(F.broadcast(of_bundle), "bundle", "left")
-    placed = placed.select("doc_id", "size", "text_crc32", F.coalesce("own_shard", "pool_shard").alias("shard"), F.pmod(F.hash("doc_id", "text_crc32"), F.lit(salts)).alias("salt"))
+    placed = placed.select("doc_id", "size", "text_crc32", "grp", F.coalesce("own_shard", "pool_shard").alias("shard"), F.pmod(F.hash("doc_id", "text_crc32"), F.lit(salts)).alias("salt"))
     counts = placed.groupBy("shard", "salt").agg(F.count(F.lit(1)).alias("n"))  # at most shards * salts rows
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("salt")) - F.col("n")
     offsets = counts.select("shard", "salt", before.alias("before"))
-    within = F.row_number().over(Window.partitionBy("shard", "salt").orderBy("doc_id", "size")) - 1
+    within = F.row_number().over(Window.partitionBy("shard", "salt").orderBy("doc_id", "grp")) - 1
     out = placed.withColumn("within", within).join(F.broadcast(offsets), ["shard", "salt"])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("before") + F.col("within")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
