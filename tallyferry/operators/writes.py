@@ -62,14 +62,16 @@ def tally(classified: DataFrame) -> DataFrame:
     return classified.agg(*[F.count(F.when(F.col("__action") == a, 1)).alias(a) for a in ("inserted", "updated", "skipped", "failed")])
 
 
-def assign_keys(rows: DataFrame, order: str, first: int, key: str = "id", slices: int = 64) -> DataFrame:
+def assign_keys(rows: DataFrame, order: str, first: int, key: str = "id", slices: int | None = None) -> DataFrame:
     """Dense ids from ``first`` on in the order of ``order``, without one task that holds all rows.
 
-    Rows are dealt to ranges of the order; ranges are counted, and a row's id is what stands before
-    its range plus its place in it. The dealt rows are kept, as a repeated task may cut its ranges anew.
+    Rows are dealt to ranges of the order (``slices``, or as many as shuffles have); ranges are counted,
+    and a row's id is what stands before its range plus its place in it. The dealt rows are kept, as a
+    repeated task may cut its ranges anew.
     """
+    slices = slices or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = durable(rows.repartitionByRange(slices, order).withColumn("__p", F.spark_partition_id()))
-    counts = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))  # at most `slices` rows
+    counts = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))  # one row for each range
     before = counts.withColumn("__b", F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).select("__p", "__b")
     place = F.row_number().over(Window.partitionBy("__p").orderBy(order))
     return parts.withColumn("__r", place).join(F.broadcast(before), "__p").withColumn(key, (F.lit(first) + F.col("__b") + F.col("__r") - 1).cast("long")).drop("__p", "__r", "__b")

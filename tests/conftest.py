@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 def spark():
     session = (
         SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
