@@ -104,7 +104,7 @@ class Block:
         return np.fromiter((xxhash.xxh64_intdigest(w) for w in self.places), np.uint64, len(self.places)).view(np.int64)
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch], most_tokens: int = 400_000) -> Iterator[Block]:
+def blocks_of(batches: Iterator[pa.RecordBatch], most_tokens: int = 1_200_000) -> Iterator[Block]:
     """Blocks of about ``most_tokens`` tokens from batches of (key, held_out, text as binary)."""
     block = Block()
     for batch in batches:
@@ -398,17 +398,19 @@ class Discounts:
         return removed / total / (1 - low / scale)
 
 
-def train(slim: DataFrame, path: str, k: int = 5, part_tokens: int = 3_000_000) -> tuple[DataFrame, int, Discounts, int, int]:
+def train(slim: DataFrame, path: str, k: int = 5, part_tokens: int = 6_000_000, least_parts: int = 64) -> tuple[DataFrame, int, Discounts, int, int]:
     """(the stored tables, their partitions, discounts, N, V)."""
     spark = slim.sparkSession
     hot, tokens = frequent_words(slim)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // part_tokens), 1)
+    # every partition that holds one of a document's words adds a row for it: no more than needed
+    parts = max(least_parts, -(-tokens // part_tokens))
     packed = packed_pairs(slim, parts, hot).repartitionById(parts, "part")
     tables(packed, parts, hot, k).write.partitionBy("kind").parquet(path)
     del packed
     free_scratch(spark)
     stored = spark.read.schema("part int, h long, v array<double>, size long, data binary, kind int").parquet(path)
     one = stored.where(F.col("kind") == TOTAL).agg(*(F.coalesce(F.sum(F.col("v")[i]), F.lit(0.0)) for i in range(k + 3))).first()
+    free_scratch(spark)  # the packed pairs: Spark holds on to a query until the next one has run
     distinct = int(one[1]) + sum(n > 0 for n in hot.values())
     return stored, parts, Discounts([int(x) for x in one[2:]], k), int(one[0]), distinct
 
@@ -478,16 +480,17 @@ def document_sums(rows: DataFrame, parts: int, discounts: Discounts) -> DataFram
     return in_python(rows.select("part", "size", "data").repartitionById(parts, "part"), run, "key long, n_tokens long, n_known long, n_unseen long, base double, score double")
 
 
-def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, part_tokens: int = 3_000_000) -> DataFrame:
+def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, part_tokens: int = 6_000_000, least_parts: int = 64) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
     t = text_or_empty(text)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), t).alias("key"), held_out(F.col(doc_id)).alias("held_out"), t.cast("binary").alias("text"))
     path = f"{shared_dir(spark)}/katz/{uuid.uuid4().hex}"
-    stored, parts, discounts, total, distinct = train(rows.select("key", "held_out", "text"), path, k, part_tokens)
+    stored, parts, discounts, total, distinct = train(rows.select("key", "held_out", "text"), path, k, part_tokens, least_parts)
     scale = float(total + distinct + 1)
     own = stored.where(F.col("kind") == DOCUMENT).select("part", "size", "data")
     backed = backed_off(stored, parts, discounts, scale).select("part", "size", "data")
+    free_scratch(spark)
     per_key = document_sums(own.unionByName(backed), parts, discounts)
     rows = rows.drop("text")
     copies = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))

@@ -188,10 +188,10 @@ def test_katz_equals_brute_force(spark, docs, nothing):
     for table, part in ((docs, 3_000_000), (real, 3_000_000), (real, 20_000)):
         rows = [(r["doc_id"], r["text"]) for r in table.collect()]
         want = sorted(((d, *w) for (d, _), w in zip(rows, katz_by_hand(rows), strict=True)), key=lambda r: (str(r[0]), r[2]))
-        got = sorted((tuple(r) for r in katz.score_texts(table, part_tokens=part).collect()), key=lambda r: (str(r[0]), r[2]))
+        got = sorted((tuple(r) for r in katz.score_texts(table, part_tokens=part, least_parts=3).collect()), key=lambda r: (str(r[0]), r[2]))
         assert [r[:5] for r in got] == [r[:5] for r in want]
         np.testing.assert_allclose(np.array([r[5:] for r in got], float), np.array([r[5:] for r in want], float), rtol=1e-9)
-    assert katz.score_texts(nothing).count() == 0
+    assert katz.score_texts(nothing, least_parts=3).count() == 0
 
 
 def test_shards(docs, nothing):
