@@ -75,7 +75,7 @@ class Generations:
 class PairIndexCodec:
     """Encoder and decoder for one vocabulary file; texts in, little-endian 32-bit ids out."""
 
-    def __init__(self, path: str, cache_entries: int = 80_000, block_words: int = 100_000) -> None:
+    def __init__(self, path: str, cache_entries: int = 50_000, block_words: int = 50_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         signs = byte_signs()
@@ -239,7 +239,7 @@ def codec_of(path: str) -> PairIndexCodec:
     return PairIndexCodec(path)
 
 
-def blocks_of(texts: pa.Array, max_bytes: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def blocks_of(texts: pa.Array, max_bytes: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``max_bytes`` of text."""
     start = held = 0
     for i, n in enumerate(pc.binary_length(texts).to_pylist()):

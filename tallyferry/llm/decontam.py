@@ -210,7 +210,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     tests = items.select(F.col(item_id).alias("item_id"), text_or_empty(item_text).alias("text"))
     id_types = [x.schema[c].dataType for x, c in ((slim, "doc_id"), (tests, "item_id"))]
     schema = f"doc_id {id_types[0].simpleString()}, item_id {id_types[1].simpleString()}, score double, question_overlap double, answer_overlap double"
-    out = docs.sparkSession.createDataFrame([], schema)
+    none = F.lit(None)
+    out = slim.limit(0).select("doc_id", none.cast(id_types[1]).alias("item_id"), *[none.cast("double").alias(c) for c in ("score", "question_overlap", "answer_overlap")])
     for rows, df, total, mean in item_blocks(tests, block_bytes):
         index = BlockMaxIndex(rows, df, total, mean)
         out = out.unionByName(in_python(slim, _matcher(index, to_arrow_type(id_types[1]), min_share, min_overlap, gram), schema))
