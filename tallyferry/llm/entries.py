@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from tallyferry.llm.bpe import bpe_round_trip
 from tallyferry.llm.chat import chat_digests
 from tallyferry.llm.decontam import find_leaks
+from tallyferry.llm.grammar_store import store_and_read
 from tallyferry.llm.katz import score_texts
 from tallyferry.llm.licenses import scan
+from tallyferry.llm.periodic_runs import word_runs
 from tallyferry.llm.quality_model import score_documents
 from tallyferry.llm.quality_rules import document_rules
 from tallyferry.llm.shared import read, shared_dir
 from tallyferry.llm.sharding import assign_shards
 from tallyferry.llm.simhash import simhash_components
+from tallyferry.llm.token_alignment import align_documents
 from tallyferry.llm.token_counts import count_tokens
 
 
@@ -72,6 +75,18 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_rules(read(spark, sf_dir, "documents")).drop("host_rejected")
 
 
+def op11_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_and_read(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs(read(spark, sf_dir, "documents"), plant=True)
+
+
 CHAT_SQL = r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -118,5 +133,5 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from f left join b on f.host = b.host
 """
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op2_quality_classifier, op3_chat_format, op4_bpe_round_trip, op5_token_counts, op6_license_scan, op7_katz_scores, op8_size_shards, op9_decontaminate, op10_host_rules)}
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op2_quality_classifier, op3_chat_format, op4_bpe_round_trip, op5_token_counts, op6_license_scan, op7_katz_scores, op8_size_shards, op9_decontaminate, op10_host_rules, op11_grammar_files, op12_token_alignment, op13_word_runs)}
 ORACLES = {"op3_chat_format": CHAT_SQL, "op10_host_rules": RULES_SQL}
