@@ -6,7 +6,7 @@ the journal comes from the same classified rows and is stored before the snapsho
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,6 +88,33 @@ def constraint_errors(rows: DataFrame, key: str, not_null: Sequence[str] = (), u
     return out.select(F.col(key), F.coalesce(*tests).alias("message")).where("message is not null")
 
 
+def constrained(judged: DataFrame, target: Callable[[], DataFrame], key: str, not_null: Sequence[str] = (), unique: Sequence[str] = ()) -> DataFrame:
+    """Classified rows, those that break a constraint as ``failed`` with ``__message``.
+
+    A value that must be unique belongs to the target row that has it (under another key), else to the
+    first row of the batch, by ``__order``; nulls never clash. Rows that have failed claim no value.
+    """
+    live = lambda: F.col("__action").isin("inserted", "updated") & F.col("__first")
+
+    def fail(rows: DataFrame, test: Column, message: str) -> DataFrame:
+        rows = rows.withColumn("__bad", live() & F.coalesce(test, F.lit(False)))
+        return rows.withColumn("__message", F.when(F.col("__bad"), F.lit(message)).otherwise(F.col("__message"))).withColumn("__action", F.when(F.col("__bad"), "failed").otherwise(F.col("__action"))).drop("__bad")
+
+    for c in not_null:
+        judged = fail(judged, F.col(c).isNull(), f"{c} is null")
+    for c in unique:
+        place = F.struct("__order", "__key", F.col(key).cast("string"))
+        claims = judged.where(live() & F.col(c).isNotNull()).groupBy(F.col(c).alias("__uv")).agg(F.min(place).alias("__uf"))
+        # a row of the target that this batch changes claims what it has after the batch
+        changed = judged.where(live()).select(F.col(key).alias("__ck"))
+        held = target().select(F.col(key).alias("__uk"), F.col(c).alias("__hv")).where(F.col("__hv").isNotNull())
+        held = held.join(changed, F.col("__uk") == F.col("__ck"), "left_anti").groupBy("__hv").agg(F.lit(True).alias("__held"))
+        judged = spread_join(judged, claims, c, "__uv", by=["__key"])
+        judged = spread_join(judged, held, c, "__hv", by=["__key"])
+        judged = fail(judged, F.coalesce(F.col("__held"), F.lit(False)) | (F.col("__uf") != place), f"{c} is not unique").drop("__uv", "__uf", "__hv", "__held")
+    return judged
+
+
 def last_by_key(rows: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
     """One row per key: the last by ``order``, of ties the greatest (a partial aggregate, so a hot key costs no more)."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -20,6 +20,9 @@ from tallyferry.functions.transforms import Cell, apply_chain, cell, empty_to_nu
 from tallyferry.operators.storage import spread_join
 
 
+IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{0,62}")
+
+
 @dataclass(frozen=True)
 class Field:
     to: str
@@ -47,6 +50,8 @@ class Entity:
     conflict: str = "error"
     depends_on: tuple[str, ...] = ()
     id_map_from: str | None = None
+    not_null: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.conflict not in ("skip", "update", "error"):
@@ -67,7 +72,8 @@ class Entity:
 
 
 def fingerprint(entities: Sequence[Entity]) -> str:
-    return hashlib.sha256(json.dumps([asdict(e) for e in entities], sort_keys=True, default=str).encode()).hexdigest()[:16]
+    stated = [{k: v for k, v in asdict(e).items() if v or k not in ("not_null", "unique")} for e in entities]
+    return hashlib.sha256(json.dumps(stated, sort_keys=True, default=str).encode()).hexdigest()[:16]
 
 
 def in_order(entities: Sequence[Entity], only: Sequence[str] | None = None) -> list[Entity]:
@@ -105,6 +111,18 @@ def structural_problems(entity: Entity, source: DataFrame, target: DataFrame | N
     return out
 
 
+def type_problems(entity: Entity, source: DataFrame, target: DataFrame | None = None) -> list[str]:
+    """Constraints on columns that no field fills, target names that are no identifiers, and types that the stored column cannot take."""
+    roots = _roots(entity) | {entity.target_key}
+    out = [f"constrained column {c} is filled by no field" for c in (*entity.not_null, *entity.unique) if c not in roots]
+    out += [f"target column {c} is no plain identifier" for c in sorted(_roots(entity)) if not IDENTIFIER.fullmatch(c)]
+    if out or target is None or not {c for f in entity.fields for c in ((f.source,) if isinstance(f.source, str) else f.source or ())} <= set(source.columns):
+        return out
+    own, ids = dict(target.dtypes), source.sparkSession.createDataFrame([], "entity string, source_id string, target_id string")
+    given = {c: t for c, t in build_rows(entity, source, ids).dtypes if c not in HIDDEN}
+    return [f"target column {c} is {own[c]}, not {t}" for c, t in given.items() if c in own and own[c] != t]
+
+
 def unmapped(entity: Entity, target: DataFrame) -> list[str]:
     """Target columns that no field fills; the target's own key may stay so."""
     return [c for c in target.columns if c not in _roots(entity) and c != entity.target_key]
