@@ -13,6 +13,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import NamedTuple
 
 import pandas as pd
@@ -49,6 +50,63 @@ def transform(name: str) -> Callable:
     return add
 
 
+@dataclass(frozen=True)
+class Context:
+    """What a step knows of its run."""
+
+    entity: str = ""
+    run_id: str | None = None
+    run_time: str | None = None
+
+
+#: Steps that see the source row and the run besides the value.
+ROW_TRANSFORMS: dict[str, Callable] = {}
+
+
+def row_transform(name: str) -> Callable:
+    """Register ``fn(value, row, context, **params) -> Column or (Column, error Column)`` under a name.
+
+    ``row(column)`` is the source row's column; the function gives expressions and sees no values.
+    """
+
+    def add(fn: Callable) -> Callable:
+        ROW_TRANSFORMS[name] = fn
+        TRANSFORMS[name] = fn
+        return fn
+
+    return add
+
+
+def arrow_transform(name: str, returns: str = "string", columns: Sequence[str] = ()) -> Callable:
+    """Register a function of Python values as a step: ``fn(value, row, context, **params)``, one value at a time.
+
+    ``row`` is a dict of ``columns`` of the source row. Values come in Arrow batches, only for rows whose
+    value is not null; what the function raises becomes the row's error.
+    """
+
+    def add(fn: Callable) -> Callable:
+        def step(v: Column, row: Callable[[str], Column], context: Context, **params: object) -> tuple[Column, Column]:
+            @F.pandas_udf(f"value {returns}, error string")
+            def run(values: pd.Series, rows: pd.DataFrame) -> pd.DataFrame:
+                got, errors = [], []
+                for value, own in zip(values, rows.to_dict("records"), strict=True):
+                    try:
+                        got.append(None if value is None else fn(value, {c: own[c] for c in columns}, context, **params))
+                        errors.append(None)
+                    except Exception as e:  # noqa: BLE001 - a bad row must not stop the job
+                        got.append(None)
+                        errors.append(f"{type(e).__name__}: {e}")
+                return pd.DataFrame({"value": pd.Series(got, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+            out = run(text(v), F.struct(F.lit(None).cast("string").alias("__"), *[row(c).alias(c) for c in columns]))
+            return out["value"], out["error"]
+
+        ROW_TRANSFORMS[name] = TRANSFORMS[name] = step
+        return fn
+
+    return add
+
+
 def text(v: Column) -> Column:
     return v.cast("string")
 
@@ -230,8 +288,9 @@ def json_decode(v: Column, strict: bool = False) -> Column | tuple[Column, Colum
 
 
 def php_value(s: str) -> object:
-    """Value of a PHP-serialised text with the markers N, b, i, d, s and a."""
+    """Value of a PHP-serialised text with the markers N, b, i, d, s and a; nested arrays to any depth."""
     data, at = s.encode(), 0
+    scalars = {b"b": lambda x: x == b"1", b"i": int, b"d": float}
 
     def upto(sign: bytes) -> bytes:
         nonlocal at
@@ -239,30 +298,33 @@ def php_value(s: str) -> object:
         part, at = data[at:end], end + 1
         return part
 
-    def value() -> object:
-        nonlocal at
-        kind = data[at : at + 1]
-        at += 2
+    top: list = []
+    # open arrays: what they hold so far, and how many keys and values are still to come
+    open_at: list[tuple[list, int]] = [(top, 1)]
+    while True:
+        values, left = open_at[-1]
+        if left == 0:
+            open_at.pop()
+            if not open_at:
+                return top[0]
+            at += 1  # the array's closing brace
+            open_at[-1][0].append({str(k): v for k, v in zip(values[::2], values[1::2], strict=True)})
+            continue
+        open_at[-1] = (values, left - 1)
+        kind, at = data[at : at + 1], at + 2
         if kind == b"N":
-            return None
-        if kind in b"bid" and kind:
-            part = upto(b";").decode()
-            return part == "1" if kind == b"b" else int(part) if kind == b"i" else float(part)
-        size = int(upto(b":"))
-        at += 1
-        if kind == b"s":
-            part, at = data[at : at + size].decode(), at + size + 2
-            return part
-        if kind == b"a":
-            out = {}
-            for _ in range(size):
-                key = value()
-                out[str(key)] = value()
+            values.append(None)
+        elif kind in scalars:
+            values.append(scalars[kind](upto(b";")))
+        elif kind == b"s":
+            size = int(upto(b":"))
+            values.append(data[at + 1 : at + 1 + size].decode())
+            at += size + 3
+        elif kind == b"a":
+            open_at.append(([], 2 * int(upto(b":"))))
             at += 1
-            return out
-        raise ValueError(kind)
-
-    return value()
+        else:
+            raise ValueError(kind)
 
 
 @F.pandas_udf(StringType())
@@ -270,7 +332,7 @@ def _php_to_json(s: pd.Series) -> pd.Series:
     def one(x: str | None) -> str | None:
         try:
             return None if x is None else json.dumps(php_value(x), sort_keys=True)
-        except (ValueError, IndexError):
+        except (ValueError, IndexError, RecursionError):  # the last: too deep to be written as JSON
             return None
 
     return s.map(one)
@@ -377,10 +439,11 @@ def steps_of(chain: Sequence[str | Mapping]) -> list[tuple[str, dict]]:
     return out
 
 
-def apply_chain(start: Cell, chain: Sequence[str | Mapping]) -> Cell:
+def apply_chain(start: Cell, chain: Sequence[str | Mapping], row: Callable[[str], Column] = F.col, context: Context | None = None) -> Cell:
     at = start
     for name, params in steps_of(chain):
-        got = TRANSFORMS[name](at.value, **params)
+        seen = (row, context or Context()) if name in ROW_TRANSFORMS else ()
+        got = TRANSFORMS[name](at.value, *seen, **params)
         value, error = got if isinstance(got, tuple) else (got, None)
         at = Cell(value, at.error if error is None else F.coalesce(at.error, F.concat(F.lit(f"{name}: "), error)))
     return at

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,39 +72,73 @@ def resolve(base: Column, ref: Column) -> Column:
     )
 
 
+ENTITY = r"&(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]{1,31};)"
+
+
 def unescaped(v: Column) -> Column:
-    """The entities that attributes and link texts hold; others stay as written."""
-    for sign, to in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&raquo;", "»"), ("&rsaquo;", "›"), ("&rarr;", "→"), ("&amp;", "&")):
-        v = F.replace(v, F.lit(sign), F.lit(to))
-    return v
+    """``v`` with its character references decoded: numbers, and all names that HTML knows; others stay as written."""
+    names = F.from_json(F.lit(json.dumps({k: t for k, t in html5.items() if k.endswith(";")})), "map<string,string>")
+
+    def one(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, "^&#([0-9]+)", 1)
+        code = F.coalesce(digits.try_cast("int"), F.conv(F.nullif(F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+)", 1), F.lit("")), 16, 10).cast("int"))
+        no_sign = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(F.when(no_sign, 0xFFFD).otherwise(code)), 8, "0")), "UTF-32")
+        return F.when(ref.startswith("&#"), sign).otherwise(F.coalesce(F.try_element_at(names, F.substring(ref, 2, 40)), ref))
+
+    decoded = F.zip_with(F.split(v, ENTITY), F.regexp_extract_all(v, F.lit(ENTITY), F.lit(0)), lambda text, ref: F.concat(text, F.coalesce(one(ref), F.lit(""))))
+    return F.when(v.contains("&"), F.array_join(decoded, "")).otherwise(v)
+
+
+#: A tag's attribute: its name, and a value that may hold ``>`` inside quotes. The possessive forms never go back.
+ATTRIBUTE = r"""[^\s/>=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?"""
+NAMED = r"""(?s)([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?"""
+INSIDE = rf"(?:[\s/]++|{ATTRIBUTE})*+>"
+#: Every tag in turn, so that none is found inside another's attribute; group 1 is a link and what it encloses, up to its own end tag.
+TAGS = rf"(?is)(<a(?=[\s/>]){INSIDE}.*?(?=</a\s*+>|<a[\s/>]|\z))|<[a-z!?/]{INSIDE}"
+OPENING = rf"(?is)^<a(?=[\s/>]){INSIDE}"
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """An attribute of an opening tag; null if the tag has none of that name."""
-    at = rf"""(?is)^<[a-z0-9]+(?:\s[^>]*?)?\s{name}(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?(?=[\s/>])"""
-    return F.when(tag.rlike(at), unescaped(F.concat(*[F.regexp_extract(tag, at, k) for k in (1, 2, 3)])))
+def attributes(opening: Column) -> tuple[Column, Column]:
+    """Names (lower case) and raw values of an opening tag's attributes, in two passes over it."""
+    return F.transform(F.regexp_extract_all(opening, F.lit(NAMED), F.lit(1)), F.lower), F.regexp_extract_all(opening, F.lit(NAMED), F.lit(2))
+
+
+def attribute(names: Column, values: Column, name: str) -> Column:
+    """The first attribute of a name, decoded; null if the tag has none."""
+    raw = F.get(values, (F.array_position(names, name) - 1).cast("int"))
+    return F.when(F.array_contains(names, name), unescaped(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")))
 
 
 def anchors(html: Column) -> Column:
     """Array of (href, text, rel, method, confirm) of a page's links in their order; comments and scripts hold none."""
     bare = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)[^>]*>.*?</\1>", " ")
-    tags = F.regexp_extract_all(bare, F.lit(r"(?is)<a\s[^>]*>.*?(?=</a|<a\s|\z)"), F.lit(0))
+    tags = F.filter(F.regexp_extract_all(bare, F.lit(TAGS), F.lit(1)), lambda t: t != "")
+
+    def parts(tag: Column) -> Column:
+        names, values = attributes(F.regexp_extract(tag, OPENING, 0))
+        return F.struct(tag.alias("tag"), names.alias("names"), values.alias("values"))
 
     def one(tag: Column) -> Column:
+        own = lambda name: attribute(tag["names"], tag["values"], name)
         lower = lambda c: F.lower(F.coalesce(c, F.lit("")))
-        text = F.trim(F.regexp_replace(unescaped(F.regexp_replace(F.regexp_replace(tag, r"(?is)^<a\s[^>]*>", ""), "<[^>]*>", " ")), r"[\s\p{Z}]+", " "))
-        confirm = F.coalesce(F.nullif(attribute(tag, "data-confirm"), F.lit("")), attribute(tag, "data-turbo-confirm"), F.lit(""))
-        return F.struct(attribute(tag, "href").alias("href"), text.alias("text"), lower(attribute(tag, "rel")).alias("rel"), lower(attribute(tag, "data-method")).alias("method"), confirm.alias("confirm"))
+        text = F.trim(F.regexp_replace(unescaped(F.regexp_replace(F.regexp_replace(tag["tag"], OPENING, ""), rf"(?is)<[a-z!?/]{INSIDE}", " ")), r"[\s\p{Z}]+", " "))
+        confirm = F.coalesce(F.nullif(own("data-confirm"), F.lit("")), own("data-turbo-confirm"), F.lit(""))
+        return F.struct(own("href").alias("href"), text.alias("text"), lower(own("rel")).alias("rel"), lower(own("data-method")).alias("method"), confirm.alias("confirm"))
+
+    return F.filter(F.transform(F.transform(tags, parts), one), lambda a: a["href"].isNotNull())
 
-    return F.filter(F.transform(tags, one), lambda a: a["href"].isNotNull())
+
+#: Why a link is refused.
+REFUSED = ("data-method=", "has a confirmation prompt", "looks like a state change")
 
 
 def link_reason(method: Column, confirm: Column, url: Column) -> Column:
     """Why a link must not be followed; null for a safe one."""
     return (
-        F.when((method != "") & (method != "get"), F.concat(F.lit("data-method="), method))
-        .when(confirm != "", "has a confirmation prompt")
-        .when(path_and_query(url).rlike(UNSAFE), "looks like a state change")
+        F.when((method != "") & (method != "get"), F.concat(F.lit(REFUSED[0]), method))
+        .when(confirm != "", REFUSED[1])
+        .when(path_and_query(url).rlike(UNSAFE), REFUSED[2])
     )
 
 
@@ -194,6 +231,13 @@ SIGNATURES = (
 )
 
 
+def generator(html: Column) -> Column:
+    """What a page's generator meta tag says, whatever the order of its attributes; null without one."""
+    metas = F.transform(F.regexp_extract_all(html, F.lit(rf"(?is)<meta(?=[\s/]){INSIDE}"), F.lit(0)), lambda t: F.struct(*[c.alias(n) for c, n in zip(attributes(t), ("names", "values"), strict=True)]))
+    said = F.transform(metas, lambda m: F.struct(F.lower(attribute(m["names"], m["values"], "name")).alias("name"), F.trim(attribute(m["names"], m["values"], "content")).alias("content")))
+    return F.nullif(F.get(F.filter(said, lambda m: m["name"] == "generator"), F.lit(0))["content"], F.lit(""))
+
+
 def platforms(html: Column, signatures: tuple[tuple[str, str], ...] = SIGNATURES) -> Column:
     """Array of (platform, evidence) of what a page is made with; up to three distinct finds of 60 signs each."""
     labels = sorted({label for label, _ in signatures})

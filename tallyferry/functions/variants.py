@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from tallyferry.functions.paths import json_path
 
 
 def kind(v: Column) -> Column:
@@ -31,11 +37,30 @@ def _step(v: Column, name: str, depth: int = 2) -> Column:
     return F.when(kind(v) == "ARRAY", each).otherwise(F.when(kind(v) == "OBJECT", inside))
 
 
+@F.pandas_udf(StringType())
+def _deep_path(values: pd.Series, paths: pd.Series) -> pd.Series:
+    def one(value: str | None, path: str) -> str | None:
+        try:
+            return None if value is None else json.dumps(json_path(json.loads(value), path))
+        except (ValueError, RecursionError):
+            return None
+
+    return pd.Series([one(v, p) for v, p in zip(values, paths, strict=True)], dtype=object)
+
+
 def resolve(v: Column, path: str) -> Column:
-    """The variant at a dotted path; list elements by number, a name over a list gives the list of its values."""
-    for name in path.split(".") if path else ():
-        v = _step(v, name)
-    return v
+    """The variant at a dotted path; list elements by number, a name over a list gives the list of its values.
+
+    Values with lists in three levels or more, directly in each other, leave the JVM as text (other rows send nulls).
+    """
+    names = path.split(".") if path else []
+    deep = F.schema_of_variant(v).rlike("ARRAY<ARRAY<ARRAY<") if any(not n.isdigit() for n in names) else F.lit(False)
+    out = v
+    for name in names:
+        out = _step(out, name)
+    if all(n.isdigit() for n in names):
+        return out
+    return F.when(deep, F.try_parse_json(_deep_path(F.when(deep, F.to_json(v)), F.lit(path)))).otherwise(out)
 
 
 def as_text(v: Column) -> Column:

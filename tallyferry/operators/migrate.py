@@ -267,7 +267,7 @@ def apply_batch(
         mine = store.ids(spark, entity.name, touched, place)
     parents = sorted({p["entity"] for _, _, p in entity.lookups()})
     # kept, as the journal, the rows and the ids must come from the same values
-    built = durable(_new_rows(build_rows(entity, todo, store.id_map(spark, parents), run_time=run_time), mine))
+    built = durable(_new_rows(build_rows(entity, todo, store.id_map(spark, parents), run_time=run_time, run_id=run_id), mine))
     errors = rejected(built.where(~F.col("__known")), entity.name).drop("entity")
     named = key in built.columns
     asks = [F.count(F.when(F.col("__known"), 1)).alias("known"), F.count(F.when(~F.col("__known") & F.col("__error").isNotNull(), 1)).alias("failed")]

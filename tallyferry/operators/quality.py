@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyferry.functions.shapes import VALUE_SHAPES
 from tallyferry.functions.transforms import apply_chain, cell, digits_of, stripped
 from tallyferry.functions.variants import records
 
@@ -100,18 +103,85 @@ def fill_rates(df: DataFrame) -> DataFrame:
 
 
 def value_shape(v: Column) -> Column:
-    """A type in place of a value. The expressions are fixed values."""
+    """A type in place of a value."""
     t = F.trim(v)
     n = F.length(t).cast("string")
-    return (
-        F.when(t == "", "")
-        .when(t.rlike(r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$"), "EMAIL")
-        .when(t.rlike(r"^[$£€]?\s?[0-9,]+\.[0-9]{2}$|^[$£€]\s?[0-9,]+$"), "MONEY")
-        .when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}|^[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{2,4}"), "DATE")
-        .when(t.rlike("^[0-9]+$"), F.concat(F.lit("NUM("), n, F.lit(")")))
-        .when(t.rlike(r"^[0-9\s().+-]{7,20}$") & (F.length(digits_of(t)) >= 10), "PHONE")
-        .otherwise(F.concat(F.lit("TEXT("), n, F.lit(")")))
-    )
+    shape = F.when(t == "", "")
+    for name, test in VALUE_SHAPES:
+        hit = t.rlike(test) & (F.length(digits_of(t)) >= 10) if name == "PHONE" else t.rlike(test)
+        shape = shape.when(hit, F.concat(F.lit("NUM("), n, F.lit(")")) if name == "NUM" else F.lit(name))
+    return shape.otherwise(F.concat(F.lit("TEXT("), n, F.lit(")")))
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What a column's values must be: there (not null, not blank), one of ``allowed``, of a length, matching, or any test."""
+
+    column: str
+    required: bool = False
+    allowed: tuple = ()
+    most_chars: int | None = None
+    pattern: str | None = None
+    test: str | None = None
+
+    def violations(self) -> list[tuple[str, Column]]:
+        """(rule, whether a row breaks it); a missing value breaks ``required`` alone."""
+        v = F.col(f"`{self.column}`")
+        text = v.cast("string")
+        there = v.isNotNull() & (stripped(text) != "")
+        out = [("required", ~there)] if self.required else []
+        out += [("allowed", there & ~text.isin(*map(str, self.allowed)))] if self.allowed else []
+        out += [("length", there & (F.length(text) > self.most_chars))] if self.most_chars is not None else []
+        out += [("pattern", there & ~text.rlike(self.pattern))] if self.pattern else []
+        out += [("test", there & ~F.coalesce(F.expr(self.test), F.lit(False)))] if self.test else []
+        return [(f"{self.column}: {name}", F.coalesce(test, F.lit(False))) for name, test in out]
+
+
+def judged(rows: DataFrame, rules: Sequence[Rule], into: str = "violations") -> DataFrame:
+    """``rows`` with the names of all rules that each breaks, in the rules' order: one expression, no pass of its own."""
+    missing = sorted({r.column for r in rules} - set(rows.columns))
+    if missing:
+        raise ValueError(f"rules on absent columns: {missing}")
+    tests = [F.when(test, F.lit(name)) for r in rules for name, test in r.violations()]
+    return rows.withColumn(into, F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>"))
+
+
+def split_by_rules(rows: DataFrame, rules: Sequence[Rule], key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that break no rule, and (source_id, stage, message) of the others: one message with all they break."""
+    marked = judged(rows, rules, "__broken")
+    bad = marked.where(F.size("__broken") > 0)
+    errors = bad.select(F.col(key).cast("string").alias("source_id"), F.lit("validate").alias("stage"), F.concat_ws("; ", "__broken").alias("message"))
+    return marked.where(F.size("__broken") == 0).drop("__broken"), errors
+
+
+def rule_counts(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """rule, broken, n: how many rows break each rule, in one pass."""
+    names = [name for r in rules for name, _ in r.violations()]
+    one = judged(rows, rules, "__broken").agg(F.count(F.lit(1)).alias("n"), *[F.count(F.when(F.array_contains("__broken", name), 1)).alias(f"r{k}") for k, name in enumerate(names)])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"r{k}").alias("broken"), F.col("n").alias("n")) for k, name in enumerate(names)])))
+
+
+def suggest_keys(df: DataFrame, most_columns: int = 2, columns: Sequence[str] | None = None, slack: float = 0.1) -> DataFrame:
+    """columns (comma-joined), width: the smallest sets of columns without nulls or repeats, single ones first.
+
+    A lattice of sets, one level a round: a set that holds a key is none, and one whose sketch of
+    distinct values is more than ``slack`` below the rows is left out. The others are counted exactly.
+    Sketches of a level take one pass; an exact test is one partial aggregate over the set's columns.
+    """
+    names = list(columns or df.columns)
+    filled = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{k}") for k, c in enumerate(names)]).first()
+    n = filled["n"]
+    whole = [c for k, c in enumerate(names) if filled[f"c{k}"] == n and n]
+    keys: list[tuple[str, ...]] = []
+    for width in range(1, most_columns + 1):
+        sets = [s for s in combinations(whole, width) if not any(set(k) <= set(s) for k in keys)]
+        if not sets:
+            break
+        sketched = df.agg(*[F.approx_count_distinct(F.struct(*[F.col(c) for c in s]), 0.03).alias(f"s{k}") for k, s in enumerate(sets)]).first()
+        for s in (s for k, s in enumerate(sets) if sketched[f"s{k}"] >= (1 - slack) * n):
+            if df.groupBy(*s).agg(F.count(F.lit(1)).alias("k")).where("k > 1").isEmpty():
+                keys.append(s)
+    return df.sparkSession.createDataFrame([(",".join(k), len(k)) for k in keys], "columns string, width int")
 
 
 #: Steps that a text column's values are tried with.
@@ -137,6 +207,33 @@ def cast_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.lit(k).alias("transform"), F.round(F.col(f"{c}__{k}"), 4).alias("share")) for c in columns for k in accepts])))
 
 
+#: Steps by what a column's name ends in, where its values bear them out.
+NAMED_STEPS = (("phone", "phone"), ("mobile", "phone"), ("email", "email"), ("vin", "vin"), ("zip", "zip"), ("postcode", "zip"), ("date", "date"), ("_at", "date"), ("_on", "date"))
+STEPS = {"phone": ("phone",), "zip": ("postal_code",), "int": ("int",), "decimal": ("decimal",), "bool": ("bool",), "date": ("to_datetime",), "email": ("email",), "vin": ("vin",)}
+
+
+def suggest_steps(df: DataFrame, columns: Sequence[str] | None = None, least: float = 0.95) -> DataFrame:
+    """name, steps (comma-joined), share: the transform chain that each column's type, name and values speak for.
+
+    Columns that are no text need no cast. A text column is trimmed and blanks become null; the cast
+    is that of its name if ``least`` of its filled values take it, else the first of whole numbers,
+    decimals, truth values and dates that as many take.
+    """
+    names = list(columns or df.columns)
+    texts = [c for c in names if dict(df.dtypes)[c] == "string"]
+    spark = df.sparkSession
+    plain = spark.createDataFrame([(c, "", None) for c in names if c not in texts], "name string, steps string, share double")
+    if not texts:
+        return plain
+    shares = cast_profile(df, texts).groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("transform", "share"))).alias("s"))  # ten entries a column
+    takes = lambda k: F.coalesce(F.col("s")[k], F.lit(0.0)) >= least
+    named = [F.when(F.lower("name").endswith(end) & takes(k), F.lit(k)) for end, k in NAMED_STEPS]
+    chosen = F.coalesce(*named, *[F.when(takes(k), F.lit(k)) for k in ("int", "decimal", "bool", "date")])
+    chain = lambda k: ",".join(("trim", "nullif_empty", *STEPS[k]))
+    steps = F.coalesce(*[F.when(F.col("__k") == k, F.lit(chain(k))) for k in STEPS], F.lit("trim,nullif_empty"))
+    return plain.unionByName(shares.withColumn("__k", chosen).select("name", steps.alias("steps"), F.col("s")[F.col("__k")].alias("share")))
+
+
 def record_pages(events: DataFrame, ids: int = 500) -> DataFrame:
     """user_id, page, body: each user's events as JSON payloads, one for each range of ``ids`` event ids, in their order."""
     record = F.concat(F.lit('{"id":'), F.coalesce(F.col("event_id").cast("string"), F.lit("null")), F.lit(',"p":'), F.coalesce("props", F.lit("null")), F.lit("}"))

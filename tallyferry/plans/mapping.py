@@ -16,7 +16,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.functions.transforms import Cell, apply_chain, cell, empty_to_null, null_text, steps_of
+from tallyferry.functions.transforms import Cell, Context, apply_chain, cell, empty_to_null, null_text, steps_of
 from tallyferry.operators.storage import spread_join
 
 
@@ -175,7 +175,7 @@ def _looked_up(df: DataFrame, at: Cell, params: dict, name: str, id_map: DataFra
     return df, Cell(F.coalesce(t, v) if plan_mode else t, F.coalesce(F.col(f"{name}_e"), missed))
 
 
-def build_rows(entity: Entity, source: DataFrame, id_map: DataFrame | None = None, plan_mode: bool = False, run_time: str | None = None) -> DataFrame:
+def build_rows(entity: Entity, source: DataFrame, id_map: DataFrame | None = None, plan_mode: bool = False, run_time: str | None = None, run_id: str | None = None) -> DataFrame:
     """``__key`` (text), ``__order``, ``__error``, ``__clock``, ``__unresolved`` and the target columns of every source row.
 
     ``id_map`` holds (entity, source_id, target_id), unique by the first two. A lookup that finds
@@ -187,6 +187,7 @@ def build_rows(entity: Entity, source: DataFrame, id_map: DataFrame | None = Non
     missing = sorted({c for f in entity.fields for c in ((f.source,) if isinstance(f.source, str) else f.source or ())} - set(source.columns))
     if missing:
         raise ValueError(f"source columns missing: {missing}")
+    context = Context(entity.name, run_id, run_time)
     cells: list[Cell] = []
     clock, unresolved = [], []
     for i, f in enumerate(entity.fields):
@@ -195,11 +196,11 @@ def build_rows(entity: Entity, source: DataFrame, id_map: DataFrame | None = Non
         k = 0
         while "lookup" in {n for s in steps for n in s}:
             cut = next(j for j, s in enumerate(steps) if "lookup" in s)
-            at, name = apply_chain(at, steps[:cut]), f"__lk{i}_{k}"
+            at, name = apply_chain(at, steps[:cut], context=context), f"__lk{i}_{k}"
             df, at = _looked_up(df, at, steps[cut]["lookup"], name, id_map, entity.source_key, plan_mode)
             unresolved.append(F.when(F.col(f"{name}_v").isNotNull() & F.col(f"{name}_t").isNull(), F.lit(steps[cut]["lookup"]["entity"])))
             steps, k = steps[cut + 1 :], k + 1
-        at = apply_chain(at, steps)
+        at = apply_chain(at, steps, context=context)
         if f.default is not None:
             now = f.default == "@now"
             default = (F.lit(run_time).cast("timestamp_ntz") if run_time else F.current_timestamp().cast("timestamp_ntz")) if now else F.lit(f.default)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from xml.parsers import expat
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,14 +86,74 @@ def reach(edges: DataFrame, start: DataFrame, max_depth: int) -> DataFrame:
     return seen
 
 
+class SitemapReader:
+    """Takes an XML document's events and keeps the addresses of its pages and of further sitemaps."""
+
+    def __init__(self) -> None:
+        self.open: list[str] = []
+        self.text: list[str] | None = None
+        self.found: list[tuple[str, str]] = []
+        self.plain: list[str] = []
+
+    def start(self, name: str, _: dict) -> None:
+        self.open.append(name.rpartition(":")[2])
+        if self.open[-1] == "loc":
+            self.text = []
+
+    def data(self, text: str) -> None:
+        if self.text is not None:
+            self.text.append(text)
+
+    def end(self, _: str) -> None:
+        name = self.open.pop()
+        if name == "loc" and self.text is not None:
+            loc = "".join(self.text).strip()
+            kind = {"url": "page", "sitemap": "sitemap"}.get(self.open[-1] if self.open else "")
+            if loc and kind:
+                self.found.append((kind, loc))
+            elif loc:
+                self.plain.append(loc)
+            self.text = None
+
+    def read(self, xml: str) -> list[tuple[str, str]]:
+        parser = expat.ParserCreate()
+        parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = self.start, self.end, self.data
+        parser.Parse(xml.encode(), True)
+        # some documents have bare addresses only
+        return self.found or [("page", loc) for loc in self.plain]
+
+
+def sitemap_events(docs: DataFrame, url: str = "url", xml: str = "xml") -> DataFrame:
+    """url, kind (page or sitemap), loc of every entry of sitemap documents, or an error row for one that is no XML.
+
+    Documents are read as XML events, so character data, comments, references and any prefix count as
+    what they are. An address belongs to the ``url`` or ``sitemap`` element right above it. A null
+    document has no entries.
+    """
+    slim = docs.select(F.col(url).alias("url"), F.col(xml).alias("xml"))
+    kind = slim.schema["url"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, rows = [], []
+            for k, text in enumerate(batch.column(1)):
+                if text.as_py() is None:
+                    continue
+                try:
+                    own = [(*entry, None) for entry in SitemapReader().read(text.as_py().strip())]
+                except expat.ExpatError as e:
+                    own = [(None, None, str(e))]
+                owner += [k] * len(own)
+                rows += own
+            columns = [pa.array([r[k] for r in rows], pa.string()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int32())), *columns], names=["url", "kind", "loc", "error"])
+
+    return slim.mapInArrow(run, f"url {kind}, kind string, loc string, error string")
+
+
 def sitemap_entries(docs: DataFrame, url: str = "url", xml: str = "xml") -> DataFrame:
-    """url, kind (page or sitemap), loc of every entry of sitemap documents; any namespace prefix."""
-    of = lambda name: F.regexp_extract_all(xml, F.lit(rf"(?is)<(?:\w+:)?{name}\b[^>]*>(?:(?!</(?:\w+:)?{name}>).)*?<(?:\w+:)?loc[^>]*>\s*([^<]*?)\s*</"), F.lit(1))
-    pages, nested = of("url"), of("sitemap")
-    plain = F.regexp_extract_all(xml, F.lit(r"(?is)<(?:\w+:)?loc[^>]*>\s*([^<]*?)\s*</"), F.lit(1))
-    pages = F.when((F.size(pages) == 0) & (F.size(nested) == 0), plain).otherwise(pages)
-    tag = lambda kind, xs: F.transform(xs, lambda x: F.struct(F.lit(kind).alias("kind"), U.unescaped(x).alias("loc")))
-    return docs.select(F.col(url).alias("url"), F.inline(F.concat(tag("page", pages), tag("sitemap", nested)))).where("loc <> ''")
+    """url, kind, loc of :func:`sitemap_events`; broken documents have none."""
+    return sitemap_events(docs, url, xml).where("error is null").drop("error")
 
 
 def sitemap_pages(docs: DataFrame, roots: DataFrame, most_levels: int = 60, match: str | None = None) -> DataFrame:
@@ -103,16 +165,25 @@ def sitemap_pages(docs: DataFrame, roots: DataFrame, most_levels: int = 60, matc
     return found.where(F.col("url").rlike(match)) if match else found
 
 
-def without_repeats(rows: DataFrame, page: str, content: Sequence[str]) -> DataFrame:
-    """``rows`` without those whose content stands on an earlier page; repeats within a page stay.
+def without_repeats(rows: DataFrame, page: str, content: Sequence[str], group: str | None = None) -> DataFrame:
+    """``rows`` without those whose content stands on an earlier page (of the same ``group``); repeats within a page stay.
 
-    The first page of each content comes from a partial aggregate, so content that fills a third of
-    the table is one row on the small side of the join.
+    The first page of each content comes from a partial aggregate. Rows meet it by content and page
+    together, so content that fills a third of the table is spread by its pages.
     """
     mark = F.xxhash64(*[F.coalesce(shown(F.col(c), t), F.lit("\0")) for c, t in rows.dtypes if c in content])
-    marked = rows.withColumn("__sig", mark)
-    first = marked.groupBy("__sig").agg(F.min(page).alias("__first"))
-    return marked.join(first, "__sig").where(F.col(page) == F.col("__first")).drop("__sig", "__first")
+    marked = rows.withColumn("__sig", F.struct(mark, *([F.col(group)] if group else [])))
+    first = marked.groupBy("__sig").agg(F.min(page).alias(page))
+    return marked.join(first, ["__sig", page], "left_semi").select(*rows.columns)
+
+
+def until_nothing_new(records: DataFrame, content: Sequence[str], budget: int, group: str = "grp", number: str = "n", start: int = 1, span: int = 1 << 20) -> DataFrame:
+    """The records of a walk over numbers, up to the first run of ``budget`` numbers that give nothing new.
+
+    A number misses if it has no record, or only such as an earlier number of its group has shown;
+    repeats of earlier numbers are left out of the result, those within a number stay.
+    """
+    return until_misses(without_repeats(records, number, content, group), budget, group, number, start, span)
 
 
 def until_misses(rows: DataFrame, budget: int, group: str = "grp", number: str = "n", start: int = 1, span: int = 1 << 20) -> DataFrame:

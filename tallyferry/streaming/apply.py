@@ -44,8 +44,21 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def fresh_records(stream: DataFrame, time: str, content: list[str], horizon: str = "1 day") -> DataFrame:
-    """The first record of each content within ``horizon``; the watermark bounds what is remembered."""
+def fresh_records(stream: DataFrame, time: str, content: list[str], horizon: str | None = "1 day") -> DataFrame:
+    """The first record of each content; with a ``horizon`` the watermark bounds what is remembered.
+
+    Without one a content is remembered for good: the stream's state holds 128 bits for each content,
+    spread by them, and lives in the checkpoint with the offsets, so a restart forgets nothing. Let it
+    lie on disk for large streams (:func:`state_on_disk`).
+    """
     types = dict(stream.dtypes)
-    marked = stream.withColumn("__sig", F.xxhash64(*[F.coalesce(shown(F.col(c), types[c]), F.lit("\0")) for c in content]))
-    return marked.withWatermark(time, horizon).dropDuplicatesWithinWatermark(["__sig"]).drop("__sig")
+    texts = [F.coalesce(shown(F.col(c), types[c]), F.lit("\0")) for c in content]
+    marked = stream.withColumn("__sig", F.xxhash64(*texts)).withColumn("__sig2", F.xxhash64(F.lit("second"), *texts))
+    if horizon is None:
+        return marked.dropDuplicates(["__sig", "__sig2"]).drop("__sig", "__sig2")
+    return marked.withWatermark(time, horizon).dropDuplicatesWithinWatermark(["__sig", "__sig2"]).drop("__sig", "__sig2")
+
+
+def state_on_disk(spark: SparkSession) -> None:
+    """Keep the state of streams that this session starts from now on in RocksDB, not in the executors' heaps."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
