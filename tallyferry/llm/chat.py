@@ -17,6 +17,7 @@ Turns of a conversation are ordered by (turn, role, text), nulls first; a null t
 as empty; repeated rows are turns of their own; rows with a null conversation id form one
 conversation. A conversation is one string, so its turns meet in one row: that is the result's own
 size, and no other grouping is made. Extra columns are ignored; an empty table gives no rows.
+Texts of any length are formatted whole; a row holds its conversation a few times over.
 """
 
 from __future__ import annotations

@@ -18,7 +18,10 @@ several passes over the documents, each with an index of bounded size. Document
 come from all items. Documents are read once a pass, without a shuffle.
 
 Null or blank texts match nothing; items without words are left out; items of equal text are
-separate items; ids may be null or repeated; extra columns are ignored by :func:`find_leaks` and
+separate items; ids may be null or repeated; items that tie at the threshold are all retrieved; an empty
+item table finds nothing, an empty table of documents gives no rows; texts of any length are searched
+whole, and a task holds one text's passages with their bounds (about 25 MB for each MB of one text
+beyond the first); extra columns are ignored by :func:`find_leaks` and
 kept by :func:`drop_leaking`.
 """
 

@@ -42,14 +42,14 @@ MAGIC = b"RPG1"
 
 
 def frequent_pairs(keys: np.ndarray, least: int, most: int) -> np.ndarray:
-    """Up to ``most`` of the most frequent keys, ascending: those with at least a quarter of the top count."""
+    """Up to ``most`` of the most frequent keys, ascending: those with at least an eighth of the top count."""
     ordered = np.sort(keys)
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.append(starts, len(ordered)))
     top = int(counts.max())
     if top < least:
         return keys[:0]
-    found = np.flatnonzero(counts >= max(least, top // 4))
+    found = np.flatnonzero(counts >= max(least, top // 8))
     if len(found) > most:
         found = np.sort(found[np.argsort(-counts[found], kind="stable")[:most]])
     return ordered[starts[found]]
@@ -62,9 +62,16 @@ def every_other(at: np.ndarray) -> np.ndarray:
     return at[(order - np.maximum.accumulate(np.where(new, order, 0))) % 2 == 0]
 
 
-def re_pair(ids: np.ndarray, least: int = 24) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def re_pair(ids: np.ndarray, least: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Terminals, rules (k x 2) and remaining symbols of a block; pairs rarer than ``least`` stay."""
-    terminals, seq = np.unique(ids, return_inverse=True)
+    top = int(ids.max(initial=0))
+    if top < 1 << 22:
+        terminals = np.flatnonzero(np.bincount(ids, minlength=top + 1))
+        place = np.zeros(top + 1, np.uint32)
+        place[terminals] = np.arange(len(terminals))
+        seq = place[ids]
+    else:
+        terminals, seq = np.unique(ids, return_inverse=True)
     # two-byte symbols as long as they last, so that a pair is one 32-bit key
     narrow = len(terminals) <= 60_000
     kind, pair, bits = (np.uint16, np.uint32, 16) if narrow else (np.uint32, np.uint64, 32)
@@ -82,9 +89,10 @@ def re_pair(ids: np.ndarray, least: int = 24) -> tuple[np.ndarray, np.ndarray, n
         lefts[chosen >> pair(bits)] = True
         rights[chosen & pair((1 << bits) - 1)] = True
         at = np.flatnonzero(lefts[seq[:-1]] & rights[seq[1:]])
-        slot = np.minimum(np.searchsorted(chosen, keys[at]), len(chosen) - 1)
-        at = every_other(at[chosen[slot] == keys[at]])
-        seq[at] = (len(terminals) + n + np.searchsorted(chosen, keys[at])).astype(kind)
+        slots = np.zeros(len(seq), np.uint32)
+        slots[at] = np.minimum(np.searchsorted(chosen, keys[at]), len(chosen) - 1)
+        at = every_other(at[chosen[slots[at]] == keys[at]])
+        seq[at] = (len(terminals) + n + slots[at]).astype(kind)
         left = np.ones(len(seq), bool)
         left[at + 1] = False
         seq = seq[left]
@@ -123,7 +131,7 @@ class Block:
         self.lengths = np.concatenate((np.ones(n_terminals, np.int64), lengths.astype(np.int64)))
         self.ends = np.cumsum(self.lengths[self.symbols])
 
-    def expand(self, symbols: np.ndarray) -> np.ndarray:
+    def opened(self, symbols: np.ndarray) -> np.ndarray:
         """The ids of some symbols; every round opens all nonterminals by one rule."""
         n = len(self.terminals)
         while len(open_at := np.flatnonzero(symbols >= n)):
@@ -135,6 +143,16 @@ class Block:
             symbols[at], symbols[at + 1] = rules[:, 0], rules[:, 1]
         return self.terminals[symbols]
 
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids of some symbols, each distinct one opened once."""
+        kinds = np.flatnonzero(np.bincount(symbols, minlength=len(self.lengths)))
+        widths = self.lengths[kinds]
+        starts = np.zeros(len(self.lengths), np.int64)
+        starts[kinds] = np.cumsum(widths) - widths
+        flat = self.opened(kinds.astype(self.symbols.dtype))
+        many = self.lengths[symbols]
+        return flat[np.repeat(starts[symbols] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
+
     def between(self, start: int, stop: int) -> np.ndarray:
         """The ids from ``start`` to before ``stop``."""
         if stop <= start:
@@ -185,7 +203,7 @@ class ShardWriter:
             self._begin()
 
 
-def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None, block_ids: int = 1_000_000) -> None:
+def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None, block_ids: int = 500_000) -> None:
     """Write the ids of all texts, each with ``end_id``, in ascending order of document ids to ``folder``."""
     ranges = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text")).withColumn("h", F.xxhash64("text"))

@@ -28,7 +28,8 @@ context by the document too: its c(h) alpha(h) is sent to all tasks. Words are 6
 
 Null texts count as empty and hold the end token alone; a null id's text of the digest is empty;
 rows that repeat an id and text are scored and counted each; an empty table gives no rows; without
-training tokens every word is unseen. Extra columns are ignored.
+training tokens every word is unseen. Extra columns are ignored. Texts of any length are scored whole: a
+block holds one text at least, so a task holds the longest text's tokens.
 """
 
 from __future__ import annotations

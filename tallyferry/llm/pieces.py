@@ -9,19 +9,23 @@ libraries encode each distinct piece once per worker, whatever the number and le
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from tallyferry.llm.bpe import Generations, byte_signs
+from tallyferry.llm.bpe import WORDS, byte_signs
 
 BLANK_BETWEEN = re.compile(r"(?<! ) (?=\S)")
 WORDS_BETWEEN = re.compile(r"(?<=\w) (?=\w)")
 OTHER_BLANK = re.compile(r" (?:\s|\Z)")
 MARK = "▁"
+END_SIGNS = {".", ",", ";", ":", "!", "?"}
 
 
 def cut(text: str) -> list[str]:
@@ -74,28 +78,37 @@ def marks_lead(model) -> bool:
     return not any(MARK in model.id_to_piece(i).lstrip(MARK) for i in range(model.get_piece_size()))
 
 
-class PieceCache(Generations):
-    """Values by piece; pieces of over ``longest`` characters are held until the next call only."""
+class PieceCache:
+    """Values by piece in two generations: at most ``most`` young ones and as many old ones; pieces of over ``longest`` characters are not kept."""
 
     def __init__(self, most: int, longest: int = 64) -> None:
-        super().__init__(most)
-        self.longest, self.passing = longest, []
-
-    def age(self) -> None:
-        for k in self.passing:
-            self.young.pop(k, None)
-        super().age()
-
-
-def learn(cache: PieceCache, keys: Iterable[str], make: Callable[[list[str]], Iterable], at_once: int = 20_000) -> Callable:
-    """Let ``make`` give the values of the keys that ``cache`` lacks; returns the getter for all of them."""
-    cache.age()
-    new = cache.missing(keys)
-    cache.passing = [k for k in new if len(k) > cache.longest]
-    for k in range(0, len(new), at_once):
-        own = new[k : k + at_once]
-        cache.young.update(zip(own, make(own), strict=True))
-    return cache.young.__getitem__
+        self.most, self.longest = most, longest
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def values(self, keys: list[str], make: Callable[[list[str]], Iterable], at_once: int = 20_000) -> list:
+        """The values of ``keys``; ``make`` gives those that are lacking."""
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        found = list(map(young.get, keys))
+        gaps = [i for i, v in enumerate(found) if v is None]
+        asked: dict = {}
+        for i in gaps:
+            k = keys[i]
+            if (v := old.get(k)) is None:
+                asked[k] = None
+            else:
+                young[k] = found[i] = v
+        new = list(asked)
+        for k in range(0, len(new), at_once):
+            part = new[k : k + at_once]
+            asked.update(zip(part, make(part), strict=True))
+        young.update(asked if all(len(k) <= self.longest for k in new) else {k: v for k, v in asked.items() if len(k) <= self.longest})
+        for i in gaps:
+            if found[i] is None:
+                found[i] = asked[keys[i]]
+        return found
 
 
 def token_bytes(model) -> dict[int, bytes]:
@@ -105,60 +118,95 @@ def token_bytes(model) -> dict[int, bytes]:
     return {i: special.get(i) or bytes(signs[c] for c in t) for t, i in model.get_vocab().items()}
 
 
+def words_after_blank(piece: str) -> Sequence[str]:
+    """The words of the byte-level pattern in a blank and ``piece``."""
+    if piece.isalpha():  # letters are one word, a point or comma behind them another
+        return (" " + piece,)
+    if piece[-1:] in END_SIGNS and piece[:-1].isalpha():
+        return (" " + piece[:-1], piece[-1])
+    return WORDS.findall(" " + piece)
+
+
 class PieceEncoder:
     """The ids that the library gives whole texts, as little-endian unsigned 32-bit integers.
 
-    New pieces are encoded as one text and told apart by the lengths of their bytes. Without ``plain``
+    Pieces are split by the vocabulary's own pattern; the library's model encodes the distinct words that are new to
+    the worker, many in one call, and they are told apart by the lengths of their bytes. Without ``plain``
     special strings inside texts are special tokens, as is the library's default.
     """
 
-    def __init__(self, path: str, cache_entries: int = 250_000, plain: bool = False) -> None:
+    def __init__(self, path: str, cache_entries: int = 300_000, plain: bool = False) -> None:
+        from tokenizers import Tokenizer
+
         self.model = byte_level(path, plain)
+        self.bare = Tokenizer(self.model.model)
+        self.signs = str.maketrans({chr(b): c for c, b in byte_signs().items()})
         self.bytes_of = token_bytes(self.model)
         self.widths = np.zeros(max(self.bytes_of) + 1, np.int64)
         for i, b in self.bytes_of.items():
             self.widths[i] = len(b)
         self.special = [] if plain else [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.after_blank, self.first = PieceCache(cache_entries), PieceCache(cache_entries // 10)
-
-    def one_by_one(self, texts: list[str]) -> list[bytes]:
-        return [ids_bytes(e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def together(self, words: list[str]) -> list[bytes]:
-        """The ids of each word after a blank."""
-        # white space at a word's ends would join that of its neighbours
-        odd = [k for k, w in enumerate(words) if not w or w[-1] == " " or w[0].isspace()]
-        if odd:
-            apart = {*odd}
-            rest = iter(self.together([w for k, w in enumerate(words) if k not in apart]))
-            own = iter(self.one_by_one([" " + words[k] for k in odd]))
-            return [next(own if k in apart else rest) for k in range(len(words))]
-        if not words:
-            return []
-        ids = np.array(self.model.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.cumsum([1 + len(w.encode()) for w in words])
-        bounds = np.searchsorted(np.cumsum(self.widths[ids]), ends).tolist()
-        coded, out, at = ids.tobytes(), [], 0
-        for b in bounds:
-            out.append(coded[at : 4 * b + 4])
-            at = 4 * b + 4
-        return out
+        self.words = PieceCache(cache_entries)
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of the pattern, each on its own."""
+        laid = "".join(words).encode().decode("latin-1").translate(self.signs)
+        ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+        cuts = [0, *ends.tolist()]
+        ids = np.array(self.bare.encode_batch_fast([[laid[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        bounds = [0, *(4 * (np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1)).tolist()]
+        coded = ids.tobytes()
+        return [coded[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def pooled(self, split: list[Sequence[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces (given as lists of words) end to end, and how many each has."""
+        values = self.words.values([w for own in split for w in own], self.encode_words, 2000)
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        last = np.cumsum([len(own) for own in split])
+        upto = np.concatenate(([0], np.cumsum(lengths)))[np.concatenate(([0], last))]
+        return np.frombuffer(b"".join(values), "<u4"), np.diff(upto)
+
+    def together(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece after a blank."""
+        ids, widths = self.pooled([words_after_blank(p) for p in pieces])
+        bounds, coded = [0, *(4 * np.cumsum(widths)).tolist()], ids.tobytes()
+        return [coded[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         # a special token ends the white space before it: such texts go to the library as they are
-        plain = [i for i, t in enumerate(texts) if not any(s in t for s in self.special)]
-        if len(plain) < len(texts):
-            others = sorted({*range(len(texts))} - {*plain})
-            for i, ids in zip(others, self.one_by_one([texts[i] for i in others]), strict=True):
-                out[i] = ids
-        pieces = [cut(texts[i]) for i in plain]
-        first = learn(self.first, {p[0] for p in pieces}, self.one_by_one)
-        rest = learn(self.after_blank, set().union(*[p[1:] for p in pieces]), self.together, 2000)
-        for i, p in zip(plain, pieces, strict=True):
-            out[i] = b"".join([first(p[0]), *map(rest, p[1:])])
+        special = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        if special:
+            for i, e in zip(special, self.model.encode_batch_fast([texts[i] for i in special], add_special_tokens=False), strict=True):
+                out[i] = ids_bytes(e.ids)
+        rest = sorted({*range(len(texts))} - {*special})
+        odd = [i for i in rest if OTHER_BLANK.search(texts[i])]
+        for i in odd:
+            first, *later = BLANK_BETWEEN.split(texts[i])
+            out[i] = self.pooled([WORDS.findall(first), *map(words_after_blank, later)])[0].tobytes()
+        plain = sorted({*rest} - {*odd})
+        for i, ids in zip(plain, self._at_each_blank([texts[i] for i in plain]), strict=True):
+            out[i] = ids
         return out
 
+    def _at_each_blank(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of texts whose every blank is a cut: split and told apart as Arrow columns, put together as arrays."""
+        if not texts:
+            return
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        pieces, used = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
+        heads = [WORDS.findall(pieces[k]) for k in used[offsets[:-1]].tolist()]
+        used[offsets[:-1]] = len(pieces) + np.arange(len(texts))
+        pool, widths = self.pooled([*map(words_after_blank, pieces), *heads])
+        many = widths[used]
+        ends = np.cumsum(many)
+        ids = pool[np.repeat((np.cumsum(widths) - widths)[used] - (ends - many), many) + np.arange(int(ends[-1]))]
+        bounds = [0, *ends[offsets[1:] - 1].tolist()]
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield ids[a:b].tobytes()
+
     def parts(self, texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, bytes]]:
         """Index and ids of each text in turn; those of a long text come in several parts."""
         coded = self.encode([t if len(t) <= most else "" for t in texts])
@@ -172,5 +220,7 @@ class PieceEncoder:
 
 @functools.lru_cache(maxsize=2)
 def encoder_of(path: str) -> PieceEncoder:
-    """One encoder for all tasks of a Python worker."""
-    return PieceEncoder(path)
+    """One encoder for all tasks of a Python worker; its caches hold no cycles, so collections pass them by."""
+    encoder = PieceEncoder(path)
+    gc.freeze()
+    return encoder

@@ -30,7 +30,8 @@ count); labels with nulls are ignored. Without any label, or with labels of one
 document gets the prior (1 without labels), and is kept if that reaches the threshold. Null or empty
 texts are scored by their metadata and an empty bag; null ids have no label; repeated rows get
 equal scores; an empty table gives no rows; extra columns are ignored by :func:`score_documents`
-and kept by :func:`keep_good`.
+and kept by :func:`keep_good`. Texts of any length are read whole and count as bags, so a task holds
+one text's words.
 """
 
 from __future__ import annotations

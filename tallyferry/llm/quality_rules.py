@@ -7,7 +7,8 @@ of moments, and a host whose shrunk rate passes ``host_limit`` loses its documen
 DataFrame functions; repeated windows are found inside the row, without a shuffle of words.
 
 Defined results: a null or blank text has no words and fails ``short``; a null host is the host
-``''``; repeated rows are judged one by one; an empty table gives an empty result; columns of the
+``''``; repeated rows are judged one by one; an empty table gives an empty result; texts of any
+length are measured whole inside their row; hosts at the limit itself keep their documents; columns of the
 input other than the id, text and host are ignored by :func:`document_rules` and kept by
 :func:`keep_good`, whose helper columns start with ``__qr_``.
 """

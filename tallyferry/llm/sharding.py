@@ -10,7 +10,9 @@ Slots are dense within a shard: rows are numbered inside ``salts`` slices of a s
 behind the slices before; no task holds a shard. Rows are ordered by id and text hash, so a task that
 is run again gives the same slots (rows alike in both are alike in all).
 A null text has no bytes and belongs with the empty text; repeated rows get slots of their own; a
-null id is an ordinary row; an empty table gives no rows; extra columns are ignored.
+null id is an ordinary row; an empty table gives no rows; extra columns are ignored. Groups of equal
+size are scheduled in the order of their keys, and equal loads take the lower shard; texts of any
+length count by their bytes alone.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ is expanded into all its pairs. Nothing is capped.
 
 Null texts count as empty; null ids keep a row each and take the smallest id of their component
 (null if it has none); repeated rows share a fingerprint; an empty table gives no rows; extra
-columns are ignored by :func:`simhash_components` and kept by :func:`keep_one_per_group`.
+columns are ignored by :func:`simhash_components` and kept by :func:`keep_one_per_group`. Texts of any length are
+read whole; a task holds one text's shingle hashes.
 """
 
 from __future__ import annotations

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyferry.llm.bpe import blocks_of
-from tallyferry.llm.pieces import MARK, PieceCache, PieceEncoder, cut_after_blank, ids_bytes, learn, marks_lead, segments, word_marked
+from tallyferry.llm.pieces import MARK, PieceCache, PieceEncoder, cut_after_blank, ids_bytes, marks_lead, segments, word_marked
 from tallyferry.llm.shared import in_python, remove, shared_dir, text_or_empty
 
 BUCKETS = 16
@@ -83,47 +83,69 @@ class Aligner:
     for pieces whose bytes the second tokenizer changes.
     """
 
-    def __init__(self, byte_path: str, piece_path: str, cache_entries: int = 60_000) -> None:
-        self.first, self.second = PieceEncoder(byte_path, 1000, plain=True), word_marked(piece_path)
+    def __init__(self, byte_path: str, piece_path: str, cache_entries: int = 120_000) -> None:
+        self.first, self.second = PieceEncoder(byte_path, 100_000, plain=True), word_marked(piece_path)
         self.cuttable = marks_lead(self.second)
         model = self.second
         self.bytes_of = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(MARK, " ").encode() for i in range(model.get_piece_size())]
         self.widths = np.array([len(x) for x in self.bytes_of], np.int64)
         self.known = PieceCache(cache_entries)
+        # an id as text with what follows it: A inside and at the end of its group, B likewise
+        n_a, n_b = len(self.first.widths), len(self.bytes_of)
+        self.signs = [f"{i}{end}" for n, ends in ((n_a, ",|"), (n_b, ",;")) for end in ends for i in range(n)]
+        self.sign_at = (0, n_a, 2 * n_a, 2 * n_a + n_b)
 
     def cut(self, text: str) -> list[str]:
         return cut_after_blank(text) if self.cuttable else [text]
 
     def second_ids(self, words: list[str]) -> list[bytes]:
         """The second tokenizer's ids of each word after a blank, which it adds; nothing if their bytes are not the word's."""
-        out = []
-        for w, ids in zip(words, self.second.encode(words, num_threads=1), strict=True):
-            same = b"".join([self.bytes_of[i] for i in ids]) == b" " + w.encode()
-            out.append(ids_bytes(ids) if same else b"")
-        return out
+        ids = self.second.encode(words, num_threads=1)
+        get = self.bytes_of.__getitem__
+        if b"".join([get(i) for own in ids for i in own]) == (" " + " ".join(words)).encode() and self._ends(ids) == [1 + len(w.encode()) for w in words]:
+            return list(map(ids_bytes, ids))
+        return [ids_bytes(own) if b"".join(map(get, own)) == b" " + w.encode() else b"" for w, own in zip(words, ids, strict=True)]
+
+    def _ends(self, ids: list[list[int]]) -> list[int]:
+        """Bytes of each word's tokens; no word is without tokens."""
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        if not sizes.all():
+            return []
+        flat = np.fromiter((i for own in ids for i in own), np.int64, int(sizes.sum()))
+        return np.add.reduceat(self.widths[flat], np.cumsum(sizes) - sizes).tolist()
+
+    def group_texts(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> list[str]:
+        """Each token of either side as text with its separator, in the order of groups, A before B."""
+        of_a, of_b = (np.searchsorted(g, np.arange(len(x)), "right") for g, x in ((group_a, a), (group_b, b)))
+        order = np.empty(len(a) + len(b), np.int64)
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[group_a - 1] = last_b[group_b - 1] = True
+        at = self.sign_at
+        order[np.arange(len(a)) + np.append(0, group_b)[of_a]] = a + np.where(last_a, at[1], at[0])
+        order[np.arange(len(b)) + group_a[of_b]] = b + np.where(last_b, at[3], at[2])
+        return list(map(self.signs.__getitem__, order.tolist()))
 
     def values(self, words: list[str]) -> list[tuple]:
         coded_a, coded_b = self.first.together(words), self.second_ids(words)
         good = [k for k, ids in enumerate(coded_b) if ids]
         out: list[tuple] = [(0, 0, 0, b"", None)] * len(words)
-        a = np.frombuffer(b"".join([coded_a[k] for k in good]), "<u4")
-        b = np.frombuffer(b"".join([coded_b[k] for k in good]), "<u4")
+        if not good:
+            return out
+        a = np.frombuffer(b"".join([coded_a[k] for k in good]), "<u4").astype(np.int64)
+        b = np.frombuffer(b"".join([coded_b[k] for k in good]), "<u4").astype(np.int64)
         of_a, of_b, both = align(np.cumsum(self.first.widths[a]), np.cumsum(self.widths[b]))
-        pairs = a[of_a].astype(np.int64) << 32 | b[of_b]
+        data = (a[of_a] << 32 | b[of_b]).tobytes()
         # groups end at the same links in all: each takes the tokens since the last one
         group_a, group_b = of_a[both] + 1, of_b[both] + 1
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        texts, i, j = [], 0, 0
-        for k, m in zip(group_a.tolist(), group_b.tolist(), strict=True):
-            texts.append(",".join(names_a[i:k]) + "|" + ",".join(names_b[j:m]))
-            i, j = k, m
+        texts = self.group_texts(a, b, group_a, group_b)
         n_a, n_b = np.array([len(coded_a[k]) // 4 for k in good], np.int64), np.array([len(coded_b[k]) // 4 for k in good], np.int64)
-        group_ends = np.searchsorted(group_a, np.cumsum(n_a)) + 1
-        link_ends = np.searchsorted(of_a, np.cumsum(n_a))
-        data, g, p = pairs.tobytes(), 0, 0
-        for k, na, nb, ge, le in zip(good, n_a.tolist(), n_b.tolist(), group_ends.tolist(), link_ends.tolist(), strict=True):
-            out[k] = (na, nb, ge - g, data[8 * p : 8 * le], ";".join(texts[g:ge]))
-            g, p = ge, le
+        ends_a = np.cumsum(n_a)
+        groups = np.diff(np.searchsorted(group_a, ends_a) + 1, prepend=0)
+        links, tokens = (8 * np.searchsorted(of_a, ends_a)).tolist(), np.cumsum(n_a + n_b).tolist()
+        p = t = 0
+        for k, na, nb, ng, link, token in zip(good, n_a.tolist(), n_b.tolist(), groups.tolist(), links, tokens, strict=True):
+            out[k] = (na, nb, ng, data[p:link], "".join(texts[t:token])[:-1])
+            p, t = link, token
         return out
 
 
@@ -143,21 +165,21 @@ class Part:
 
     def __init__(self, aligner: Aligner, pieces: list[list[str]]) -> None:
         words = list(set().union(*pieces))
-        value = learn(aligner.known, words, aligner.values, 5000)
-        values = [value(w) for w in words]
+        values = aligner.known.values(words, aligner.values, 5000)
         place = dict(zip(words, range(len(words)), strict=True)).__getitem__
         n = len(pieces)
         sizes = np.array([len(p) for p in pieces], np.int64)
         used = np.fromiter((x for p in pieces for x in map(place, p)), np.int64, int(sizes.sum()))
         doc = np.repeat(np.arange(n), sizes)
-        figures = np.array([v[:3] for v in values], np.int64).reshape(-1, 3)
-        spoilt = np.array([v[4] is None for v in values], bool)
+        *counts, linked, groups = zip(*values, strict=True) if values else [()] * 5
+        figures = np.array(counts, np.int64)
+        spoilt = np.array([g is None for g in groups], bool)
         self.good = np.bincount(doc, spoilt[used], n) == 0
-        self.sums = np.stack([np.bincount(doc, figures[used, k], n).astype(np.int64) for k in range(3)], 1)
-        self.texts = [";".join([values[k][4] for k in used[e - s : e].tolist()]) if ok else "" for ok, s, e in zip(self.good, sizes, np.cumsum(sizes), strict=True)]
+        self.sums = np.stack([np.bincount(doc, figures[k, used], n).astype(np.int64) for k in range(3)], 1)
+        self.texts = [";".join(map(groups.__getitem__, used[e - s : e].tolist())) if ok else "" for ok, s, e in zip(self.good, sizes, np.cumsum(sizes), strict=True)]
         # the pairs of each word, then those of each text, with how often
-        widths = np.array([len(v[3]) // 8 for v in values], np.int64)
-        pairs, named = np.unique(np.frombuffer(b"".join([v[3] for v in values]), np.int64), return_inverse=True)
+        widths = np.fromiter(map(len, linked), np.int64, len(linked)) // 8
+        pairs, named = np.unique(np.frombuffer(b"".join(linked), np.int64), return_inverse=True)
         keep = self.good[doc]
         used, doc = used[keep], doc[keep]
         many = widths[used]

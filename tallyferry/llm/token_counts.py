@@ -5,24 +5,26 @@ a Parquet table of (tokenizer, digest, n_tokens) in the shared folder. A run joi
 all documents to the cache, encodes one text for each distinct digest that misses, appends those
 counts, and joins again. Copies, in one run or over many, are encoded once.
 
-Normalisation must not change a count: a null text becomes empty and runs of ASCII white space
-become one blank. The tokenizer does the same before it looks at words, so texts that share a
-digest share their tokens. Words are counted on their own and kept in a table of bounded size per
-task: no token of these tokenizers spans white space.
+Normalisation must not change a count: a null text becomes empty. Where the vocabulary's own splitter
+drops white space (:func:`drops_white_space`), runs of ASCII white space become one blank, so texts that
+share a digest share their tokens, and words are counted on their own and kept in a table of bounded
+size per task, as no token spans white space. All other vocabularies get whole texts as they are.
 
 The only wide row that is shuffled is the text of a miss, once, with copies dropped on the map
 side; the digests of a group of copies that fills a third of the table meet as one partial row per
 task. Ids may be null or repeated (each row gets its count); an empty table gives no rows and
-leaves the cache as it is; extra columns are ignored. A failed run may leave counts of earlier
+leaves the cache as it is; extra columns are ignored; texts of any length are counted whole. A failed run may leave counts of earlier
 batches in the cache: they are right, and later runs use them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +62,27 @@ def batch_counter(path: str) -> Callable[[list[str]], list[int]]:
     return lambda texts: [len(e.ids) for e in model.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
 
+def drops_white_space(path: str) -> bool:
+    """Whether a vocabulary splits texts at white space and has no token for it.
+
+    So it is where its first splitter removes all but the matches of a pattern, and no match holds
+    white space of any kind, alone or beside letters, digits and signs.
+    """
+    if path.endswith(".model"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        step = json.load(f).get("pre_tokenizer") or {}
+    while step.get("type") == "Sequence":
+        step = (step.get("pretokenizers") or [{}])[0]
+    if step.get("type") == "WhitespaceSplit":
+        return True
+    if step.get("type") != "Split" or step.get("behavior") != "Removed" or not step.get("invert"):
+        return False
+    pattern = step["pattern"].get("Regex") or regex.escape(step["pattern"].get("String", ""))
+    probes = [f"{a}{w}{b}" for w in (" ", "\t", "\n", "\r\n", "  ", "\x0b", "\x0c") for a in ("", "a", "1", ".", "'") for b in ("", "b", "2", ",", "s")]
+    return not any(c.isspace() for p in probes for m in regex.finditer(pattern, p) for c in m[0])
+
+
 def normalised(text: Column) -> Column:
     return F.regexp_replace(text, f"[{BLANK}]+", " ")
 
@@ -101,8 +124,7 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048, doc_
     spark = docs.sparkSession
     version = tokenizer_version(path)
     t = text_or_empty(text)
-    # sentencepiece keeps white space in its own way: its texts are keyed and counted as they are
-    by_word = not path.endswith(".model")
+    by_word = drops_white_space(path)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.octet_length(t).cast("long").alias("n_bytes"), (normalised(t) if by_word else t).alias("content"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("content", 256)))
     misses = rows.select("digest", "content").join(read_cache(spark, cache, version), "digest", "left_anti").dropDuplicates(["digest"])

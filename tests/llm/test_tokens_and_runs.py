@@ -221,3 +221,19 @@ def test_planted_words_follow_the_rule():
             p = 1 + (n - a) // (3 + g % 8)
             want = [words[k] if k < a else words[a + (k - a) % p] for k in range(n)]
         assert planted(words, i) == want
+
+
+# ---- counts
+
+
+def test_counts_equal_the_library_for_every_vocabulary(spark, tmp_path):
+    from tallyferry.llm import token_counts
+
+    texts = [*TEXTS, "two\t\twords", "two words"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"):
+        path = vocabulary(name)
+        want = dict(enumerate(token_counts.batch_counter(path)([t or "" for t in texts])))
+        for _ in range(2):  # the second run finds all in its cache
+            got = token_counts.count_tokens(table(spark, texts), path, f"file://{tmp_path}/{name}").collect()
+            assert {r["doc_id"]: r["n_tokens"] for r in got} == want
+    assert [token_counts.drops_white_space(vocabulary(n)) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model")] == [False, True, False]
