@@ -17,6 +17,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Collection, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -76,6 +77,9 @@ class Place:
         known = [c for c in self.commits if c["fields"]]
         return max(known, key=lambda c: c["version"])["fields"] if known else None
 
+    def after(self, *rows: Row) -> Place:
+        return Place((*self.commits, *rows))
+
     def of_run(self, run_id: str) -> list[Row]:
         return [c for c in self.commits if c["run_id"] == run_id]
 
@@ -100,9 +104,11 @@ class Store:
     def commits(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.at("commits"), f"{COMMITS}, {PLACES}")
 
-    def commit(self, spark: SparkSession, row: dict) -> None:
+    def commit(self, spark: SparkSession, row: dict) -> Row:
         names = [c.split()[0] for c in f"{COMMITS}, {PLACES}".split(", ")]
-        spark.createDataFrame([tuple(row.get(n, 0 if n in COUNTS else None) for n in names)], f"{COMMITS}, {PLACES}").coalesce(1).write.mode("append").parquet(self.at("commits"))
+        full = Row(**{n: row.get(n, 0 if n in COUNTS else None) for n in names})
+        spark.createDataFrame([tuple(full)], f"{COMMITS}, {PLACES}").coalesce(1).write.mode("append").parquet(self.at("commits"))
+        return full
 
     def place(self, spark: SparkSession, entity: str) -> Place:
         """One row for each batch of the entity so far."""
@@ -238,21 +244,27 @@ def _new_rows(built: DataFrame, ids: DataFrame | None) -> DataFrame:
     return rows.withColumn("__known", known).drop("__fk", "__f", "__m", "__row")
 
 
-def apply_batch(
-    store: Store, entity: Entity, source: DataFrame, run_id: str, batch_id: int = 0, on_error: str = "record", limit: int = 0, after_key: object = None, run_time: str | None = None,
-    upto: object = None, done: bool | None = None, grow: bool = False, place: Place | None = None,
-) -> dict[str, int]:
+def apply_batch(store: Store, entity: Entity, source: DataFrame, run_id: str, batch_id: int = 0, on_error: str = "record", limit: int = 0, after_key: object = None, run_time: str | None = None, grow: bool = False) -> dict[str, int]:
     """Write one batch of source rows; the counts by outcome. A batch that is committed does nothing.
 
-    The batch is the rows behind ``after_key`` and up to ``upto``, the first ``limit`` of them. Rows
-    that break a constraint of the entity are errors of stage ``write``; the others are written.
+    The batch is the rows behind ``after_key``, the first ``limit`` of them. Rows that break a
+    constraint of the entity are errors of stage ``write``; the others are written.
     """
-    spark, key = source.sparkSession, entity.target_key
-    place = place or store.place(spark, entity.name)
+    place = store.place(source.sparkSession, entity.name)
     for c in place.of_run(run_id):
         if c["batch_id"] == batch_id:
             return {n: c[n] for n in COUNTS}
     check_structure(store, entity, source, grow, place)
+    row = _write_batch(store, entity, source, run_id, place, batch_id, on_error, limit, after_key, run_time)
+    return {n: row[n] for n in COUNTS}
+
+
+def _write_batch(
+    store: Store, entity: Entity, source: DataFrame, run_id: str, place: Place, batch_id: int, on_error: str = "record", limit: int = 0, after_key: object = None, run_time: str | None = None,
+    upto: object = None, done: bool | None = None,
+) -> Row:
+    """One batch, the rows behind ``after_key`` and up to ``upto``; its commit."""
+    spark, key = source.sparkSession, entity.target_key
     version = place.last + 1
     todo = _past(source.where(entity.where) if entity.where else source, entity.source_key, after_key, upto, nulls=after_key is None)
     last_key = upto
@@ -299,29 +311,36 @@ def apply_batch(
     judged = durable(judged)
     changes = F.col("__first") & F.col("__action").isin("inserted", "updated")
     kept_ids = F.col("__action") != "failed"
-    counts = judged.agg(
+    refused = judged.where("__action = 'failed'").select(F.col("__key").alias("source_id"), F.lit("write").alias("stage"), F.col("__message").alias("message"))
+    changed = judged.where(changes)
+    entry = W.journal(changed, run_id, entity.name, key).drop("entity")
+    own = lambda c: F.col(f"`{c}`") if c in columns else F.lit(None).cast(types[c])
+    keep = lambda c: own(c) if c in mapped else F.when(F.col("__action") == "updated", F.col(f"__prior.`{c}`")).otherwise(own(c))
+    ids = judged.where(kept_ids).select(F.col("__key").alias("source_id"), F.col(key).cast("string").alias("target_id"), F.lit(run_id).alias("run_id"))
+    summed = judged.agg(
         *[F.count(F.when(F.col("__action") == a, 1)).alias(a) for a in COUNTS[:4]],
         F.collect_set(F.when(changes, bucket_of(F.col(key), store.n_buckets))).alias("rows_in"),
         F.collect_set(F.when(kept_ids, bucket_of(F.col("__key"), store.n_buckets))).alias("ids_in"),
         F.max(F.when(changes, F.col(key).try_cast("long"))).alias("max_key"),
-    ).first().asDict()
-    refused = judged.where("__action = 'failed'").select(F.col("__key").alias("source_id"), F.lit("write").alias("stage"), F.col("__message").alias("message"))
-    if seen["failed"] + counts["failed"]:
-        store.put(errors.unionByName(refused).withColumn("run_id", F.lit(run_id)), "errors", entity.name, version)
+    )
+    # the folders of a version depend on the kept rows alone, not on each other
+    with ThreadPoolExecutor(4) as pool:
+        counting = pool.submit(lambda: summed.first().asDict())
+        writing = [
+            pool.submit(store.put, errors.unionByName(refused).withColumn("run_id", F.lit(run_id)), "errors", entity.name, version),
+            pool.submit(store.put, entry.withColumn("target_id", F.col("target_id").cast("string")), "journal", entity.name, version),
+            pool.submit(store.put, changed.select(*[keep(c).alias(c) for c in types], F.lit(False).alias("__deleted")), "rows", entity.name, version, key),
+            pool.submit(store.put, ids, "ids", entity.name, version, "source_id"),
+        ]
+        for w in writing:
+            w.result()
+        counts = counting.result()
     if on_error == "abort" and counts["failed"]:
         done = False
-    changed = judged.where(changes)
-    entry = W.journal(changed, run_id, entity.name, key).drop("entity")
-    store.put(entry.withColumn("target_id", F.col("target_id").cast("string")), "journal", entity.name, version)
-    own = lambda c: F.col(f"`{c}`") if c in columns else F.lit(None).cast(types[c])
-    keep = lambda c: own(c) if c in mapped else F.when(F.col("__action") == "updated", F.col(f"__prior.`{c}`")).otherwise(own(c))
-    store.put(changed.select(*[keep(c).alias(c) for c in types], F.lit(False).alias("__deleted")), "rows", entity.name, version, key)
-    store.put(judged.where(kept_ids).select(F.col("__key").alias("source_id"), F.col(key).cast("string").alias("target_id"), F.lit(run_id).alias("run_id")), "ids", entity.name, version, "source_id")
     counts["failed"] += seen["failed"]
     counts["known"] = seen["known"]
     row = {"entity": entity.name, "run_id": run_id, "batch_id": batch_id, "version": version, "full": False, "last_key": None if last_key is None else str(last_key), "done": done, "fields": fields, "n_buckets": store.n_buckets}
-    store.commit(spark, row | counts | {"max_key": max(max_key, counts["max_key"] or 0)})
-    return {n: counts[n] for n in COUNTS}
+    return store.commit(spark, row | counts | {"max_key": max(max_key, counts["max_key"] or 0)})
 
 
 def apply_entity(store: Store, entity: Entity, source: DataFrame, run_id: str, batch_rows: int = 1_000_000, limit: int = 0, should_stop: Callable[[], bool] | None = None, **settings) -> str:
@@ -335,25 +354,32 @@ def apply_entity(store: Store, entity: Entity, source: DataFrame, run_id: str, b
     own = sorted(place.of_run(run_id), key=lambda c: c["batch_id"])
     if own and own[-1]["done"]:
         return "done"
-    check_structure(store, entity, source, settings.get("grow", False), place)
+    check_structure(store, entity, source, settings.pop("grow", False), place)
     after, batch = (own[-1]["last_key"], own[-1]["batch_id"] + 1) if own else (None, 0)
     processed = sum(c[n] for c in own for n in COUNTS)
     rows = source.where(entity.where) if entity.where else source
     for upto in key_ranges(_past(rows, entity.source_key, after), entity.source_key, batch_rows):
         if limit and processed >= limit:
             return "limited"
-        place = store.place(spark, entity.name)
-        counts = apply_batch(store, entity, source, run_id, batch, limit=limit - processed if limit else 0, after_key=after, upto=upto, done=upto is None, place=place, **settings)
-        processed += sum(counts.values())
+        row = _write_batch(store, entity, source, run_id, place, batch, limit=limit - processed if limit else 0, after_key=after, upto=upto, done=upto is None, **settings)
+        place = place.after(row)
+        processed += sum(row[n] for n in COUNTS)
         after, batch = upto, batch + 1
-        if sum(1 for _ in place.live) + 1 > store.compact_after:
-            compact(store, entity, None, spark)
+        if len(place.live) > store.compact_after:
+            place = place.after(compact(store, entity, None, spark, place=place))
         if upto is not None and ((should_stop and should_stop()) or stop_requested(store, spark, run_id)):
             return "stopped"
-        if settings.get("on_error") == "abort" and counts["failed"]:
+        if settings.get("on_error") == "abort" and row["failed"]:
             return "failed"
-    last = max(store.place(spark, entity.name).of_run(run_id), key=lambda c: c["batch_id"])
-    return "done" if last["done"] else "limited"
+    return "done" if row["done"] else "limited"
+
+
+def run_history(store: Store, spark: SparkSession) -> DataFrame:
+    """run_id, mode, status, entities that are done, and their written and failed rows: one row per run, by the commits."""
+    done = F.count_distinct(F.when(F.col("done"), F.col("entity")))
+    sums = store.commits(spark).groupBy("run_id").agg(done.alias("entities"), F.sum(F.col("inserted") + F.col("updated")).alias("written"), F.sum("failed").alias("failed"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return store.runs(spark).join(sums, "run_id", "left").select("run_id", "mode", "status", zero("entities"), zero("written"), zero("failed"))
 
 
 def request_stop(store: Store, spark: SparkSession, run_id: str) -> None:
@@ -385,7 +411,7 @@ def apply(store: Store, entities: Sequence[Entity], sources: Mapping[str, DataFr
             raise ValueError(f"run {run_id} used another mapping ({run['mapping']}, now {mapping}): start a new run")
     run_id = run_id or uuid.uuid4().hex
     ordered = in_order(entities)
-    for e in ordered:
+    for e in ordered:  # all of them before the first row
         check_structure(store, e, sources[e.name], settings.get("grow", False))
     store.set_run(spark, run_id, "apply", mapping, "running")
     status = "completed"
@@ -403,19 +429,19 @@ def apply(store: Store, entities: Sequence[Entity], sources: Mapping[str, DataFr
     return run_id
 
 
-def compact(store: Store, entity: Entity, schema: StructType | str | None, spark: SparkSession, run_id: str = "compact") -> None:
+def compact(store: Store, entity: Entity, schema: StructType | str | None, spark: SparkSession, run_id: str = "compact", place: Place | None = None) -> Row:
     """Write the current rows as one full version; older ones are no longer read."""
-    place = store.place(spark, entity.name)
+    place = place or store.place(spark, entity.name)
     version = place.last + 1
-    _put_version(store, entity, store.target(spark, entity, schema, None, place).withColumn("__deleted", F.lit(False)), version, {"run_id": run_id, "batch_id": version, "full": True}, place)
+    return _put_version(store, entity, store.target(spark, entity, schema, None, place).withColumn("__deleted", F.lit(False)), version, {"run_id": run_id, "batch_id": version, "full": True}, place)
 
 
-def _put_version(store: Store, entity: Entity, rows: DataFrame, version: int, row: dict, place: Place) -> None:
+def _put_version(store: Store, entity: Entity, rows: DataFrame, version: int, row: dict, place: Place) -> Row:
     spark = rows.sparkSession
     store.put(rows, "rows", entity.name, version, entity.target_key)
     written = rows.select(bucket_of(F.col(entity.target_key), store.n_buckets).alias("b")).distinct().collect()  # at most n_buckets rows
     fields = place.fields or ddl(rows.drop("__deleted").schema)
-    store.commit(spark, {"entity": entity.name, "version": version, "max_key": place.max_key, "fields": fields, "n_buckets": store.n_buckets, "rows_in": [r["b"] for r in written], "ids_in": []} | row)
+    return store.commit(spark, {"entity": entity.name, "version": version, "max_key": place.max_key, "fields": fields, "n_buckets": store.n_buckets, "rows_in": [r["b"] for r in written], "ids_in": []} | row)
 
 
 def _journal(store: Store, entity: Entity, schema: StructType, spark: SparkSession, run_id: str) -> DataFrame:

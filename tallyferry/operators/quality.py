@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyferry.functions.shapes import VALUE_SHAPES
 from tallyferry.functions.transforms import apply_chain, cell, digits_of, stripped
-from tallyferry.functions.variants import records
+from tallyferry.functions.variants import kind, records
 
 # Column name rules, card number prefixes and the number form that is masked.
 FORBIDDEN = re.compile(r"(^|_)(cvv|cvc|csc|cvv2|cid|security_?code|card_?pin|pin_?block|track_?[12]|magstripe|mag_?stripe|full_?pan|card_?verification)($|_)", re.I)
@@ -95,6 +95,27 @@ def profile(df: DataFrame, table: str) -> DataFrame:
     return out
 
 
+def snapshot(tables: Mapping[str, DataFrame], payloads: Mapping[str, str] | None = None) -> DataFrame:
+    """table_name, n, columns: the rows of each collection and the names of its fields, sorted.
+
+    ``payloads`` names the column of a table that holds JSON records: its fields are then the keys that any
+    record has: one row for each name leaves a task.
+    """
+    payloads = payloads or {}
+    out = None
+    for name, df in tables.items():
+        if name in payloads:
+            record = F.try_parse_json(F.col(payloads[name]).cast("string"))
+            keys = F.map_keys(F.from_json(F.when(kind(record) == "OBJECT", F.to_json(record)), "map<string,string>"))
+            # one row for each name, and one more that counts the records
+            seen = df.select(F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(keys, F.array().cast("array<string>")))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("c"))
+            one = seen.agg(F.lit(name).alias("table_name"), F.coalesce(F.max(F.when(F.col("k").isNull(), F.col("c"))), F.lit(0)).alias("n"), F.array_join(F.array_sort(F.collect_set("k")), ",").alias("columns"))
+        else:
+            one = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.lit(",".join(sorted(df.columns))).alias("columns"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def fill_rates(df: DataFrame) -> DataFrame:
     """name, filled, usual: usual columns hold text on at least half of the rows."""
     filled = lambda c: F.count(F.when(F.trim(F.col(c).cast("string")) != "", 1))

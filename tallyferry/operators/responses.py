@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DateType, DecimalType, StructType, TimestampNTZType, TimestampType
 
 from tallyferry.functions.variants import as_text, items, kind, member
 
@@ -64,3 +67,24 @@ def undone(status: Column, body: Column) -> Column:
     """404 and 204 count as undone, of other answers below 400 only JSON that does not refuse."""
     v = F.try_parse_json(body)
     return status.isin(404, 204) | ((status < 400) & v.isNotNull() & F.coalesce(F.when(kind(v) == "OBJECT", _accepted(v)), F.lit(True)))
+
+
+def as_payload(kind: DataType, v: Column) -> Column:
+    """A value as JSON can carry it: times in ISO form (fractions as far as there are any), decimals and bytes as text, inside structures too."""
+    if isinstance(kind, StructType):
+        return F.when(v.isNotNull(), F.struct(*[as_payload(f.dataType, v[f.name]).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, ArrayType):
+        return F.transform(v, lambda x: as_payload(kind.elementType, x))
+    if isinstance(kind, DateType):
+        return F.date_format(v, "yyyy-MM-dd")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.regexp_replace(F.date_format(v, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "[.]000000$", "")
+    if isinstance(kind, BinaryType):
+        return F.make_valid_utf8(v.cast("string"))
+    return v.cast("string") if isinstance(kind, DecimalType) else v
+
+
+def payload(rows: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """JSON text of a row's columns, nulls included; bytes that are no UTF-8 become replacement signs."""
+    fields = [f for f in rows.schema.fields if columns is None or f.name in columns]
+    return F.to_json(F.struct(*[as_payload(f.dataType, F.col(f"`{f.name}`")).alias(f.name) for f in fields]), {"ignoreNullFields": "false"})

@@ -68,10 +68,9 @@ def sequence_stop(spark, sf):
     return P.until_misses(t(spark, sf, "events").select(F.col("event_type").alias("grp"), F.col("event_id").alias("n")), 15, span=1000)
 
 
-@query("select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events where event_type = 'click'")
+@query("select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
 def json_fields(spark, sf):
-    e = t(spark, sf, "events").where("event_type = 'click'")
-    return e.select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
+    return t(spark, sf, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
 
 
 @query("select user_id, event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
@@ -522,4 +521,4 @@ def key_profile(spark, sf):
     return Q.profile(t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "orders").where("is_key").select("table_name", "column_name")
 
 
-from tallyferry.plans import catalog_pages, catalog_runs  # noqa: E402, F401  they register their queries here
+from tallyferry.plans import catalog_inputs, catalog_pages, catalog_runs  # noqa: E402, F401  they register their queries here

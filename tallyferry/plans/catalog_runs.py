@@ -12,7 +12,7 @@ from tallyferry.operators import resolve as R
 from tallyferry.operators.storage import shared_dir
 from tallyferry.plans.catalog import CUSTOMERS, customer_rows, nation_ids, query, t
 from tallyferry.plans.mapping import Entity, Field, accepted, build_rows, plan
-from tallyferry.streaming.apply import drain, file_stream
+from tallyferry.streaming.apply import drain, file_stream, fresh_records
 
 NATIONS = Entity("nation", "nation", "n_nationkey", "nations", "id", (Field("name", "n_name", transform=("trim",), required=True), Field("region", "n_regionkey", transform=("int",))), where="n_nationkey % 5 <> 0")
 NATION_SCHEMA = "name string, region long, id long"
@@ -152,3 +152,81 @@ def infer_relationships(spark, sf):
     c = t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation_no"), F.col("c_name").alias("name"))
     n = t(spark, sf, "nation").select(F.col("n_nationkey").alias("code"), (F.col("n_nationkey") + 100).alias("_id"))
     return R.infer_relationships({"orders": o, "customers": c, "nations": n}, {"orders": "order_no", "customers": "id", "nations": "_id"})
+
+
+# ---- batches, constraints, growth
+
+
+@query(MIGRATED + f"select {ROW} from m where nation_id is not null")
+def apply_resume(spark, sf):
+    """A run that a limit stops inside a range, resumed in ranges of the source key."""
+    store = new_store(spark)
+    sources = {"nation": t(spark, sf, "nation"), "customers": t(spark, sf, "customer")}
+    M.apply(store, [CUSTOMERS, NATIONS], sources, "r1", limit=700, batch_rows=500)
+    M.apply(store, [CUSTOMERS, NATIONS], sources, "r1", resume=True, batch_rows=6000)
+    return shown_rows(store.target(spark, CUSTOMERS, CUSTOMER_SCHEMA))
+
+
+CONTACTS = Entity(
+    "contacts", "customer", "c_custkey", "contacts", "id",
+    (Field("id", "c_custkey"), Field("name", "name"), Field("mail", "mail")), not_null=("name",), unique=("mail",),
+)
+
+CONTACT_SQL = """with c as (select c_custkey as id, case when c_custkey % 7 <> 0 then c_name end as name, case when c_custkey % 5 <> 0 then 'm' || (c_custkey // 2) || '@x' end as mail from customer),
+r as (select *, row_number() over (partition by mail order by id) as k from c where name is not null)
+"""
+
+
+def contacts(spark, sf) -> M.Store:
+    store, c = new_store(spark), t(spark, sf, "customer")
+    name = F.when(F.col("c_custkey") % 7 != 0, F.col("c_name")).alias("name")
+    mail = F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("m"), F.floor(F.col("c_custkey") / 2), F.lit("@x"))).alias("mail")
+    M.apply(store, [CONTACTS], {"contacts": c.select("c_custkey", name, mail)}, "r1", batch_rows=10_000)
+    return store
+
+
+@query(CONTACT_SQL + "select id, name, mail from r where k = 1 or mail is null")
+def constrained_rows(spark, sf):
+    """What is written of a batch whose rows break a column's constraints."""
+    return contacts(spark, sf).target(spark, CONTACTS)
+
+
+@query(CONTACT_SQL + """select cast(id as varchar) as source_id, 'write' as stage, 'name is null' as message from c where name is null
+union all select cast(id as varchar), 'write', 'mail is not unique' from r where k > 1 and mail is not null""")
+def constrained_errors(spark, sf):
+    """The others, each with the first constraint that it breaks."""
+    return contacts(spark, sf).errors(spark).select("source_id", "stage", "message")
+
+
+@query("""select n_nationkey as id, n_name as name, case when n_nationkey % 2 = 1 then n_regionkey end as region from nation""")
+def grown_target(spark, sf):
+    """A second mapping with one more column: refused as it stands, taken with ``grow``."""
+    store, n = new_store(spark), t(spark, sf, "nation")
+    plain = Entity("n", "nation", "n_nationkey", "n", "id", (Field("id", "n_nationkey"), Field("name", "n_name")))
+    more = replace(plain, fields=(*plain.fields, Field("region", "n_regionkey")))
+    M.apply(store, [plain], {"n": n.where("n_nationkey % 2 = 0")}, "r1")
+    try:
+        M.apply(store, [more], {"n": n}, "r2")
+    except ValueError:
+        M.apply(store, [more], {"n": n}, "r3", grow=True)
+    return store.target(spark, more)
+
+
+@query("""select 'r1' as run_id, 'apply' as mode, 'completed' as status, 2 as entities, count(*) filter (c_nationkey % 5 <> 0) + (select count(*) from nation where n_nationkey % 5 <> 0) as written, count(*) filter (c_nationkey % 5 = 0) as failed from customer
+union all select 'r2', 'apply', 'stopped', 0, least(count(*) filter (c_nationkey % 5 <> 0), 0), 0 from customer""")
+def run_listing(spark, sf):
+    """All runs with what is done, written and failed, from the store itself; the second one knows every row up to its limit."""
+    store = migrated(spark, sf)
+    M.apply(store, [CUSTOMERS], {"customers": t(spark, sf, "customer").where("c_nationkey % 5 <> 0")}, "r2", limit=100)
+    return M.run_history(store, spark)
+
+
+@query("select distinct event_type, user_id from events")
+def stream_news(spark, sf):
+    """What a stream has never shown before, over two starts; no horizon forgets it."""
+    folder, e = f"{shared_dir(spark)}/news/{uuid.uuid4().hex}", t(spark, sf, "events").select("event_type", "user_id")
+    for k in range(2):
+        e.where(F.pmod(F.hash("user_id"), F.lit(3)) != k).write.mode("append").parquet(f"{folder}/in")
+        fresh = fresh_records(file_stream(spark, f"{folder}/in", e.schema), "", ["event_type", "user_id"], None)
+        fresh.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/offsets").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(e.schema).parquet(f"{folder}/out")

@@ -207,6 +207,12 @@ def _few(rows: DataFrame, group: str, most: int = 10_000) -> bool:
     return rows.select(group).distinct().limit(most + 1).count() <= most
 
 
+def collection_totals(records: DataFrame, collection: Column, page: str = "page_id", error: str = "error") -> DataFrame:
+    """collection, fetched (pages), stored, failed: what a harvest's records (with ``error``) come to."""
+    bad = F.col(error).isNotNull()
+    return records.groupBy(collection.alias("collection")).agg(F.count_distinct(page).alias("fetched"), F.count(F.when(~bad, 1)).alias("stored"), F.count(F.when(bad, 1)).alias("failed"))
+
+
 #: Fixed names of fields that hold a record's own address.
 CANONICAL = ("link", "permalink", "url", "guid", "canonical_url")
 

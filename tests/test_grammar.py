@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tallyferry.functions import urls as U
 from tallyferry.functions import variants as V
 from tallyferry.operators import quality as Q
 from tallyferry.operators import resolve as R
+from tallyferry.operators import responses as A
 from tallyferry.plans.mapping import Entity, Field, accepted, build_rows
 from tallyferry.sources import html as H
 from tallyferry.sources import pages as P
@@ -149,3 +151,24 @@ def test_content_comes_once_for_good_and_over_restarts(spark, tmp_path):
         assert sorted((r["item"] for r in spark.read.parquet(f"file://{tmp_path}/out").collect()), key=str) == [None, "a", "b", "c"]
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_payloads_hold_what_json_can_carry(spark):
+    row = (dt.date(2024, 2, 3), dt.datetime(2024, 2, 3, 4, 5, 6, 70), dt.datetime(2024, 2, 3), Decimal("1.50"), bytearray(b"ok\xff"), [dt.date(2024, 1, 1), None], (Decimal("2.0"),), None, 'q"')
+    table = spark.createDataFrame([row], "d date, t timestamp_ntz, z timestamp_ntz, n decimal(5,2), b binary, a array<date>, s struct<k: decimal(3,1)>, x struct<k: int>, q string")
+    got = json.loads(table.select(A.payload(table).alias("p")).first()["p"])
+    assert got == {"d": "2024-02-03", "t": "2024-02-03T04:05:06.000070", "z": "2024-02-03T00:00:00", "n": "1.50", "b": "ok\ufffd", "a": ["2024-01-01", None], "s": {"k": "2.0"}, "x": None, "q": 'q"'}
+    assert json.loads(table.select(A.payload(table, ["n"]).alias("p")).first()["p"]) == {"n": "1.50"}
+
+
+def test_snapshots_name_the_keys_of_payloads(spark):
+    table = spark.createDataFrame([('{"b":1,"a":{"c":2}}',), ('{"d":null}',), ("[1]",), ("no json",), (None,)], "j string")
+    got = {r["table_name"]: (r["n"], r["columns"]) for r in Q.snapshot({"p": table, "t": table, "none": table.where("false")}, {"p": "j", "none": "j"}).collect()}
+    assert got == {"p": (5, "a,b,d"), "t": (5, "j"), "none": (0, "")}
+
+
+def test_types_of_json_ld_count_at_any_depth(spark):
+    block = '{"@graph":[{"@type":["A","B"],"x":[[{"@type":"A"}]],"@id":1},{"@type":3},"s"]}'
+    html = f'<script type="application/ld+json">{block}</script><script type="application/ld+json">{{"@type":"Broken"</script>'
+    table = spark.createDataFrame([(1, html), (2, None), (3, "<p>ld+json</p>")], "page_id int, html string")
+    assert sorted(map(tuple, H.jsonld_types(table).collect())) == [(1, "A", 2), (1, "B", 1)]
