@@ -235,12 +235,14 @@ def check_structure(store: Store, entity: Entity, source: DataFrame, grow: bool
 def _new_rows(built: DataFrame, ids: DataFrame | None) -> DataFrame:
     """``built`` with __known: rows that the id map has, and all but the first of one source id in this batch."""
     built = durable(built.withColumn("__row", F.monotonically_increasing_id()))
-    first = built.groupBy(F.col("__key").alias("__fk")).agg(F.min(F.struct("__order", "__row")).alias("__f"))
-    rows = spread_join(built, first, "__key", "__fk", by=["__row"])
-    known = F.col("__f").isNotNull() & (F.col("__f") != F.struct("__order", "__row"))
+    place = F.struct("__order", "__row")
+    marks = built.select(F.col("__key").alias("__fk"), place.alias("__p"), F.lit(False).alias("__k"))
     if ids is not None:
-        rows = spread_join(rows, ids.select(F.col("source_id").alias("__m")), "__key", "__m", by=["__row"])
-        known = known | F.col("__m").isNotNull()
+        marks = marks.unionByName(ids.select(F.col("source_id").alias("__fk"), F.lit(None).cast(marks.schema["__p"].dataType).alias("__p"), F.lit(True).alias("__k")))
+    # the first place of a key in the batch and whether the map has it meet the rows in one join
+    seen = marks.groupBy("__fk").agg(F.min("__p").alias("__f"), F.max("__k").alias("__m"))
+    rows = spread_join(built, seen, "__key", "__fk", by=["__row"])
+    known = F.coalesce("__m", F.lit(False)) | F.coalesce(F.col("__f") != place, F.lit(False))
     return rows.withColumn("__known", known).drop("__fk", "__f", "__m", "__row")
 
 

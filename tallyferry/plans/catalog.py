@@ -121,9 +121,7 @@ def require_fields(spark, sf):
 @query(" union all ".join(f"select '{n}' as table_name, count(*) as n, (select string_agg(column_name, ',' order by column_name) from (describe select * from {n})) as columns from {n}" for n in ("customer", "orders", "pages")))
 def snapshot_summary(spark, sf):
     """Rows and column names of each collection."""
-    tables = [(n, t(spark, sf, n)) for n in ("customer", "orders", "pages")]
-    out = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n"), F.lit(",".join(sorted(df.columns))).alias("columns")) for n, df in tables]
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    return Q.snapshot({n: t(spark, sf, n) for n in ("customer", "orders", "pages")})
 
 
 # ---- mapping

@@ -14,6 +14,7 @@ from tallyferry.operators import quality as Q
 from tallyferry.plans.catalog import query, t, tokens
 from tallyferry.sources import pages as P
 from tallyferry.sources.html import PageField, extract, skeletons
+from tallyferry.sources.html import jsonld_types as jsonld_types_of
 
 SITE = "https://site.example"
 
@@ -141,10 +142,7 @@ def jsonld_fields(spark, sf):
 @query("select x as type, count(*) as n from pages, unnest(['WebPage', 'Article', 'BlogPosting', 'Person']) as u(x) where page_id % 3 = 0 group by 1")
 def jsonld_types(spark, sf):
     """Every @type at any depth, single or listed; blocks that are no JSON do not count."""
-    block = F.explode(F.regexp_extract_all("html", F.lit(r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""), F.lit(1))).alias("block")
-    named = F.regexp_extract_all("block", F.lit(r'"@type"\s*:\s*("[^"]*"|\[[^\]]*\])'), F.lit(1))
-    kinds = F.explode(F.flatten(F.transform(named, lambda x: F.regexp_extract_all(x, F.lit('"([^"]*)"'), F.lit(1))))).alias("type")
-    return site(spark, sf).select(block).where(F.try_parse_json("block").isNotNull()).select(kinds).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    return jsonld_types_of(site(spark, sf)).groupBy("type").agg(F.sum("n").alias("n"))
 
 
 @query("""with li as (select page_id, url, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1)) as h, unnest(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1)) as item,

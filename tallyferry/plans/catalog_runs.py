@@ -213,7 +213,7 @@ def grown_target(spark, sf):
 
 
 @query("""select 'r1' as run_id, 'apply' as mode, 'completed' as status, 2 as entities, count(*) filter (c_nationkey % 5 <> 0) + (select count(*) from nation where n_nationkey % 5 <> 0) as written, count(*) filter (c_nationkey % 5 = 0) as failed from customer
-union all select 'r2', 'apply', 'stopped', 0, least(count(*) filter (c_nationkey % 5 <> 0), 0), 0 from customer""")
+union all select 'r2', 'apply', 'stopped', 0, 0, 0""")
 def run_listing(spark, sf):
     """All runs with what is done, written and failed, from the store itself; the second one knows every row up to its limit."""
     store = migrated(spark, sf)
