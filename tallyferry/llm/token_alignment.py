@@ -28,6 +28,7 @@ import functools
 import hashlib
 import uuid
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -102,7 +103,7 @@ class Aligner:
         """The second tokenizer's ids of each word after a blank, which it adds; nothing if their bytes are not the word's."""
         ids = self.second.encode(words, num_threads=1)
         get = self.bytes_of.__getitem__
-        if b"".join([get(i) for own in ids for i in own]) == (" " + " ".join(words)).encode() and self._ends(ids) == [1 + len(w.encode()) for w in words]:
+        if b"".join(map(get, chain.from_iterable(ids))) == (" " + " ".join(words)).encode() and self._ends(ids) == [1 + len(w.encode()) for w in words]:
             return list(map(ids_bytes, ids))
         return [ids_bytes(own) if b"".join(map(get, own)) == b" " + w.encode() else b"" for w, own in zip(words, ids, strict=True)]
 
@@ -111,7 +112,7 @@ class Aligner:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         if not sizes.all():
             return []
-        flat = np.fromiter((i for own in ids for i in own), np.int64, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))
         return np.add.reduceat(self.widths[flat], np.cumsum(sizes) - sizes).tolist()
 
     def group_texts(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> list[str]:
@@ -166,10 +167,10 @@ class Part:
     def __init__(self, aligner: Aligner, pieces: list[list[str]]) -> None:
         words = list(set().union(*pieces))
         values = aligner.known.values(words, aligner.values, 5000)
-        place = dict(zip(words, range(len(words)), strict=True)).__getitem__
+        place = dict(zip(words, count(), strict=False)).__getitem__
         n = len(pieces)
         sizes = np.array([len(p) for p in pieces], np.int64)
-        used = np.fromiter((x for p in pieces for x in map(place, p)), np.int64, int(sizes.sum()))
+        used = np.fromiter(map(place, chain.from_iterable(pieces)), np.int64, int(sizes.sum()))
         doc = np.repeat(np.arange(n), sizes)
         *counts, linked, groups = zip(*values, strict=True) if values else [()] * 5
         figures = np.array(counts, np.int64)
