@@ -33,7 +33,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyferry.llm.bpe import blocks_of
 from tallyferry.llm.pieces import encoder_of
 from tallyferry.llm.shared import in_python, shared_dir, text_or_empty
 
@@ -214,19 +213,20 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 2, do
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out = encoder_of(vocabulary), None
         for batch in batches:
+            if not len(batch):
+                continue
             out = out or ShardWriter(TaskContext.get().partitionId(), batch.schema.field(0).type, block_ids)
-            for a, b in blocks_of(batch.column(1)):
-                ids, texts = (batch.column(k).slice(a, b - a).to_pylist() for k in (0, 1))
-                at, n = 0, 0
-                for i, coded in encoder.parts(texts):
-                    if i != at:
-                        out.add(end)
-                        yield from out.end_document(ids[at], n + 1)
-                        at, n = i, 0
-                    out.add(coded)
-                    n += len(coded) // 4
-                out.add(end)
-                yield from out.end_document(ids[at], n + 1)
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            at, n = 0, 0
+            for i, coded in encoder.parts(texts):
+                if i != at:
+                    out.add(end)
+                    yield from out.end_document(ids[at], n + 1)
+                    at, n = i, 0
+                out.add(coded)
+                n += len(coded) // 4
+            out.add(end)
+            yield from out.end_document(ids[at], n + 1)
         if out:
             yield from out.close()
 

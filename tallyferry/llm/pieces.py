@@ -111,6 +111,51 @@ class PieceCache:
         return found
 
 
+class PiecePool:
+    """Ids by piece as Arrow columns: at most ``most`` pieces and those of one call; beyond that, pieces that one call alone has used go.
+
+    Should more than half of ``most`` be left, only those of the last call stay.
+    """
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.pieces = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_list(pa.uint32()))
+        self.uses = np.zeros(0, np.int64)
+
+    def places(self, pieces: pa.Array, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The place of each of ``pieces``; ``make`` gives the ids of those that are new, end to end, and how many each has."""
+        at = pc.index_in(pieces, value_set=self.pieces)
+        gaps = pc.is_null(at)
+        places = pc.fill_null(at, 0).to_numpy().copy()
+        new = pieces.filter(gaps).dictionary_encode()
+        places[gaps.to_numpy(zero_copy_only=False)] = len(self.pieces) + new.indices.to_numpy()
+        if len(new.dictionary):
+            ids = listed(*make(new.dictionary.to_pylist()))
+            self.pieces, self.ids = pa.concat_arrays([self.pieces, new.dictionary]), pa.concat_arrays([self.ids, ids])
+        used = np.bincount(places, minlength=len(self.pieces)) > 0
+        self.uses = used + np.pad(self.uses, (0, len(used) - len(self.uses)))
+        if len(self.pieces) > self.most:
+            kept = np.flatnonzero(used | (self.uses > 1))
+            if len(kept) > self.most // 2:
+                kept = np.flatnonzero(used)
+            moved = np.zeros(len(self.pieces), places.dtype)
+            moved[kept] = np.arange(len(kept))
+            self.pieces, self.ids, places = self.pieces.take(pa.array(kept)), self.ids.take(pa.array(kept)), moved[places]
+            self.uses = np.zeros(len(kept), np.int64) + used[kept]
+        return places
+
+    def joined(self, places: np.ndarray, heads: np.ndarray, own: tuple[np.ndarray, np.ndarray]) -> tuple[bytes, np.ndarray]:
+        """The ids at ``places`` end to end, and how many each has; those at ``heads`` are given as ``own``."""
+        places[heads] = len(self.ids) + np.arange(len(heads))
+        found = pa.concat_arrays([self.ids, listed(*own)]).take(pa.array(places))
+        return found.flatten().to_numpy().tobytes(), np.diff(found.offsets.to_numpy())
+
+
+def listed(ids: np.ndarray, widths: np.ndarray) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(widths)))), pa.array(ids))
+
+
 def token_bytes(model) -> dict[int, bytes]:
     """Each id's bytes in a byte-level vocabulary."""
     signs = byte_signs()
@@ -147,6 +192,7 @@ class PieceEncoder:
             self.widths[i] = len(b)
         self.special = [] if plain else [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.words = PieceCache(cache_entries)
+        self.known = PiecePool(2 * cache_entries)
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of words of the pattern, each on its own."""
@@ -190,22 +236,19 @@ class PieceEncoder:
         return out
 
     def _at_each_blank(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of texts whose every blank is a cut: split and told apart as Arrow columns, put together as arrays."""
+        """The ids of texts whose every blank is a cut: split, looked up and put together as Arrow columns."""
         if not texts:
             return
         split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         offsets = split.offsets.to_numpy()
-        coded = split.flatten().dictionary_encode()
-        pieces, used = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
-        heads = [WORDS.findall(pieces[k]) for k in used[offsets[:-1]].tolist()]
-        used[offsets[:-1]] = len(pieces) + np.arange(len(texts))
-        pool, widths = self.pooled([*map(words_after_blank, pieces), *heads])
-        many = widths[used]
-        ends = np.cumsum(many)
-        ids = pool[np.repeat((np.cumsum(widths) - widths)[used] - (ends - many), many) + np.arange(int(ends[-1]))]
-        bounds = [0, *ends[offsets[1:] - 1].tolist()]
+        used = self.known.places(split.flatten(), lambda new: self.pooled([*map(words_after_blank, new)]))
+        # a text's first piece has no blank before it
+        heads = self.pooled([WORDS.findall(t[: t.index(" ")] if " " in t else t) for t in texts])
+        first = offsets[:-1]
+        coded, widths = self.known.joined(used, first, heads)
+        bounds = [0, *(4 * np.cumsum(widths)[offsets[1:] - 1]).tolist()]
         for a, b in zip(bounds, bounds[1:], strict=False):
-            yield ids[a:b].tobytes()
+            yield coded[a:b]
 
     def parts(self, texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, bytes]]:
         """Index and ids of each text in turn; those of a long text come in several parts."""

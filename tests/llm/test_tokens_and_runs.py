@@ -36,6 +36,10 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert encoder.encode(texts) == want
     long = " ".join(texts)
     assert b"".join(c for _, c in encoder.parts([long], most=50)) == pieces.ids_bytes(model.encode(long, add_special_tokens=False).ids)
+    small = pieces.PieceEncoder(PATH, cache_entries=15)  # drops pieces all the time
+    for k in range(0, len(texts), 7):
+        assert small.encode(texts[k : k + 7]) == want[k : k + 7]
+    assert len(small.known.pieces) == len(small.known.ids) <= 30 + 7 * 30
     second = pieces.word_marked(PIECES)
     assert pieces.marks_lead(second)
     for t in texts:  # a word mark in a text turns into a blank: such texts have no tokens
