@@ -1,7 +1,7 @@
 """Applying a mapping: versioned writes with journal and id map, resume, verify and rollback.
 
-A :class:`Store` is a folder of Parquet tables. An entity is applied in ranges of its source key;
-every batch is one version: its errors, its journal, the rows it changes and its ids are written to
+A :class:`Store` is a folder of Parquet tables. An entity is applied in ranges of its source key,
+each as long as all before it; every batch is one version: its errors, its journal, the rows it changes and its ids are written to
 folders of that version, and last one row of ``commits``. What has no such row does not count: a
 batch that died is written again over its own folders, one that is committed is skipped. A commit
 names its last source key, the greatest target key, the columns so far and the buckets written. The
@@ -187,14 +187,23 @@ def _past(rows: DataFrame, key: str, after: object, upto: object = None, nulls:
     return rows.where(test)
 
 
+#: Into how many parts of equal size the keys are dealt at most, to be put together as ranges.
+PARTS = 256
+
+
 def key_ranges(rows: DataFrame, key: str, batch_rows: int) -> list[object]:
-    """Upper keys of ranges of about ``batch_rows`` rows; the last has none. Equal keys share a range."""
-    n = -(-rows.count() // batch_rows)
+    """Upper keys of ranges; the last has none. Equal keys share a range.
+
+    The first range has about ``batch_rows`` rows (one in ``PARTS`` at least), each further one as many as
+    all before it. What a batch costs besides its rows, and a look at the whole target, is so paid for
+    a number of times that grows with the logarithm of the rows.
+    """
+    n = min(-(-rows.count() // batch_rows), PARTS)
     if n <= 1:
         return [None]
     dealt = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("k")).repartitionByRange(n, "k")
-    tops = dealt.groupBy(F.spark_partition_id()).agg(F.max("k").alias("k")).orderBy("k").collect()  # one row for each batch
-    return [*[r["k"] for r in tops[:-1]], None]
+    tops = [r["k"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.max("k").alias("k")).orderBy("k").collect()]  # at most PARTS rows
+    return [*[tops[(1 << k) - 1] for k in range(max(len(tops) - 1, 0).bit_length())], None]
 
 
 def _limited(entity: Entity, rows: DataFrame, limit: int, after_key: object) -> tuple[DataFrame, object, bool]:
