@@ -126,7 +126,9 @@ class Store:
         placed = [c for c in commits if c[column] is not None]
         n = {c["n_buckets"] for c in placed}
         if buckets is not None and n <= {self.n_buckets}:
-            paths = [f"{base}/version={c['version']}/bucket={k}" for c in placed for k in c[column] if k in buckets]
+            # a version of which all is wanted is named as a whole, as many folders take a job to list
+            split = lambda c: [""] if set(c[column]) <= set(buckets) else [f"/bucket={k}" for k in c[column] if k in buckets]
+            paths = [f"{base}/version={c['version']}{at}" for c in placed if c[column] for at in split(c)]
         else:
             paths = [f"{base}/version={c['version']}" for c in placed if c[column]]
         out = read.schema(f"{schema}, version int, bucket int").parquet(*paths).drop("bucket") if paths else spark.createDataFrame([], f"{schema}, version int")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyferry.operators import migrate as M
+from tallyferry.plans.mapping import Entity, Field
 
 
 def test_ranges_grow_with_the_logarithm_of_the_rows(spark):
@@ -12,3 +13,30 @@ def test_ranges_grow_with_the_logarithm_of_the_rows(spark):
     assert 5 <= tops[0] <= 60 and M.key_ranges(rows, "no", 2000) == [None]
     nulls = rows.withColumn("no", F.lit(None).cast("long"))
     assert M.key_ranges(nulls, "no", 20) == [None]
+
+
+def test_constraints_hold_over_few_ranges(spark, tmp_path):
+    store = M.Store(f"file://{tmp_path}/store")
+    e = Entity("c", "c", "no", "c", "id", (Field("id", "no"), Field("mail", "mail"), Field("name", "name")), not_null=("name",), unique=("mail",))
+    source = spark.range(0, 1200).select(F.col("id").alias("no"), F.concat(F.lit("m"), F.col("id") % 700).alias("mail"), F.when(F.col("id") % 7 != 0, "x").alias("name"))
+    M.apply(store, [e], {"c": source}, "r", batch_rows=40)
+    assert len(store.place(spark, "c").commits) <= 8
+    first = {}
+    for k in range(1200):
+        if k % 7:
+            first.setdefault(k % 700, k)
+    assert sorted(r["id"] for r in store.target(spark, e).select("id").collect()) == sorted(first.values())
+    assert {r["message"]: r["count"] for r in store.errors(spark).groupBy("message").count().collect()} == {"name is null": 172, "mail is not unique": 1200 - 172 - len(first)}
+
+
+def test_a_read_of_all_buckets_names_versions_as_a_whole(spark, tmp_path):
+    store = M.Store(f"file://{tmp_path}/store", n_buckets=8)
+    e = Entity("c", "c", "no", "c", "id", (Field("id", "no"),))
+    M.apply(store, [e], {"c": spark.range(0, 20_000).withColumnRenamed("id", "no")}, "r")
+    asked, read = [], type(spark.read).parquet
+    try:
+        type(spark.read).parquet = lambda self, *paths, **k: asked.extend(paths) or read(self, *paths, **k)
+        assert store.target(spark, e, None, range(8)).count() == 20_000
+    finally:
+        type(spark.read).parquet = read
+    assert not [p for p in asked if "bucket=" in p]
