@@ -38,6 +38,8 @@ def cell(value: Column) -> Cell:
 
 
 TRANSFORMS: dict[str, Callable] = {}
+#: Steps whose values go to Python.
+IN_PYTHON = {"strip_html", "slugify", "php_unserialize"}
 
 
 def transform(name: str) -> Callable:
@@ -102,6 +104,7 @@ def arrow_transform(name: str, returns: str = "string", columns: Sequence[str] =
             return out["value"], out["error"]
 
         ROW_TRANSFORMS[name] = TRANSFORMS[name] = step
+        IN_PYTHON.add(name)
         return fn
 
     return add
@@ -250,8 +253,16 @@ LONG_YEAR = "[0-9]{5}"
 def to_datetime(v: Column, formats: Sequence[str] | None = None, at: str | None = None) -> tuple[Column, Column]:
     """Texts by format, then ISO; numbers are Unix seconds. UTC, without a zone; ``at`` pins the time of day."""
     t = stripped(v)
-    plain = lambda f: F.when(t.rlike("^[0-9]{8}$"), t) if f == "yyyyMMdd" else F.when(~t.rlike(LONG_YEAR), t) if f in DATE_FORMATS else t
-    by_text = F.coalesce(*[F.try_to_timestamp(plain(f), F.lit(f)) for f in formats or DATE_FORMATS], F.when(t.rlike(ISO), t).try_cast("timestamp")).cast("timestamp_ntz")
+    short = ~t.rlike(LONG_YEAR)
+    plain = lambda f: F.when(t.rlike("^[0-9]{8}$"), t) if f == "yyyyMMdd" else F.when(short, t) if f in DATE_FORMATS else t
+    cast = F.when(t.rlike(ISO), t).try_cast("timestamp")
+    if formats:
+        by_text = F.coalesce(*[F.try_to_timestamp(plain(f), F.lit(f)) for f in formats], cast)
+    else:
+        # what stands behind the first digits tells which formats a text can have
+        tried = lambda sign: F.when(short, F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DATE_FORMATS if sign in f]))
+        by_text = F.when(t.rlike("^[0-9]+-"), F.coalesce(tried("-"), cast)).when(t.rlike("^[0-9]+/"), tried("/")).otherwise(F.try_to_timestamp(plain("yyyyMMdd"), F.lit("yyyyMMdd")))
+    by_text = by_text.cast("timestamp_ntz")
     zero = F.lit(0)
     by_epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, t.try_cast("decimal(18,6)"))
     parsed = F.when(is_number(v), by_epoch).otherwise(by_text)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyferry.functions.shapes import VALUE_SHAPES
 from tallyferry.functions.transforms import apply_chain, cell, digits_of, stripped
 from tallyferry.functions.variants import kind, records
+from tallyferry.operators.storage import spread
 
 # Column name rules, card number prefixes and the number form that is masked.
 FORBIDDEN = re.compile(r"(^|_)(cvv|cvc|csc|cvv2|cid|security_?code|card_?pin|pin_?block|track_?[12]|magstripe|mag_?stripe|full_?pan|card_?verification)($|_)", re.I)
@@ -218,14 +220,27 @@ CASTS = {
 
 def cast_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """name, transform, share of a column's filled values that the transform accepts (null if none is filled)."""
-    accepts = {}
-    for k, steps in CASTS.items():
-        accepts[k] = lambda c, steps=steps: (lambda got: got.value.isNotNull() & got.error.isNull())(apply_chain(cell(F.col(c)), steps))
-    accepts["phone"] = lambda c: F.length(digits_of(F.col(c))).between(10, 11) & stripped(F.col(c)).rlike(r"^[0-9\s().+-]+$")
-    accepts["zip"] = lambda c: stripped(F.col(c)).rlike("^[0-9]{5}(-?[0-9]{4})?$")
-    filled = lambda c: stripped(F.col(c)) != ""
-    one = df.agg(*[F.avg(F.when(filled(c), F.when(test(c), 1.0).otherwise(0.0))).alias(f"{c}__{k}") for c in columns for k, test in accepts.items()])
-    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.lit(k).alias("transform"), F.round(F.col(f"{c}__{k}"), 4).alias("share")) for c in columns for k in accepts])))
+
+    def tried(v: Column, t: Column) -> dict[str, Column]:
+        takes = lambda steps: (lambda got: got.value.isNotNull() & got.error.isNull())(apply_chain(cell(v), steps))
+        tests = {k: takes(steps) for k, steps in CASTS.items()}
+        tests["phone"] = t.rlike(r"^[0-9\s().+-]+$") & F.length(digits_of(v)).between(10, 11)
+        tests["zip"] = t.rlike("^[0-9]{5}(-?[0-9]{4})?$")
+        return {k: F.when(test, 1.0).otherwise(0.0) for k, test in tests.items()}
+
+    # one row for each cell, so that a test is one expression, whatever the number of columns; cells of one type go together
+    types, parts = dict(df.dtypes), []
+    for own in dict.fromkeys(types[c] for c in columns):
+        named = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("v")) for c in columns if types[c] == own]
+        cells = spread(df.select(*[F.col(f"`{c}`") for c in columns if types[c] == own])).select(F.inline(F.array(*named)))
+        cells = cells.withColumn("t", stripped(F.col("v"))).where("t <> ''")
+        tests = tried(F.col("v"), F.col("t"))
+        shares = cells.select("name", *[test.alias(k) for k, test in tests.items()]).groupBy("name").agg(*[F.avg(k).alias(k) for k in tests])
+        # every column has its rows, of a table without rows too
+        asked = df.sparkSession.createDataFrame([(c,) for c in columns if types[c] == own], "name string")
+        shares = asked.join(shares, "name", "left")
+        parts.append(shares.select("name", F.inline(F.array(*[F.struct(F.lit(k).alias("transform"), F.round(F.col(k), 4).alias("share")) for k in tests]))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 #: Steps by what a column's name ends in, where its values bear them out.

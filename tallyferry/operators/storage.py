@@ -41,6 +41,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out evenly before a step that costs much more than to move them.
+
+    A file of few row groups is read by few tasks, however many cores there are.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left", by: Sequence[str] | None = None, buckets: int = 4096) -> DataFrame:
     """``left`` and ``right`` joined on one key each (of different names), both kept; how: left or full_outer.
 

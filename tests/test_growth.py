@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tallyferry.operators import migrate as M
-from tallyferry.plans.mapping import Entity, Field
+from tallyferry.operators import quality as Q
+from tallyferry.plans.mapping import Entity, Field, accepted, build_rows
 
 
 def test_ranges_grow_with_the_logarithm_of_the_rows(spark):
@@ -40,3 +41,26 @@ def test_a_read_of_all_buckets_names_versions_as_a_whole(spark, tmp_path):
     finally:
         type(spark.read).parquet = read
     assert not [p for p in asked if "bucket=" in p]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_test_of_cells_stands_once_in_the_plan_whatever_the_columns(spark):
+    df = spark.createDataFrame([(" 1", "2024-01-02", "(555) 010-0001", "a@x.de"), ("x", "1/2/2024", "", " ")], "a string, b string, c string, d string")
+    got = {(r["name"], r["transform"]): r["share"] for r in Q.cast_profile(df, df.columns).collect()}
+    assert got["a", "int"] == 0.5 and got["b", "date"] == 1.0 and got["c", "phone"] == 1.0 and got["d", "email"] == 1.0 and len(got) == 32
+    one, four = (len(plan_of(Q.cast_profile(df, c))) for c in (["a"], df.columns))
+    assert four < 2 * one
+    nothing = Q.cast_profile(df.where("a = 'none'"), ["a", "b"]).collect()
+    assert len(nothing) == 16 and all(r["share"] is None for r in nothing)
+
+
+def test_dates_are_tried_with_the_formats_that_their_signs_allow(spark):
+    texts = ["2024-1-2", "2024-01-02 03:04:05", "2024-01-02T03:04:05Z", "2024-01-02T03:04:05.5", "1/2/2024", "13/2/2024", "1/2/2024 3:4:5", "20240102", "202401", "12024-01-02", "+12024-01-02", "-1/2/2024", "x", "2024"]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, x string")
+    e = Entity("d", "d", "k", "d", "k", (Field("k", "k"), Field("d", "x", transform=("to_datetime",))))
+    got = {r["k"]: str(r["d"]) for r in accepted(build_rows(e, df)).collect()}
+    want = ["2024-01-02 00:00:00", "2024-01-02 03:04:05", "2024-01-02 03:04:05", "2024-01-02 03:04:05.500000", "2024-01-02 00:00:00", "2024-02-13 00:00:00", "2024-01-02 03:04:05", "2024-01-02 00:00:00"]
+    assert got == dict(enumerate(want))
