@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,20 +22,25 @@ def member(v: Column, path: str, of: str = "variant") -> Column:
     return F.try_variant_get(v, path, of)
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def items(v: Column) -> Column:
     """The elements of a JSON list as array<variant>; null for anything else."""
-    return F.when(kind(v) == "ARRAY", member(v, "$", "array<variant>"))
+    return member(v, "$", "array<variant>")
 
 
 def _step(v: Column, name: str, depth: int = 2) -> Column:
     """What a path part names: a member, an element by number, or the member of each element of a list."""
     quoted = name.replace("\\", "\\\\").replace('"', '\\"')
-    inside = member(v, f'$["{quoted}"]')
+    inside = lambda x: member(x, f'$["{quoted}"]')  # noqa: E731 - null for all but an object that has it
     if name.isdigit():
-        return F.when(kind(v) == "ARRAY", member(v, f"$[{name}]")).otherwise(F.when(kind(v) == "OBJECT", inside))
+        return bind(v, lambda x: F.coalesce(member(x, f"$[{name}]"), inside(x)))
     nothing = F.parse_json(F.lit("null"))
-    each = F.to_variant_object(F.transform(items(v), lambda x: F.coalesce(_step(x, name, depth - 1) if depth else nothing, nothing)))
-    return F.when(kind(v) == "ARRAY", each).otherwise(F.when(kind(v) == "OBJECT", inside))
+    each = lambda listed: F.to_variant_object(F.transform(listed, lambda x: F.coalesce(_step(x, name, depth - 1) if depth else nothing, nothing)))
+    return bind(v, lambda x: bind(items(x), lambda listed: F.when(listed.isNotNull(), each(listed)).otherwise(inside(x))))
 
 
 @F.pandas_udf(StringType())
@@ -65,8 +71,8 @@ def resolve(v: Column, path: str) -> Column:
 
 def as_text(v: Column) -> Column:
     """Scalars as their text, lists and objects as JSON text, JSON null as null."""
-    plain = F.when(~F.is_variant_null(v), F.to_json(v))
-    return F.when(kind(v) == "STRING", member(v, "$", "string")).otherwise(plain)
+    plain = lambda x: F.when(~F.is_variant_null(x), F.to_json(x))
+    return bind(v, lambda x: F.when(kind(x) == "STRING", member(x, "$", "string")).otherwise(plain(x)))
 
 
 def records(body: Column, path: str = "") -> Column:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallyferry.functions import variants as V
 from tallyferry.operators import migrate as M
 from tallyferry.operators import quality as Q
 from tallyferry.plans.mapping import Entity, Field, accepted, build_rows
@@ -64,3 +65,11 @@ def test_dates_are_tried_with_the_formats_that_their_signs_allow(spark):
     got = {r["k"]: str(r["d"]) for r in accepted(build_rows(e, df)).collect()}
     want = ["2024-01-02 00:00:00", "2024-01-02 03:04:05", "2024-01-02 03:04:05", "2024-01-02 03:04:05.500000", "2024-01-02 00:00:00", "2024-02-13 00:00:00", "2024-01-02 03:04:05", "2024-01-02 00:00:00"]
     assert got == dict(enumerate(want))
+
+
+def test_a_path_mentions_its_value_a_fixed_number_of_times(spark):
+    df = spark.createDataFrame([('{"a": [{"b": [{"c": 1}, {"c": "x"}, 3]}, {"b": {"c": null}}], "0": {"1": 5}}',), ("[[1, 2], [3]]",), ("{",)], "body string")
+    at = lambda path: [r[0] for r in df.select(V.as_text(V.resolve(F.try_parse_json("body"), path))).collect()]
+    assert at("a.b.c") == ['[[1,"x",null],null]', "[[null,null],[null]]", None] and at("0.1") == ["5", "2", None]
+    three, four = (plan_of(df.select(V.as_text(V.resolve(F.try_parse_json("body"), p)))).count("parse_json(body") for p in ("a.b.c", "a.b.c.d"))
+    assert three == four < 12
