@@ -16,8 +16,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyferry.functions.transforms import Cell, Context, apply_chain, cell, empty_to_null, null_text, steps_of
-from tallyferry.operators.storage import spread_join
+from tallyferry.functions.transforms import IN_PYTHON, Cell, Context, apply_chain, cell, empty_to_null, null_text, steps_of
+from tallyferry.operators.storage import spread, spread_join
 
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{0,62}")
@@ -187,6 +187,8 @@ def build_rows(entity: Entity, source: DataFrame, id_map: DataFrame | None = Non
     missing = sorted({c for f in entity.fields for c in ((f.source,) if isinstance(f.source, str) else f.source or ())} - set(source.columns))
     if missing:
         raise ValueError(f"source columns missing: {missing}")
+    if any(name in IN_PYTHON for f in entity.fields for name, _ in steps_of(f.transform)):
+        df = spread(df)
     context = Context(entity.name, run_id, run_time)
     cells: list[Cell] = []
     clock, unresolved = [], []

@@ -73,3 +73,11 @@ def test_a_path_mentions_its_value_a_fixed_number_of_times(spark):
     assert at("a.b.c") == ['[[1,"x",null],null]', "[[null,null],[null]]", None] and at("0.1") == ["5", "2", None]
     three, four = (plan_of(df.select(V.as_text(V.resolve(F.try_parse_json("body"), p)))).count("parse_json(body") for p in ("a.b.c", "a.b.c.d"))
     assert three == four < 12
+
+
+def test_rows_of_one_file_are_dealt_out_before_steps_in_python(spark, tmp_path):
+    spark.range(0, 60).selectExpr("id as k", "concat('<b>', id, '</b>') as x").coalesce(1).write.parquet(f"{tmp_path}/t")
+    e = Entity("t", "t", "k", "t", "k", (Field("k", "k"), Field("x", "x", transform=("strip_html",))))
+    built = build_rows(e, spark.read.parquet(f"{tmp_path}/t"))
+    assert built.select(F.spark_partition_id()).distinct().count() > 1
+    assert sorted(r["x"] for r in accepted(built).collect()) == sorted(str(k) for k in range(60))
