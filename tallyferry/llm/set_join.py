@@ -11,8 +11,9 @@
    that exceeds (1 - t) / (1 + t) of both sizes is none.
 4. Check: the sets of the pairs left are compared shingle by shingle.
 
-A list's pairs are not all checked. First each entry of a list (of a long list: of each pair of its
-blocks) is paired with the closest one before it; these pairs are checked and joined to components.
+A list's pairs are not all checked, and none that lies within a component of the links known before
+(those of the fingerprints). First each entry of a list (of a long list: of each pair of its blocks)
+is paired with the closest one before it; these pairs are checked and joined to components.
 Then the other pairs that pass the signature filter are checked if they lie in different components.
 Lists with more such pairs than ``CROWDED`` for each entry are not written out before: only where their
 entries lie in different components are they gone through again. A pair that is never checked lies
@@ -208,7 +209,7 @@ def _candidates(share: int, dense: int, across: bool) -> Callable:
     return run
 
 
-def _checked(pairs: DataFrame, docs: DataFrame, text: str, words: int, share: int) -> DataFrame:
+def checked(pairs: DataFrame, docs: DataFrame, text: str, words: int, share: int) -> DataFrame:
     """The pairs (u, v) of texts whose sets are similar enough."""
     wanted = broadcast_if_small(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
     texts = docs.select(F.xxhash64(text_or_empty(text)).alias("node"), text_or_empty(text).cast("binary").alias("text")).join(wanted, "node", "left_semi")
@@ -236,8 +237,11 @@ def _checked(pairs: DataFrame, docs: DataFrame, text: str, words: int, share: in
     return durable(in_python(both.select("u", "v", "x", "y"), check, "u long, v long"))
 
 
-def similar_links(entries: DataFrame, docs: DataFrame, text: str, words: int, least: float, block: int = 1024, dense: int = 24) -> DataFrame:
-    """Links (u < v) between entries (node, sig, keys) that join what all pairs of ``least`` or more join."""
+def similar_links(entries: DataFrame, docs: DataFrame, text: str, words: int, least: float, known: DataFrame, block: int = 1024, dense: int = 24) -> DataFrame:
+    """Links (u < v) between entries (node, sig, keys) that join what all pairs of ``least`` or more join.
+
+    ``known`` are such links that are found already: pairs that they join are not checked again.
+    """
     spark, share = docs.sparkSession, round(least * SCALE)
     posted = entries.select("node", F.explode("keys").alias("key"))
     lists = durable(posting_lists(posted, block))
@@ -250,12 +254,16 @@ def similar_links(entries: DataFrame, docs: DataFrame, text: str, words: int, le
 
     found = candidates(lists.withColumn("root", F.lit(0).cast("long")), False)
     pairs = lambda kind: found.where(F.col("kind") == kind).select("u", "v")
-    first = _checked(pairs(CLOSEST), docs, text, words, share)
+
+    def apart(some: DataFrame, roots: DataFrame) -> DataFrame:
+        of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+        return some.join(of("u"), "u", "left").join(of("v"), "v", "left").where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+
+    closest = durable(apart(pairs(CLOSEST), durable(components(known))))
+    first = durable(known.unionByName(checked(closest, docs, text, words, share)))
     free_scratch(spark)
     roots = durable(components(first))
-    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    apart = F.coalesce("root_u", "u") != F.coalesce("root_v", "v")
-    again = pairs(OTHER).join(of("u"), "u", "left").join(of("v"), "v", "left").where(apart).select("u", "v")
+    again = apart(pairs(OTHER), roots)
     crowded = pairs(LIST).select(F.col("u").alias("key"), F.shiftright("v", 32).cast("int").alias("a"), F.col("v").bitwiseAND(0xFFFFFFFF).cast("int").alias("b"))
     if not crowded.isEmpty():
         rooted = lists.join(crowded, ["key", "a", "b"], "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -267,6 +275,6 @@ def similar_links(entries: DataFrame, docs: DataFrame, text: str, words: int, le
     again = durable(again)
     if again.isEmpty():
         return first
-    links = first.unionByName(_checked(again, docs, text, words, share))
+    links = first.unionByName(checked(again, docs, text, words, share))
     free_scratch(spark)
     return links
